@@ -19,7 +19,7 @@ def effective_time(log: DataFrame, node_count: int, rows: int = CHUNK_ROWS) -> D
     past = frontier.past_max(ticks, "ts_ms", "_past_ts", rows)
     # Copies of one entry count as one moment.
     moment = past.select("node_idx", "tick", F.greatest("_past_ts", "ts_ms").alias("_eff"))
-    timed = frontier.attach(_ordered_columns(log), ticks, moment, ["_eff"])
+    timed = frontier.attach(_ordered_columns(log), ticks, moment)
     return (
         timed.withColumn("eff_ts", F.greatest("ts_ms", "_eff"))
         .withColumn("vc_sum", F.coalesce(clocks.total("vc"), F.lit(0).cast("bigint")))
@@ -69,6 +69,6 @@ def order_audit(
     means the order is causal.
     """
     ticks = frontier.tick_table(ordered, node_count, {"_pos": F.max(pos)}, rows)
-    past = frontier.past_max(ticks, "_pos", "latest_past_pos", rows)
-    checked = frontier.attach(_ordered_columns(ordered), ticks, past, ["latest_past_pos"])
+    past = frontier.past_max(ticks, "_pos", "latest_past_pos", rows).drop("_pos")
+    checked = frontier.attach(_ordered_columns(ordered), ticks, past)
     return checked.where(F.col("latest_past_pos") > F.col(pos)).drop("tick")

@@ -11,18 +11,13 @@ components that changed since the row before (all of them on the first row of a
 chunk). Running values along the node put the rest back together.
 """
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clocks
 from ..session import written
 from .scan import CHUNK_ROWS, as_of, chunk_of
-
-# Rows under one (node, tick) from which the pair is joined by broadcast.
-HEAVY_COPIES = 1 << 20
-MAX_BROADCAST_ROWS = 100_000
+from .skew import HEAVY_ROWS, lookup
 
 
 def components(node_count: int) -> list[str]:
@@ -139,28 +134,7 @@ def known_by(ticks: DataFrame, node_count: int, out: str, rows: int = CHUNK_ROWS
     return below.select("node_idx", (F.col("tick") + 1).alias("tick"), (everyone - F.col("_n")).alias(out))
 
 
-def attach(rows: DataFrame, ticks: DataFrame, per_tick: DataFrame, columns: list[str]) -> DataFrame:
-    """Left join ``per_tick`` values to log rows by (node_idx, tick).
-
-    A tick with very many copies would put them all into one join task. Such
-    ticks are few (each stands for ``HEAVY_COPIES`` rows); they are looked up by
-    broadcast and their rows spread, while the rest is joined by shuffle.
-    """
-    heavy = ticks.where(F.col("copies") >= HEAVY_COPIES).select("node_idx", "tick")
-    heavy_count = heavy.limit(MAX_BROADCAST_ROWS + 1).count()
-    if heavy_count == 0 or heavy_count > MAX_BROADCAST_ROWS:
-        return rows.join(per_tick, ["node_idx", "tick"], "left")
-    few = per_tick.join(F.broadcast(heavy), ["node_idx", "tick"], "left_semi").select(
-        F.col("node_idx").alias("_h_node"), F.col("tick").alias("_h_tick"), F.lit(True).alias("_heavy"),
-        *[F.col(c).alias(f"_h_{c}") for c in columns],
-    )
-    marked = rows.join(
-        F.broadcast(few), (F.col("node_idx") == F.col("_h_node")) & (F.col("tick") == F.col("_h_tick")), "left"
-    ).withColumn(
-        "_key", F.when(F.col("_heavy"), -1 - F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16))).otherwise(F.col("tick"))
-    )
-    rest = per_tick.withColumnRenamed("tick", "_key")
-    joined = marked.join(rest, ["node_idx", "_key"], "left")
-    for c in columns:
-        joined = joined.withColumn(c, F.coalesce(c, f"_h_{c}"))
-    return joined.select(*rows.columns, *columns)
+def attach(rows: DataFrame, ticks: DataFrame, per_tick: DataFrame) -> DataFrame:
+    """Left join ``per_tick`` values to log rows by (node_idx, tick)."""
+    heavy = ticks.where(F.col("copies") >= HEAVY_ROWS)
+    return lookup(rows, per_tick, ["node_idx", "tick"], heavy)

@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures
-from .operators import order
+from .functions import clocks, entries
+from .operators import audit, graph, ingest, merge, order, query, relation, replay, search
+from .schema import HAPPENS_AFTER, HAPPENS_BEFORE
+from .sources import jsonl, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+NODES = fixtures.NODES
 _KEYS = ("event_id", "node_id", "node_idx", "vc", "ts_ms", "seq")
 
 
@@ -23,31 +27,280 @@ def _query(fn):
     return run
 
 
+def _log(spark, sf_dir):
+    return fixtures.causal_log(spark, sf_dir)
+
+
+# --- intake -----------------------------------------------------------------
+
+
+@_query
+def ingest_raw_lines(spark, sf_dir):
+    raw = fixtures.raw_lines(spark, sf_dir)
+    return ingest.ingest_raw_lines(raw, ingest_ts="ingest_ts").drop("ingest_ts")
+
+
+@_query
+def ingest_raw_lines_observed(spark, sf_dir):
+    raw = fixtures.raw_lines(spark, sf_dir)
+    return ingest.ingest_raw_lines(raw, "observed", "ingest_ts").drop("ingest_ts")
+
+
+@_query
+def stamp_clocks(spark, sf_dir):
+    parsed = ingest.ingest_raw_lines(fixtures.raw_lines(spark, sf_dir), ingest_ts="ingest_ts")
+    nodes = fixtures.node_dimension(spark, sf_dir)
+    stamped = ingest.stamp_clocks(parsed, nodes, NODES)
+    return stamped.select("event_id", "node_idx", "seq", clocks.to_text("vc").alias("vc"))
+
+
+@_query
+def ingest_jsonl(spark, sf_dir):
+    rows = jsonl.ingest_jsonl(fixtures.jsonl(spark, sf_dir))
+    meta = query.metadata_lookup(rows, ["trace_id", "k"])
+    return meta.select(
+        "event_id", "node_id", clocks.to_text("vc").alias("vc"), "ts_ms", "level", "message", "meta_trace_id", "meta_k"
+    )
+
+
+@_query
+def ingest_jsonl_rejects(spark, sf_dir):
+    return jsonl.ingest_jsonl_rejects(fixtures.jsonl(spark, sf_dir)).select("event_id", "line", "reason")
+
+
+@_query
+def ingest_stats(spark, sf_dir):
+    decoded = jsonl.decode(fixtures.jsonl(spark, sf_dir))
+    return ingest.ingest_stats(decoded, ["source_node", "log_date"])
+
+
+@_query
+def export_jsonl(spark, sf_dir):
+    out = store.export_jsonl(_log(spark, sf_dir))
+    return out.select("event_id", "log_date", "line", "vc_text", "ts_text")
+
+
+@_query
+def export_jsonl_ascii(spark, sf_dir):
+    """Whole document texts as messages: escapes, and the ASCII-only form."""
+    docs = fixtures.search_docs(spark, sf_dir).select(
+        "event_id",
+        F.lit("node-0").alias("node_id"),
+        F.array(F.col("event_id") + 1).alias("vc"),
+        F.col("event_id").alias("ts_ms"),
+        F.lit("INFO").alias("level"),
+        "message",
+        F.lit(None).cast("map<string,string>").alias("metadata"),
+    )
+    return store.export_jsonl(docs, ascii_only=True).select("event_id", "line")
+
+
+# --- order ------------------------------------------------------------------
+
+
 @_query
 def causal_order(spark, sf_dir):
-    log = fixtures.causal_log(spark, sf_dir).select(*_KEYS)
-    return order.causal_order(log, fixtures.NODES).select("event_id", "eff_ts", "pos")
+    log = _log(spark, sf_dir).select(*_KEYS)
+    return order.causal_order(log, NODES).select("event_id", "eff_ts", "pos")
 
 
 @_query
 def causal_order_lossy(spark, sf_dir):
     log = fixtures.lossy_log(spark, sf_dir).select(*_KEYS)
-    return order.causal_order(log, fixtures.NODES).select("event_id", "eff_ts", "pos")
+    return order.causal_order(log, NODES).select("event_id", "eff_ts", "pos")
+
+
+@_query
+def causal_order_any_clock(spark, sf_dir):
+    """The order that needs no premise, on a log whose clocks are not well formed."""
+    log = fixtures.restamped_log(spark, sf_dir).select(*_KEYS)
+    return order.causal_order(log, NODES, well_formed=False).select("event_id", "pos")
 
 
 @_query
 def time_order(spark, sf_dir):
-    log = fixtures.causal_log(spark, sf_dir).select("event_id", "node_id", "ts_ms")
+    log = _log(spark, sf_dir).select("event_id", "node_id", "ts_ms")
     return order.time_order(log).select("event_id", "pos")
 
 
 @_query
 def order_audit_time(spark, sf_dir):
-    ordered = order.time_order(fixtures.causal_log(spark, sf_dir).select(*_KEYS))
-    return order.order_audit(ordered, fixtures.NODES).select("event_id", "pos", "latest_past_pos")
+    ordered = order.time_order(_log(spark, sf_dir).select(*_KEYS))
+    return order.order_audit(ordered, NODES).select("event_id", "pos", "latest_past_pos")
 
 
 @_query
 def order_audit_causal(spark, sf_dir):
-    ordered = order.causal_order(fixtures.causal_log(spark, sf_dir).select(*_KEYS), fixtures.NODES)
-    return order.order_audit(ordered, fixtures.NODES).select("event_id", "pos", "latest_past_pos")
+    ordered = order.causal_order(_log(spark, sf_dir).select(*_KEYS), NODES)
+    return order.order_audit(ordered, NODES).select("event_id", "pos", "latest_past_pos")
+
+
+# --- relations and clocks ---------------------------------------------------
+
+
+@_query
+def clock_relation(spark, sf_dir):
+    """Each event against the previous one with the same level, in time order."""
+    return relation.clock_relation(_log(spark, sf_dir), "level", ["ts_ms", "event_id"], width=NODES)
+
+
+@_query
+def relation_counts(spark, sf_dir):
+    counted = relation.relation_counts(_log(spark, sf_dir).select("event_id", "node_idx", "vc"), NODES)
+    return counted.select("event_id", "n_before", "n_after", "n_equal", "n_concurrent")
+
+
+@_query
+def relation_counts_lossy(spark, sf_dir):
+    counted = relation.relation_counts(fixtures.lossy_log(spark, sf_dir).select("event_id", "node_idx", "vc"), NODES)
+    return counted.select("event_id", "n_before", "n_after", "n_equal", "n_concurrent")
+
+
+@_query
+def causal_slice(spark, sf_dir):
+    """All events against the middle ERROR entry of each node."""
+    log = _log(spark, sf_dir).select("event_id", "node_idx", "vc", "level")
+    errors = log.where(F.col("level") == "ERROR")
+    middle = errors.groupBy("node_idx").agg(F.percentile(clocks.own_tick(), 0.5).alias("middle"))
+    targets = (
+        errors.join(F.broadcast(middle), "node_idx")
+        .where(clocks.own_tick() >= F.col("middle"))
+        .groupBy("node_idx").agg(F.min_by(F.struct("event_id", "vc"), clocks.own_tick()).alias("t"))
+        .select("node_idx", "t.event_id", "t.vc")
+    )
+    return relation.causal_slice(log, targets, NODES)
+
+
+@_query
+def merge_clocks(spark, sf_dir):
+    merged = merge.merge_clocks(_log(spark, sf_dir), ["level", "log_date"], NODES)
+    return merged.select("level", "log_date", clocks.to_text("merged").alias("merged"), "n")
+
+
+@_query
+def running_frontier(spark, sf_dir):
+    ran = merge.running_frontier(fixtures.lossy_log(spark, sf_dir), NODES)
+    return ran.select("node_id", "seq", clocks.to_text("frontier").alias("frontier"))
+
+
+@_query
+def level_frontier(spark, sf_dir):
+    """What the entries of one level know together, event by event."""
+    ran = merge.running_frontier(_log(spark, sf_dir), NODES, "level", "event_id")
+    return ran.select("level", "event_id", clocks.to_text("frontier").alias("frontier"))
+
+
+@_query
+def replay_clocks(spark, sf_dir):
+    replayed = replay.replay_clocks(
+        fixtures.message_events(spark, sf_dir), fixtures.messages(spark, sf_dir), fixtures.TRACE_NODES
+    )
+    return replayed.select("event", "node_idx", "seq", clocks.to_text("vc").alias("vc"))
+
+
+# --- graph and audit --------------------------------------------------------
+
+
+@_query
+def causal_graph(spark, sf_dir):
+    return graph.causal_graph(_log(spark, sf_dir), NODES)
+
+
+@_query
+def causal_graph_lossy(spark, sf_dir):
+    return graph.causal_graph(fixtures.lossy_log(spark, sf_dir), NODES)
+
+
+@_query
+def clock_audit_lossy(spark, sf_dir):
+    return audit.clock_audit(fixtures.lossy_log(spark, sf_dir).select(*_KEYS), NODES)
+
+
+@_query
+def clock_audit_restamped(spark, sf_dir):
+    return audit.clock_audit(fixtures.restamped_log(spark, sf_dir).select(*_KEYS), NODES)
+
+
+@_query
+def missing_ticks(spark, sf_dir):
+    return audit.missing_ticks(fixtures.lossy_log(spark, sf_dir))
+
+
+# --- queries and search -----------------------------------------------------
+
+
+@_query
+def log_query(spark, sf_dir):
+    found = query.log_query(
+        _log(spark, sf_dir), min_level="WARN", nodes=["node-0", "node-2"],
+        since_ms=1704412800000, dates=("2024-01-03", "2024-01-25"), metadata={"k": "7"},
+    )
+    shown = query.with_level_rank(found)
+    return shown.select("event_id", "node_id", "level", "level_rank", "message", entries.time_text().alias("ts_text"))
+
+
+@_query
+def log_query_first(spark, sf_dir):
+    """The first hundred errors by wall time."""
+    found = query.log_query(_log(spark, sf_dir), min_level="ERROR", order="time", limit=100)
+    return found.select("event_id", "node_id", "ts_ms", "message")
+
+
+@_query
+def log_query_causal(spark, sf_dir):
+    """All errors of one node with their place in the causal order."""
+    log = _log(spark, sf_dir).select(*_KEYS, "level")
+    found = query.log_query(log, min_level="ERROR", nodes=["node-1"], order="causal", node_count=NODES)
+    return found.select("event_id", "pos")
+
+
+@_query
+def metadata_lookup(spark, sf_dir):
+    log = _log(spark, sf_dir).select("event_id", "metadata", "level")
+    tagged = query.add_metadata(query.add_metadata(log, "level", F.col("level")), "k", "ignored")
+    found = query.metadata_lookup(tagged, ["trace_id", "k", "level", "nonexistent"])
+    return found.select("event_id", "meta_trace_id", "meta_k", "meta_level", "meta_nonexistent")
+
+
+@_query
+def metadata_pairs(spark, sf_dir):
+    return query.metadata_pairs(_log(spark, sf_dir))
+
+
+@_query
+def metadata_groups(spark, sf_dir):
+    groups = query.metadata_groups(_log(spark, sf_dir), "trace_id", NODES)
+    return groups.withColumn("merged", clocks.to_text("merged"))
+
+
+@_query
+def build_inverted_index(spark, sf_dir):
+    return search.build_inverted_index(fixtures.search_docs(spark, sf_dir))
+
+
+_WORDS = ["und", "die", "la"]
+
+
+@_query
+def keyword_hits_all(spark, sf_dir):
+    index = search.build_inverted_index(fixtures.search_docs(spark, sf_dir))
+    return search.keyword_hits(index, _WORDS[:2], "and")
+
+
+@_query
+def keyword_hits_any(spark, sf_dir):
+    index = search.build_inverted_index(fixtures.search_docs(spark, sf_dir))
+    return search.keyword_hits(index, _WORDS, "or")
+
+
+@_query
+def keyword_search(spark, sf_dir):
+    docs = fixtures.search_docs(spark, sf_dir)
+    found = search.keyword_search(docs, search.build_inverted_index(docs), _WORDS[:2], "and")
+    return found.select("event_id", F.length("message").alias("n_chars"))
+
+
+@_query
+def keyword_scan(spark, sf_dir):
+    found = search.keyword_scan(fixtures.search_docs(spark, sf_dir), _WORDS, "or")
+    return found.select("event_id", F.length("message").alias("n_chars"))
