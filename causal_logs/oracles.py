@@ -206,6 +206,12 @@ ORACLES = {
         SELECT event_id, node_idx, CAST(t - 1 AS BIGINT) AS seq,
                '[' || array_to_string(list_transform([0, 1, 2, 3], lambda i: CASE WHEN i = node_idx THEN t ELSE 0 END), ', ') || ']' AS vc
         FROM s""",
+    "stream_ingest": f"""WITH {_RAW},
+        s AS (SELECT *, row_number() OVER (PARTITION BY node_idx ORDER BY event_id) AS t FROM raw)
+        SELECT node_id, CAST(t - 1 AS BIGINT) AS seq,
+               '[' || array_to_string(list_transform([0, 1, 2, 3], lambda i: CASE WHEN i = node_idx THEN t ELSE 0 END), ', ') || ']' AS vc,
+               CASE WHEN shape = 4 THEN 'INFO' ELSE level END AS level, text AS message
+        FROM s""",
     "ingest_jsonl": f"""WITH {_JSON}
         SELECT event_id, node_id, {_VC} AS vc, ts_ms,
                CASE WHEN hit AND kind = 7 THEN 'INFO' ELSE level END AS level, message,

@@ -9,7 +9,9 @@ from . import fixtures
 from .functions import clocks, entries
 from .operators import audit, graph, ingest, merge, order, query, relation, replay, search
 from .schema import HAPPENS_AFTER, HAPPENS_BEFORE
+from .session import new_path
 from .sources import jsonl, store
+from .streaming import ingest as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -54,6 +56,18 @@ def stamp_clocks(spark, sf_dir):
     return stamped.select("event_id", "node_idx", "seq", clocks.to_text("vc").alias("vc"))
 
 
+@_query
+def stream_ingest(spark, sf_dir):
+    """The raw lines as landing files, taken in by the streaming queries in several batches."""
+    raw = fixtures.raw_lines(spark, sf_dir)
+    landing, out = new_path(spark, "landing"), new_path(spark, "stream")
+    ordered = raw.repartitionByRange(8, "line_no").sortWithinPartitions("node_id", "line_no")
+    ordered.select("node_id", "line").write.partitionBy("node_id").text(landing)
+    streaming.ingest_available(spark, landing, out, max_files=16)
+    stamped = streaming.read_stamped(spark, out, fixtures.node_dimension(spark, sf_dir), NODES)
+    return stamped.select("node_id", "seq", clocks.to_text("vc").alias("vc"), "level", "message")
+
+
 @_query
 def ingest_jsonl(spark, sf_dir):
     rows = jsonl.ingest_jsonl(fixtures.jsonl(spark, sf_dir))

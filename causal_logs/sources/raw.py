@@ -21,5 +21,5 @@ def read_raw_lines(spark: SparkSession, path: str, node_id: Column | None = None
         F.col("value").alias("line"),
     )
     numbered = number_rows(scanned, ["file"], ["_start"], ["_place"], "line_no")
-    node = node_id if node_id is not None else F.regexp_extract("file", r"([^/]+)/[^/]+$", 1)
+    node = node_id if node_id is not None else F.regexp_extract("file", r"(?:node_id=)?([^/]+)/[^/]+$", 1)
     return numbered.select(node.alias("node_id"), "file", (F.col("line_no") + 1).alias("line_no"), "line")
