@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import entries
+from .plans.barrier import settled
 from .plans.scan import chunk_of, number_rows
 
 # Fixed values of the derived tables.
@@ -110,14 +111,17 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text"),
         F.lit(""),
     ]
-    return _events(spark, sf_dir).select(
+    shape = F.pmod("event_id", F.lit(len(shapes)))
+    line = F.coalesce(*[F.when(shape == i, text) for i, text in enumerate(shapes)])
+    raw = _events(spark, sf_dir).select(
         "event_id",
         F.concat(F.lit("node-"), F.col("node_idx").cast("string")).alias("node_id"),
         F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit(".log")).alias("file"),
         F.col("event_id").alias("line_no"),
-        F.get(F.array(*shapes), F.pmod("event_id", F.lit(6)).cast("int")).alias("line"),
+        line.alias("line"),
         (F.col("at_ms") + 1000).alias("ingest_ts"),
     )
+    return settled(raw, ["line"])
 
 
 def node_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +146,8 @@ def jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     kind = F.pmod(F.call_function("div", F.col("event_id"), F.lit(17)), F.lit(len(damaged))).cast("int")
     line = F.when(F.pmod("event_id", F.lit(17)) == 0, F.get(F.array(*damaged), kind)).otherwise(good)
-    return log.select("event_id", F.col("node_id").alias("source_node"), "log_date", line.alias("line"))
+    damaged_log = log.select("event_id", F.col("node_id").alias("source_node"), "log_date", line.alias("line"))
+    return settled(damaged_log, ["line"])
 
 
 def message_events(spark: SparkSession, sf_dir: str) -> DataFrame:

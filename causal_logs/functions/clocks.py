@@ -97,8 +97,7 @@ def to_json(vc, names: list[str] | None = None) -> Column:
 
 def _index(key, names):
     if names is None:
-        digits = F.regexp_extract(key, r"^node-(\d{1,9})$", 1)
-        return F.when(digits != "", digits.cast("int"))
+        return F.regexp_extract(key, r"^node-(\d{1,9})$", 1).try_cast("int")
     place = F.array_position(F.array(*map(F.lit, names)), key).cast("int")
     return F.when(place > 0, place - 1)
 
@@ -116,11 +115,20 @@ def with_decoded(
     Keys are ``node-<i>`` or members of ``names``; the last of duplicated keys
     wins. The clock is as long as ``node_count`` or ``names`` say, else as the
     highest index asks for. ``error`` is ``bad_clock`` (no object of counts),
-    ``bad_clock_key`` or ``clock_too_wide``, and then ``vc`` is NULL. One
-    projection per step, so that the JSON is parsed once per row.
+    ``bad_clock_key`` or ``clock_too_wide``, and then ``vc`` is NULL.
+
+    Clocks whose keys are complete and in order, as this package writes them,
+    are taken as they are; only others are looked up key by key. One projection
+    per step, so that the JSON is parsed once per row; callers that filter on
+    the result settle it first (``plans.barrier``).
     """
     width = node_count or (len(names) if names else None)
-    slots = F.col("_slots")
+    counts, keys, slots = F.col("_counts"), F.map_keys("_counts"), F.col("_slots")
+    if names is None:
+        wanted = F.transform(keys, lambda _, i: F.concat(F.lit("node-"), i.cast("string")))
+    else:
+        wanted = F.array(*map(F.lit, names))
+    complete = (keys == wanted) & (F.size(keys) == width if width else F.size(keys) <= MAX_NODES)
     size = F.lit(width) if width else F.coalesce(F.array_max(F.transform(slots, lambda s: s["i"])) + 1, F.lit(0))
     dense = F.transform(
         F.array_repeat(F.lit(0).cast("bigint"), F.col("_size")),
@@ -129,21 +137,20 @@ def with_decoded(
         ),
     )
     reason = (
-        F.when(slots.isNull() | F.exists(slots, lambda s: s["n"].isNull() | (s["n"] < 0)), "bad_clock")
+        F.when(counts.isNull() | F.exists(F.map_values(counts), lambda n: n.isNull() | (n < 0)), "bad_clock")
         .when(F.exists(slots, lambda s: s["i"].isNull()), "bad_clock_key")
         .when((F.col("_size") > MAX_NODES) | F.exists(slots, lambda s: s["i"] >= F.col("_size")), "clock_too_wide")
     )
+    listed = F.transform(
+        F.map_entries("_counts"),
+        lambda e: F.struct(_index(e["key"], names).alias("i"), e["value"].alias("n")),
+    )
     return (
         df.withColumn("_counts", F.from_json(text, _CLOCK_JSON))
-        .withColumn(
-            "_slots",
-            F.transform(
-                F.map_entries("_counts"),
-                lambda e: F.struct(_index(e["key"], names).alias("i"), e["value"].alias("n")),
-            ),
-        )
+        .withColumn("_complete", F.coalesce(complete, F.lit(False)))
+        .withColumn("_slots", F.when(~F.col("_complete"), listed))
         .withColumn("_size", size)
         .withColumn(error, reason)
-        .withColumn(vc, F.when(F.col(error).isNull(), dense))
-        .drop("_counts", "_slots", "_size")
+        .withColumn(vc, F.when(F.col(error).isNull(), F.when(F.col("_complete"), F.map_values("_counts")).otherwise(dense)))
+        .drop("_counts", "_complete", "_slots", "_size")
     )

@@ -63,6 +63,9 @@ def first_metadata(metadata, limit: int | None = MAX_METADATA) -> Column:
     """Distinct keys in order, first value of each, at most ``limit`` pairs."""
     metadata = F.col(metadata) if isinstance(metadata, str) else metadata
     keys = F.array_distinct(F.map_keys(metadata))
+    fits = F.size(keys) == F.size(metadata)
     if limit is not None:
         keys = F.slice(keys, 1, limit)
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.try_element_at(metadata, k)))
+        fits = fits & (F.size(metadata) <= limit)
+    firsts = F.map_from_arrays(keys, F.transform(keys, lambda k: F.try_element_at(metadata, k)))
+    return F.when(fits | metadata.isNull(), metadata).otherwise(firsts)

@@ -92,11 +92,14 @@ _GRAMMARS = {"documented": _documented, "observed": _observed}
 
 
 def with_parsed(df: DataFrame, now: Column, line: str = "line", grammar: str = "documented") -> DataFrame:
-    """Add ``level``, ``ts_ms`` and ``message``; lines without a time get ``now`` (ms)."""
+    """Add ``level``, ``ts_ms`` and ``message``; lines without a time get ``now`` (ms).
+
+    Every pattern is applied once per line; callers that filter on the result
+    settle it first (``plans.barrier``).
+    """
     return _GRAMMARS[grammar](df, F.col(line), now).drop("_timed", "_named")
 
 
 def is_blank(line) -> Column:
     """Only truly empty lines count; a line of blanks is an entry."""
-    line = F.col(line) if isinstance(line, str) else line
-    return line.isNull() | (line == "") | line.startswith("\n")
+    return F.substring(line, 1, 1).isin("", "\n")

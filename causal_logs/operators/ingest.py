@@ -3,17 +3,23 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clocks, entries, levels, lines
+from ..functions import entries, lines
+from ..plans.barrier import settled
 from ..plans.scan import CHUNK_ROWS, chunk_of, number_rows
 from ..schema import MAX_NODES
 
 
-def _parsed(raw: DataFrame, grammar: str, ingest_ts: str | None, max_message_bytes: int | None) -> DataFrame:
-    now = F.col(ingest_ts) if ingest_ts else F.unix_millis(F.current_timestamp())
-    parsed = lines.with_parsed(raw.where(~lines.is_blank("line")), now, "line", grammar)
-    if max_message_bytes is not None:
-        parsed = parsed.withColumn("message", entries.truncate_bytes("message", max_message_bytes))
-    return parsed
+_PARTS = ["level", "ts_ms", "message"]
+
+
+def parse_lines(raw: DataFrame, now: Column, grammar: str = "documented", where: Column | None = None) -> DataFrame:
+    """Lines that are not empty, with ``level``, ``ts_ms`` (NULL for an impossible
+    date) and ``message``; serves tables and streams."""
+    return settled(lines.with_parsed(raw.where(~lines.is_blank("line")), now, "line", grammar), _PARTS, where=where)
+
+
+def _now(ingest_ts: str | None) -> Column:
+    return F.col(ingest_ts) if ingest_ts else F.unix_millis(F.current_timestamp())
 
 
 def ingest_raw_lines(
@@ -26,22 +32,20 @@ def ingest_raw_lines(
 
     Empty lines are dropped. Lines without a time get the column ``ingest_ts``
     (ms), or the time of the query. Lines with an impossible date are left to
-    ``ingest_raw_lines_rejects``. One projection, no shuffle.
+    ``ingest_raw_lines_rejects``. Projections only, no shuffle.
     """
-    parsed = _parsed(raw, grammar, ingest_ts, max_message_bytes)
-    return parsed.where(F.col("ts_ms").isNotNull()).drop("line")
+    parsed = parse_lines(raw, _now(ingest_ts), grammar, F.col("ts_ms").isNotNull()).drop("line")
+    if max_message_bytes is None:
+        return parsed
+    return parsed.withColumn("message", entries.truncate_bytes("message", max_message_bytes))
 
 
 def ingest_raw_lines_rejects(
     raw: DataFrame, grammar: str = "documented", ingest_ts: str | None = None
 ) -> DataFrame:
     """The lines whose date cannot exist, with ``reason``."""
-    parsed = _parsed(raw, grammar, ingest_ts, None)
-    return (
-        parsed.where(F.col("ts_ms").isNull())
-        .drop("level", "ts_ms", "message")
-        .withColumn("reason", F.lit("bad_timestamp"))
-    )
+    rejected = parse_lines(raw, _now(ingest_ts), grammar, F.col("ts_ms").isNull())
+    return rejected.drop(*_PARTS).withColumn("reason", F.lit("bad_timestamp"))
 
 
 def node_dimension(rows: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ def local_session(cores: int | str = "*", app: str = "causal_logs", **conf) -> S
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Longer generated methods are not compiled by the JVM.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

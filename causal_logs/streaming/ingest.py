@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..functions import lines
-from ..operators.ingest import fresh_clock, ingest_stats
+from ..operators.ingest import fresh_clock, ingest_stats, parse_lines
 from ..schema import MAX_NODES
 from ..sources import jsonl, store
 
@@ -68,8 +67,7 @@ def read_landing(
 def parse_stream(raw: DataFrame, grammar: str = "documented") -> DataFrame:
     """Typed entries of a stream of raw lines; a line without a time gets the
     time its file was written, so a repeated batch gives the same rows."""
-    kept = raw.where(~lines.is_blank("line"))
-    parsed = lines.with_parsed(kept, F.col("ingest_ts"), "line", grammar).where(F.col("ts_ms").isNotNull())
+    parsed = parse_lines(raw, F.col("ingest_ts"), grammar, F.col("ts_ms").isNotNull())
     return parsed.select("node_id", "file", "block", "level", "ts_ms", "message", "log_date")
 
 
