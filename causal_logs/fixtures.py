@@ -71,7 +71,7 @@ def causal_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.col("seq") + 1
     vc = F.array(*[F.when(F.col("node_idx") == j, own).otherwise(F.col(f"c{j}")) for j in range(NODES)])
     skew = F.get(F.array(*[F.lit(h * HOUR_MS) for h in SKEW_HOURS]), F.col("node_idx"))
-    return numbered.join(_hourly_clocks(events), ["node_idx", "hour"]).select(
+    log = numbered.join(_hourly_clocks(events), ["node_idx", "hour"]).select(
         "event_id",
         "user_id",
         F.concat(F.lit("node-"), F.col("node_idx").cast("string")).alias("node_id"),
@@ -87,6 +87,7 @@ def causal_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seq",
         F.to_date("ts").alias("log_date"),
     )
+    return settled(log, ["vc"])
 
 
 def lossy_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +146,8 @@ def jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_replace(good, r'"level":"[A-Z]+",', ""),
     ]
     kind = F.pmod(F.call_function("div", F.col("event_id"), F.lit(17)), F.lit(len(damaged))).cast("int")
-    line = F.when(F.pmod("event_id", F.lit(17)) == 0, F.get(F.array(*damaged), kind)).otherwise(good)
+    hurt = F.coalesce(*[F.when(kind == i, text) for i, text in enumerate(damaged)])
+    line = F.when(F.pmod("event_id", F.lit(17)) == 0, hurt).otherwise(good)
     damaged_log = log.select("event_id", F.col("node_id").alias("source_node"), "log_date", line.alias("line"))
     return settled(damaged_log, ["line"])
 

@@ -7,6 +7,8 @@ SEPARATORS = r"[^\p{L}\p{N}]+"
 
 
 def tokens(text) -> Column:
-    """Lower-case runs of letters and digits, over the whole text."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(text), SEPARATORS), lambda t: t != "")
+    """Lower-case runs of letters and digits, over the whole text.
+
+    Text that starts or ends with a separator also gives an empty token there.
+    """
+    return F.split(F.lower(text), SEPARATORS)

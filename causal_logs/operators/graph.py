@@ -24,8 +24,8 @@ def causal_graph(
         "node_idx", "tick", event_id, "news",
         F.struct("tick", F.col(event_id).alias("event"), clock.alias("clock")).alias("src"),
     )
-    w = Window.partitionBy("node_idx", chunk_of("tick", rows)).orderBy("tick")
-    placed = vertices.withColumn("_before", F.lag("src").over(w))
+    w = Window.partitionBy("node_idx", "_chunk").orderBy("tick")
+    placed = vertices.withColumn("_chunk", chunk_of("tick", rows)).withColumn("_before", F.lag("src").over(w))
 
     quiet = placed.where((F.size("news") == 0) & F.col("_before").isNotNull()).select(
         F.col("_before.event").alias("src_event"), F.col(event_id).alias("dst_event"),

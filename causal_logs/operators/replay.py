@@ -29,19 +29,18 @@ def replay_clocks(
         "event", F.col("node_idx").cast("int").alias("node_idx"), (F.col("seq") + 1).alias("tick")
     )
     own = [F.when(F.col("node_idx") == i, F.col("tick")).otherwise(zero).alias(c) for i, c in enumerate(names)]
-    state = _first_hop(placed, messages, names)
-    state = _advance(placed.select("node_idx", "tick", *own), state, names, rows)
+    state = placed.select("node_idx", "tick", *own)
+    told = _first_hop(placed, messages, names)
     for _ in range(max_rounds):
-        told = _second_hand(state, names, rows)
         state = _advance(state.select("node_idx", "tick", *names), told, names, rows)
         grew, circular = state.agg(F.max("grew"), F.max("circular")).first()
         if circular:
             raise ValueError("messages form a circle")
         if not grew:
-            vc = F.array(*names)
             return placed.join(state, ["node_idx", "tick"]).select(
-                "event", "node_idx", (F.col("tick") - 1).alias("seq"), vc.alias("vc")
+                "event", "node_idx", (F.col("tick") - 1).alias("seq"), F.array(*names).alias("vc")
             )
+        told = _second_hand(state, names, rows)
     raise ValueError(f"no fixpoint within {max_rounds} rounds")
 
 
@@ -65,12 +64,15 @@ def _second_hand(state, names, rows):
     the start of a chunk), so one sender's tick is asked for once per node and
     chunk, however many entries know it.
     """
-    w = Window.partitionBy("node_idx", chunk_of("tick", rows)).orderBy("tick")
+    w = Window.partitionBy("node_idx", "_chunk").orderBy("tick")
+    stepped = state.withColumn("_chunk", chunk_of("tick", rows)).select(
+        "node_idx", "tick", *names, *[F.lag(c).over(w).alias(f"_was_{c}") for c in names]
+    )
     moved = []
     for j, c in enumerate(names):
-        news = (F.col("node_idx") != j) & (F.col(c) > F.coalesce(F.lag(c).over(w), F.lit(0)))
+        news = (F.col("node_idx") != j) & (F.col(c) > F.coalesce(f"_was_{c}", F.lit(0)))
         moved.append(F.when(news, F.struct(F.lit(j).alias("j"), F.col(c).alias("k"))))
-    asks = state.withColumn("_moved", F.filter(F.array(*moved), lambda m: m.isNotNull())).select(
+    asks = stepped.withColumn("_moved", F.array_compact(F.array(*moved))).select(
         F.col("node_idx").alias("to_node"), F.col("tick").alias("to_tick"), F.inline("_moved")
     )
     known = state.select(F.col("node_idx").alias("j"), F.col("tick").alias("k"), *names)
@@ -84,15 +86,15 @@ def _second_hand(state, names, rows):
 def _advance(state, told, names, rows):
     """Merge what was told into the rows and carry it along each node."""
     told = told.select("node_idx", "tick", *[F.col(c).alias(f"t_{c}") for c in names])
+    grew, circular = F.lit(False), F.lit(False)
+    for j, c in enumerate(names):
+        grew = grew | (F.col(c) > F.col(f"old_{c}"))
+        # Whoever an event hears of must not know that event already.
+        circular = circular | ((F.col("node_idx") == j) & (F.col(f"t_{c}") >= F.col("tick")))
     merged = state.join(told, ["node_idx", "tick"], "left").select(
         "node_idx", "tick", *[F.col(c).alias(f"old_{c}") for c in names],
         *[F.greatest(c, f"t_{c}").alias(f"got_{c}") for c in names],
+        F.coalesce(circular, F.lit(False)).alias("circular"),
     )
     ran = running(merged, ["node_idx"], "tick", {c: f"got_{c}" for c in names}, rows)
-    grew, circular = F.lit(False), F.lit(False)
-    for j, c in enumerate(names):
-        grew = grew | (F.col(c) > F.col(f"old_{c}"))
-        circular = circular | ((F.col("node_idx") == j) & (F.col(c) > F.col("tick")))
-    return written(
-        ran.select("node_idx", "tick", *names, grew.alias("grew"), circular.alias("circular")), "replay"
-    )
+    return written(ran.select("node_idx", "tick", *names, grew.alias("grew"), "circular"), "replay")

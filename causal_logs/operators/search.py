@@ -14,13 +14,13 @@ BUCKETS = 256
 SPREAD = 8
 
 
-def build_inverted_index(log: DataFrame, event_id: str = "event_id", *keep: str) -> DataFrame:
+def build_inverted_index(log: DataFrame, event_id: str = "event_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """``(token, event_id, tf)`` postings of whole messages.
 
     Counted by (token, event), which no frequent token can skew; a message's
     repeated tokens are folded before the shuffle.
     """
-    words = log.select(event_id, *keep, F.explode(tokens("message")).alias("token"))
+    words = log.select(event_id, *keep, F.explode(tokens("message")).alias("token")).where(F.col("token") != "")
     return words.groupBy("token", event_id, *keep).agg(F.count(F.lit(1)).alias("tf"))
 
 

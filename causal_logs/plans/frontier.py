@@ -46,17 +46,20 @@ def tick_table(
         *[agg.alias(name) for name, agg in (values or {}).items()],
         *[F.max(c).alias(c) for c in names],
     )
-    w = Window.partitionBy("node_idx", chunk_of("tick", rows)).orderBy("tick")
-    ticks = ticks.withColumn("prev_tick", F.lag("tick").over(w))
+    w = Window.partitionBy("node_idx", "_chunk").orderBy("tick")
+    ticks = ticks.withColumn("_chunk", chunk_of("tick", rows)).select(
+        "*", F.lag("tick").over(w).alias("prev_tick"), *[F.lag(c).over(w).alias(f"_was_{c}") for c in names]
+    )
     first = F.col("prev_tick").isNull()
     moves = []
     for j, c in enumerate(names):
-        was = F.coalesce(F.lag(c).over(w), F.lit(0).cast("bigint"))
-        own = F.col("node_idx") == j
-        k = F.when(own, F.col("tick") - 1).otherwise(F.col(c))
-        told = F.when(own, first & (k > 0)).otherwise(k > was)
-        moves.append(F.when(told, F.struct(F.lit(j).alias("j"), k.alias("k"), was.alias("was"))))
-    ticks = ticks.withColumn("news", F.filter(F.array(*moves), lambda m: m.isNotNull()))
+        was = F.coalesce(F.col(f"_was_{c}"), F.lit(0).cast("bigint"))
+        move = lambda k: F.struct(F.lit(j).alias("j"), k.alias("k"), was.alias("was"))
+        own = F.when(first & (F.col("tick") > 1), move(F.col("tick") - 1))
+        other = F.when(F.col(c) > was, move(F.col(c)))
+        moves.append(F.when(F.col("node_idx") == j, own).otherwise(other))
+    ticks = ticks.withColumn("news", F.array_compact(F.array(*moves)))
+    ticks = ticks.drop("_chunk", *[f"_was_{c}" for c in names])
     return written(ticks, "ticks")
 
 

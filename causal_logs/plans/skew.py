@@ -18,10 +18,10 @@ def lookup(rows: DataFrame, facts: DataFrame, on: list[str], heavy: DataFrame) -
     keys; their facts are broadcast, and their rows go through the shuffle spread
     by a second key that matches nothing.
     """
+    columns = [c for c in facts.columns if c not in on]
     found = heavy.select(*on).limit(MAX_HEAVY_KEYS + 1).count()
     if found == 0 or found > MAX_HEAVY_KEYS:
-        return rows.join(facts, on, "left")
-    columns = [c for c in facts.columns if c not in on]
+        return rows.join(facts, on, "left").select(*rows.columns, *columns)
     few = facts.join(F.broadcast(heavy.select(*on)), on, "left_semi").select(
         *[F.col(k).alias(f"_h_{k}") for k in on],
         *[F.col(c).alias(f"_h_{c}") for c in columns],
