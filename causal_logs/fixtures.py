@@ -5,7 +5,7 @@ clocks: node i has heard of everything node j wrote ``LAG * |i - j|`` hours
 before. Wall clocks are skewed, so that time contradicts causality.
 """
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import entries
@@ -25,21 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _choose(key, options: dict):
-    pairs = [part for k, v in options.items() for part in (F.lit(k), F.lit(v))]
-    return F.try_element_at(F.create_map(*pairs), key)
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = F.unix_millis(F.col("ts").cast("timestamp"))
-    node = F.pmod("user_id", F.lit(NODES)).cast("int")
-    return (
-        table(spark, sf_dir, "events")
-        .withColumn("at_ms", at)
-        .withColumn("hour", chunk_of("at_ms", HOUR_MS))
-        .withColumn("node_idx", node)
-        .withColumn("level", _choose(F.col("event_type"), LEVEL_OF))
-        .withColumn("text", F.concat("event_type", F.lit(" value="), F.col("value").cast("string")))
+    level = " ".join(f"when '{k}' then '{v}'" for k, v in LEVEL_OF.items())
+    return table(spark, sf_dir, "events").selectExpr(
+        "*",
+        "unix_millis(cast(ts as timestamp)) as at_ms",
+        f"unix_millis(cast(ts as timestamp)) div {HOUR_MS} as hour",
+        f"cast(pmod(user_id, {NODES}) as int) as node_idx",
+        f"concat('node-', cast(pmod(user_id, {NODES}) as string)) as node_id",
+        f"case event_type {level} end as level",
+        "concat(event_type, ' value=', cast(value as string)) as text",
     )
 
 
@@ -49,17 +44,16 @@ def _hourly_clocks(events: DataFrame) -> DataFrame:
     Works on totals per node and hour, never on pairs of events.
     """
     hours = events.groupBy("node_idx", "hour").agg(F.count(F.lit(1)).alias("n"))
-    stops = hours.select("node_idx", F.col("hour").alias("at"), "n")
-    gaps = [F.struct(F.lit(j).alias("j"), (F.col("hour") - LAG_HOURS * F.abs(F.col("node_idx") - j)).alias("at")) for j in range(NODES)]
-    asks = hours.select(F.col("node_idx").alias("to_node"), "hour", F.inline(F.array(*gaps)))
-    asks = asks.withColumnRenamed("j", "node_idx")
-    seen = Window.partitionBy("node_idx").orderBy("at", F.col("to_node").isNotNull())
+    stops = hours.selectExpr("node_idx", "hour as at", "0 as kind", "n")
+    lags = ", ".join(f"struct({j} as j, hour - {LAG_HOURS} * abs(node_idx - {j}) as at)" for j in range(NODES))
+    asks = hours.selectExpr("node_idx as to_node", "hour", "1 as kind", f"inline(array({lags}))")
+    seen = "over (partition by node_idx order by at, kind rows between unbounded preceding and current row)"
     answers = (
-        stops.unionByName(asks, allowMissingColumns=True)
-        .withColumn("known", F.coalesce(F.sum("n").over(seen.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
-        .where(F.col("to_node").isNotNull())
+        stops.unionByName(asks.withColumnRenamed("j", "node_idx"), allowMissingColumns=True)
+        .selectExpr("*", f"coalesce(sum(n) {seen}, 0L) as known")
+        .where("kind = 1")
     )
-    cells = [F.max(F.when(F.col("node_idx") == j, F.col("known"))).alias(f"c{j}") for j in range(NODES)]
+    cells = [F.expr(f"max(if(node_idx = {j}, known, null)) as c{j}") for j in range(NODES)]
     return answers.groupBy(F.col("to_node").alias("node_idx"), "hour").agg(*cells)
 
 
@@ -68,24 +62,20 @@ def causal_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = number_rows(
         events.withColumn("block", chunk_of("event_id")), ["node_idx"], ["hour", "block"], ["event_id"], "seq"
     )
-    own = F.col("seq") + 1
-    vc = F.array(*[F.when(F.col("node_idx") == j, own).otherwise(F.col(f"c{j}")) for j in range(NODES)])
-    skew = F.get(F.array(*[F.lit(h * HOUR_MS) for h in SKEW_HOURS]), F.col("node_idx"))
-    log = numbered.join(_hourly_clocks(events), ["node_idx", "hour"]).select(
+    vc = ", ".join(f"if(node_idx = {j}, seq + 1, c{j})" for j in range(NODES))
+    skew = ", ".join(f"{h * HOUR_MS}L" for h in SKEW_HOURS)
+    log = numbered.join(_hourly_clocks(events), ["node_idx", "hour"]).selectExpr(
         "event_id",
         "user_id",
-        F.concat(F.lit("node-"), F.col("node_idx").cast("string")).alias("node_id"),
+        "node_id",
         "node_idx",
-        vc.alias("vc"),
-        (F.col("at_ms") + skew).alias("ts_ms"),
+        f"array({vc}) as vc",
+        f"at_ms + get(array({skew}), node_idx) as ts_ms",
         "level",
-        F.col("text").alias("message"),
-        F.create_map(
-            F.lit("trace_id"), F.col("user_id").cast("string"),
-            F.lit("k"), F.get_json_object("props", "$.k"),
-        ).alias("metadata"),
+        "text as message",
+        "map('trace_id', cast(user_id as string), 'k', get_json_object(props, '$.k')) as metadata",
         "seq",
-        F.to_date("ts").alias("log_date"),
+        "to_date(ts) as log_date",
     )
     return settled(log, ["vc"])
 
@@ -116,7 +106,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.coalesce(*[F.when(shape == i, text) for i, text in enumerate(shapes)])
     raw = _events(spark, sf_dir).select(
         "event_id",
-        F.concat(F.lit("node-"), F.col("node_idx").cast("string")).alias("node_id"),
+        "node_id",
         F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit(".log")).alias("file"),
         F.col("event_id").alias("line_no"),
         line.alias("line"),
@@ -127,8 +117,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def node_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(node_id, node_idx)`` of the nodes that occur."""
-    events = _events(spark, sf_dir).groupBy("node_idx").agg(F.count(F.lit(1)).alias("n"))
-    return events.select(F.concat(F.lit("node-"), F.col("node_idx").cast("string")).alias("node_id"), "node_idx")
+    return _events(spark, sf_dir).groupBy("node_id", "node_idx").agg(F.count(F.lit(1)).alias("n")).drop("n")
 
 
 def jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:

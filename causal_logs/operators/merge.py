@@ -9,13 +9,13 @@ from ..plans.scan import CHUNK_ROWS, running
 
 
 def _spread(log: DataFrame, node_count: int, *keep) -> DataFrame:
-    cells = [F.get("vc", F.lit(i)).alias(c) for i, c in enumerate(components(node_count))]
-    return log.select(*keep, *cells)
+    cells = [f"get(vc, {i}) as {c}" for i, c in enumerate(components(node_count))]
+    return log.select(*keep, *map(F.expr, cells))
 
 
 def _gathered(names: list[str]):
     """A clock from its components, as long as the highest one present."""
-    return F.filter(F.array(*names), lambda x: x.isNotNull())
+    return F.array_compact(F.array(*names))
 
 
 def merge_clocks(log: DataFrame, keys: list, node_count: int) -> DataFrame:
@@ -27,7 +27,7 @@ def merge_clocks(log: DataFrame, keys: list, node_count: int) -> DataFrame:
     spread = _spread(log, node_count, *keys)
     groups = spread.columns[: len(keys)]
     merged = spread.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("n"), *[F.max(c).alias(c) for c in components(node_count)]
+        F.count(F.lit(1)).alias("n"), *[F.expr(f"max({c}) as {c}") for c in components(node_count)]
     )
     return merged.select(*groups, _gathered(components(node_count)).alias("merged"), "n")
 
@@ -41,6 +41,6 @@ def running_frontier(
     maximum is taken inside stretches of the order and carried over them.
     """
     names = components(node_count)
-    placed = _spread(log, node_count, key, order).groupBy(key, order).agg(*[F.max(c).alias(c) for c in names])
+    placed = _spread(log, node_count, key, order).groupBy(key, order).agg(*[F.expr(f"max({c}) as {c}") for c in names])
     ran = running(placed, [key], order, {f"m{i}": c for i, c in enumerate(names)}, rows)
     return ran.select(key, order, _gathered([f"m{i}" for i in range(node_count)]).alias("frontier"))

@@ -1,10 +1,10 @@
 """Vector clocks for events that only say who sent what to whom."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.frontier import components
-from ..plans.scan import CHUNK_ROWS, chunk_of, running
+from ..plans.scan import CHUNK_ROWS, chunk_of
 from ..plans.skew import HEAVY_ROWS, lookup
 from ..session import written
 
@@ -17,19 +17,17 @@ def replay_clocks(
     """``(event, node_idx, seq, vc)`` from ``events (event, node_idx, seq)`` and
     ``messages (send_event, recv_event)``.
 
-    Every event ticks its node; a receiver merges the sender's clock. Each round
-    an event merges the clocks of all the events its own clock points at, not
-    just those of its direct senders, so the number of message hops covered
-    doubles: a chain of h hops takes about log2(h) rounds. Rounds are written
-    tables. Messages that form a circle raise ``ValueError``.
+    Every event ticks its node; a receiver merges the sender's clock. ``seq``
+    counts each node's events from 0 without gaps. Each round an event merges the
+    clocks of all the events its own clock points at, not just those of its
+    direct senders, so the number of hops covered (messages, and steps into the
+    next chunk of a node) doubles: a chain of h hops takes about log2(h) rounds.
+    Rounds are written tables. Messages that form a circle raise ``ValueError``.
     """
     names = components(node_count)
-    zero = F.lit(0).cast("bigint")
-    placed = events.select(
-        "event", F.col("node_idx").cast("int").alias("node_idx"), (F.col("seq") + 1).alias("tick")
-    )
-    own = [F.when(F.col("node_idx") == i, F.col("tick")).otherwise(zero).alias(c) for i, c in enumerate(names)]
-    state = placed.select("node_idx", "tick", *own)
+    placed = events.selectExpr("event", "cast(node_idx as int) as node_idx", "seq + 1 as tick")
+    own = [f"if(node_idx = {i}, tick, 0L) as {c}" for i, c in enumerate(names)]
+    state = placed.selectExpr("node_idx", "tick", *own)
     told = _first_hop(placed, messages, names)
     for _ in range(max_rounds):
         state = _advance(state.select("node_idx", "tick", *names), told, names, rows)
@@ -37,8 +35,8 @@ def replay_clocks(
         if circular:
             raise ValueError("messages form a circle")
         if not grew:
-            return placed.join(state, ["node_idx", "tick"]).select(
-                "event", "node_idx", (F.col("tick") - 1).alias("seq"), F.array(*names).alias("vc")
+            return placed.join(state, ["node_idx", "tick"]).selectExpr(
+                "event", "node_idx", "tick - 1 as seq", f"array({', '.join(names)}) as vc"
             )
         told = _second_hand(state, names, rows)
     raise ValueError(f"no fixpoint within {max_rounds} rounds")
@@ -49,10 +47,10 @@ def _first_hop(placed, messages, names):
     busy = messages.groupBy(F.col("send_event").alias("event")).count().where(F.col("count") >= HEAVY_ROWS)
     sends = lookup(
         messages.withColumnRenamed("send_event", "event"),
-        placed.select("event", F.col("node_idx").alias("from_node"), F.col("tick").alias("from_tick")),
+        placed.selectExpr("event", "node_idx as from_node", "tick as from_tick"),
         ["event"], busy,
     )
-    learned = [F.max(F.when(F.col("from_node") == i, F.col("from_tick"))).alias(c) for i, c in enumerate(names)]
+    learned = [F.expr(f"max(if(from_node = {i}, from_tick, null)) as {c}") for i, c in enumerate(names)]
     folded = sends.groupBy(F.col("recv_event").alias("event")).agg(*learned)
     return placed.join(folded, "event").select("node_idx", "tick", *names)
 
@@ -61,40 +59,46 @@ def _second_hand(state, names, rows):
     """The clocks of the events a clock points at.
 
     Only components that moved since the row before are followed (all of them at
-    the start of a chunk), so one sender's tick is asked for once per node and
-    chunk, however many entries know it.
+    the start of a chunk, and there the row before itself), so one sender's tick
+    is asked for once per node and chunk, however many entries know it.
     """
-    w = Window.partitionBy("node_idx", "_chunk").orderBy("tick")
-    stepped = state.withColumn("_chunk", chunk_of("tick", rows)).select(
-        "node_idx", "tick", *names, *[F.lag(c).over(w).alias(f"_was_{c}") for c in names]
+    before = "over (partition by node_idx, _chunk order by tick)"
+    stepped = state.withColumn("_chunk", chunk_of("tick", rows)).selectExpr(
+        "node_idx", "tick", *names,
+        f"lag(tick) {before} is null and tick > 1 as _first",
+        *[f"coalesce(lag({c}) {before}, 0L) as _was_{c}" for c in names],
     )
-    moved = []
-    for j, c in enumerate(names):
-        news = (F.col("node_idx") != j) & (F.col(c) > F.coalesce(f"_was_{c}", F.lit(0)))
-        moved.append(F.when(news, F.struct(F.lit(j).alias("j"), F.col(c).alias("k"))))
-    asks = stepped.withColumn("_moved", F.array_compact(F.array(*moved))).select(
-        F.col("node_idx").alias("to_node"), F.col("tick").alias("to_tick"), F.inline("_moved")
+    moved = [
+        f"case when node_idx = {j} then if(_first, named_struct('j', {j}, 'k', tick - 1), null) "
+        f"when {c} > _was_{c} then named_struct('j', {j}, 'k', {c}) end"
+        for j, c in enumerate(names)
+    ]
+    asks = stepped.selectExpr(
+        "node_idx as to_node", "tick as to_tick", f"inline(array_compact(array({', '.join(moved)})))"
     )
-    known = state.select(F.col("node_idx").alias("j"), F.col("tick").alias("k"), *names)
+    known = state.selectExpr("node_idx as j", "tick as k", *names)
     return (
         asks.join(known, ["j", "k"])
         .groupBy(F.col("to_node").alias("node_idx"), F.col("to_tick").alias("tick"))
-        .agg(*[F.max(c).alias(c) for c in names])
+        .agg(*[F.expr(f"max({c}) as {c}") for c in names])
     )
 
 
 def _advance(state, told, names, rows):
-    """Merge what was told into the rows and carry it along each node."""
-    told = told.select("node_idx", "tick", *[F.col(c).alias(f"t_{c}") for c in names])
-    grew, circular = F.lit(False), F.lit(False)
-    for j, c in enumerate(names):
-        grew = grew | (F.col(c) > F.col(f"old_{c}"))
-        # Whoever an event hears of must not know that event already.
-        circular = circular | ((F.col("node_idx") == j) & (F.col(f"t_{c}") >= F.col("tick")))
-    merged = state.join(told, ["node_idx", "tick"], "left").select(
-        "node_idx", "tick", *[F.col(c).alias(f"old_{c}") for c in names],
-        *[F.greatest(c, f"t_{c}").alias(f"got_{c}") for c in names],
-        F.coalesce(circular, F.lit(False)).alias("circular"),
+    """Merge what was told into the rows and carry it along each chunk of a node."""
+    told = told.selectExpr("node_idx", "tick", *[f"{c} as t_{c}" for c in names])
+    # Whoever an event hears of must not know that event already.
+    circular = " or ".join(f"(node_idx = {j} and t_{c} >= tick)" for j, c in enumerate(names))
+    merged = state.join(told, ["node_idx", "tick"], "left").selectExpr(
+        "node_idx", "tick", *names, *[f"greatest({c}, t_{c}) as got_{c}" for c in names],
+        f"coalesce({circular}, false) as circular",
+    )
+    so_far = (
+        "over (partition by node_idx, _chunk order by tick rows between unbounded preceding and current row)"
+    )
+    carried = merged.withColumn("_chunk", chunk_of("tick", rows)).selectExpr(
+        "node_idx", "tick", *[f"{c} as old_{c}" for c in names],
+        *[f"max(got_{c}) {so_far} as {c}" for c in names], "circular",
     )
-    ran = running(merged, ["node_idx"], "tick", {c: f"got_{c}" for c in names}, rows)
-    return written(ran.select("node_idx", "tick", *names, grew.alias("grew"), "circular"), "replay")
+    grew = " or ".join(f"{c} > old_{c}" for c in names)
+    return written(carried.selectExpr("node_idx", "tick", *names, f"{grew} as grew", "circular"), "replay")

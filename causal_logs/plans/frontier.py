@@ -14,7 +14,6 @@ chunk). Running values along the node put the rest back together.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import clocks
 from ..session import written
 from .scan import CHUNK_ROWS, as_of, chunk_of
 from .skew import HEAVY_ROWS, lookup
@@ -24,6 +23,10 @@ def components(node_count: int) -> list[str]:
     return [f"c{i}" for i in range(node_count)]
 
 
+def _move(j: int, k: str, c: str) -> str:
+    return f"named_struct('j', {j}, 'k', {k}, 'was', _was_{c})"
+
+
 def tick_table(
     log: DataFrame,
     node_count: int,
@@ -39,26 +42,24 @@ def tick_table(
     written once, since every later step reads some of its columns.
     """
     names = components(node_count)
-    narrow = log.withColumn("tick", clocks.own_tick()).where(F.col("tick") > 0)
-    narrow = narrow.select("*", *[clocks.component("vc", i).alias(c) for i, c in enumerate(names)])
-    ticks = narrow.groupBy(F.col("node_idx").cast("int").alias("node_idx"), "tick").agg(
-        F.count(F.lit(1)).alias("copies"),
+    narrow = log.withColumn("tick", F.expr("get(vc, node_idx)")).where("tick > 0").selectExpr(
+        "*", "cast(node_idx as int) as _node", *[f"coalesce(get(vc, {i}), 0L) as {c}" for i, c in enumerate(names)]
+    )
+    ticks = narrow.groupBy(F.col("_node").alias("node_idx"), "tick").agg(
+        F.expr("count(1) as copies"),
         *[agg.alias(name) for name, agg in (values or {}).items()],
-        *[F.max(c).alias(c) for c in names],
+        *[F.expr(f"max({c}) as {c}") for c in names],
     )
-    w = Window.partitionBy("node_idx", "_chunk").orderBy("tick")
-    ticks = ticks.withColumn("_chunk", chunk_of("tick", rows)).select(
-        "*", F.lag("tick").over(w).alias("prev_tick"), *[F.lag(c).over(w).alias(f"_was_{c}") for c in names]
+    before = "over (partition by node_idx, _chunk order by tick)"
+    ticks = ticks.withColumn("_chunk", chunk_of("tick", rows)).selectExpr(
+        "*", f"lag(tick) {before} as prev_tick", *[f"coalesce(lag({c}) {before}, 0L) as _was_{c}" for c in names]
     )
-    first = F.col("prev_tick").isNull()
-    moves = []
-    for j, c in enumerate(names):
-        was = F.coalesce(F.col(f"_was_{c}"), F.lit(0).cast("bigint"))
-        move = lambda k: F.struct(F.lit(j).alias("j"), k.alias("k"), was.alias("was"))
-        own = F.when(first & (F.col("tick") > 1), move(F.col("tick") - 1))
-        other = F.when(F.col(c) > was, move(F.col(c)))
-        moves.append(F.when(F.col("node_idx") == j, own).otherwise(other))
-    ticks = ticks.withColumn("news", F.array_compact(F.array(*moves)))
+    moves = [
+        f"case when node_idx = {j} then if(prev_tick is null and tick > 1, {_move(j, 'tick - 1', c)}, null) "
+        f"when {c} > _was_{c} then {_move(j, c, c)} end"
+        for j, c in enumerate(names)
+    ]
+    ticks = ticks.withColumn("news", F.expr(f"array_compact(array({', '.join(moves)}))"))
     ticks = ticks.drop("_chunk", *[f"_was_{c}" for c in names])
     return written(ticks, "ticks")
 
@@ -69,11 +70,8 @@ def _along_node(ticks: DataFrame, answers: DataFrame, value: str, combine, out:
     A row sees the answers to its own questions and everything before it in its
     chunk, but not its own value.
     """
-    at_tick = ticks.select("node_idx", "tick", F.lit(1).alias("_kind"), F.col(value).alias("_v"))
-    told = answers.select(
-        F.col("to_node").alias("node_idx"), F.col("to_tick").alias("tick"),
-        F.lit(0).alias("_kind"), F.col("_v"),
-    )
+    at_tick = ticks.selectExpr("node_idx", "tick", "1 as _kind", f"{value} as _v")
+    told = answers.selectExpr("to_node as node_idx", "to_tick as tick", "0 as _kind", "_v")
     w = (
         Window.partitionBy("node_idx", "_chunk").orderBy("tick", "_kind")
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -88,31 +86,20 @@ def _along_node(ticks: DataFrame, answers: DataFrame, value: str, combine, out:
 
 
 def _news(ticks: DataFrame) -> DataFrame:
-    return ticks.select(
-        F.col("node_idx").alias("to_node"), F.col("tick").alias("to_tick"), F.inline("news")
-    )
+    return ticks.selectExpr("node_idx as to_node", "tick as to_tick", "inline(news)")
 
 
 def past_max(ticks: DataFrame, value: str, out: str, rows: int = CHUNK_ROWS) -> DataFrame:
     """``(node_idx, tick, value, out)``: largest ``value`` in the strict causal past."""
-    asks = _news(ticks).select(
-        F.col("j").alias("node_idx"), F.col("k").alias("tick"), "to_node", "to_tick"
-    )
+    asks = _news(ticks).selectExpr("j as node_idx", "k as tick", "to_node", "to_tick")
     answers = as_of(ticks, asks, value, F.max, rows).withColumn("_v", F.col(value))
     return _along_node(ticks, answers, value, F.max, out, rows)
 
 
 def past_count(ticks: DataFrame, out: str, rows: int = CHUNK_ROWS) -> DataFrame:
     """``(node_idx, tick, copies, out)``: number of stored rows in the strict causal past."""
-    both = F.array(
-        F.struct(F.col("k").alias("tick"), F.lit(1).alias("sign")),
-        F.struct(F.col("was").alias("tick"), F.lit(-1).alias("sign")),
-    )
-    asks = (
-        _news(ticks)
-        .select(F.col("j").alias("node_idx"), "to_node", "to_tick", F.inline(both))
-        .where(F.col("tick") > 0)
-    )
+    both = "inline(array(named_struct('tick', k, 'sign', 1), named_struct('tick', was, 'sign', -1)))"
+    asks = _news(ticks).selectExpr("j as node_idx", "to_node", "to_tick", both).where("tick > 0")
     answers = as_of(ticks, asks, "copies", F.sum, rows).withColumn("_v", F.col("copies") * F.col("sign"))
     counted = _along_node(ticks, answers, "copies", F.sum, out, rows)
     return counted.withColumn(out, F.coalesce(F.col(out), F.lit(0).cast("bigint")))
@@ -124,11 +111,9 @@ def known_by(ticks: DataFrame, node_count: int, out: str, rows: int = CHUNK_ROWS
     That is the row's own copies and everything after it. Counted from the
     histogram of each component, not from pairs.
     """
-    cells = F.array(
-        *[F.struct(F.lit(j).alias("node_idx"), F.col(c).alias("tick")) for j, c in enumerate(components(node_count))]
-    )
+    cells = [f"named_struct('node_idx', {j}, 'tick', {c})" for j, c in enumerate(components(node_count))]
     reached = (
-        ticks.select("copies", F.inline(cells))
+        ticks.selectExpr("copies", f"inline(array({', '.join(cells)}))")
         .groupBy("node_idx", "tick").agg(F.sum("copies").alias("_n"))
     )
     everyone = ticks.agg(F.sum("copies").alias("_all")).scalar()

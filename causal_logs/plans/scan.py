@@ -107,16 +107,16 @@ def running(
     ``values`` maps output to input columns. ``(keys, order)`` must be unique,
     so that a chunk of ``order`` holds a bounded number of rows.
     """
+    by = ", ".join(keys)
     chunked = df.withColumn("_chunk", chunk_of(order, rows))
-    tops = chunked.groupBy(*keys, "_chunk").agg(*[F.max(v).alias(f"_top_{k}") for k, v in values.items()])
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(*_ALL_BEFORE)
-    carry = tops.select(*keys, "_chunk", *[F.max(f"_top_{k}").over(before).alias(f"_carry_{k}") for k in values])
-    so_far = Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(*_SO_FAR)
-    inside = chunked.select("*", *[F.max(v).over(so_far).alias(f"_in_{k}") for k, v in values.items()])
+    tops = chunked.groupBy(*keys, "_chunk").agg(*[F.expr(f"max({v}) as _top_{k}") for k, v in values.items()])
+    before = f"over (partition by {by} order by _chunk rows between unbounded preceding and 1 preceding)"
+    carry = tops.selectExpr(*keys, "_chunk", *[f"max(_top_{k}) {before} as _carry_{k}" for k in values])
+    so_far = f"over (partition by {by}, _chunk order by {order} rows between unbounded preceding and current row)"
+    inside = chunked.selectExpr("*", *[f"max({v}) {so_far} as _in_{k}" for k, v in values.items()])
     joined = inside.join(carry, [*keys, "_chunk"])
-    for k in values:
-        joined = joined.withColumn(k, F.greatest(f"_in_{k}", f"_carry_{k}"))
-    return joined.select(*[c for c in joined.columns if not c.startswith("_")])
+    others = [c for c in df.columns if c not in values]
+    return joined.selectExpr(*others, *[f"greatest(_in_{k}, _carry_{k}) as {k}" for k in values])
 
 
 def as_of(stops: DataFrame, asks: DataFrame, value: str, combine, rows: int = CHUNK_ROWS) -> DataFrame:

@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", app: str = "causal_logs", **conf) -> S
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Longer generated methods are not compiled by the JVM.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Call sites of every column cost a round trip to the JVM each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
