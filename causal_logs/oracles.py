@@ -254,7 +254,7 @@ ORACLES = {
     "relation_counts": f"WITH {_LOG}{_counts('log')}",
     "relation_counts_lossy": f"WITH {_LOSSY}{_counts('lossy')}",
     "causal_slice": f"""WITH {_LOG},
-        middle AS (SELECT node_idx, quantile_cont(tick, 0.5) AS m FROM log WHERE level = 'ERROR' GROUP BY 1),
+        middle AS (SELECT node_idx, max(tick) // 2 AS m FROM log GROUP BY 1),
         target AS (
           SELECT * FROM log WHERE (node_idx, tick) IN (
             SELECT (l.node_idx, min(tick)) FROM log l JOIN middle USING (node_idx)
