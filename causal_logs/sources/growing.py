@@ -1,0 +1,151 @@
+"""Text files that are still being written, as a stream source.
+
+Follows ``path/<node id>/<file>`` by byte position: only complete lines are
+taken, a line once, and a file that was cut or replaced starts again from its
+beginning. What a file is, is told by its first line, so a rotated file is
+noticed even if it has already outgrown the old position.
+"""
+
+import hashlib
+import io
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+
+SCHEMA = "node_id string, file string, block bigint, modified_ms bigint, line string"
+SPLIT_BYTES = 64 << 20
+_HEAD_BYTES = 256
+_TAIL_BYTES = 1 << 20
+_BATCH_LINES = 20_000
+
+
+class ByteRange(InputPartition):
+    """The lines of ``path`` that start in [begin, end); ``base`` is a line start."""
+
+    def __init__(self, path, name, base, begin, end, modified_ms):
+        self.path, self.name, self.base = path, name, base
+        self.begin, self.end, self.modified_ms = begin, end, modified_ms
+
+
+class GrowingLogSource(DataSource):
+    @classmethod
+    def name(cls):
+        return "growing_log"
+
+    def schema(self):
+        return SCHEMA
+
+    def streamReader(self, schema):
+        return GrowingLogReader(self.options)
+
+
+class GrowingLogReader(DataSourceStreamReader):
+    def __init__(self, options):
+        self.root = options["path"]
+        self.latest = options.get("start", "earliest") == "latest"
+        self.split = int(options.get("splitbytes", SPLIT_BYTES))
+
+    def _filesystem(self):
+        return fs.FileSystem.from_uri(self.root)
+
+    def initialOffset(self):
+        return self.latestOffset() if self.latest else {}
+
+    def latestOffset(self):
+        """Per file: [identity, end of the last complete line, modification time]."""
+        files, root = self._filesystem()
+        found = {}
+        for info in files.get_file_info(fs.FileSelector(root, recursive=True)):
+            if info.type == fs.FileType.File and info.size:
+                with files.open_input_file(info.path) as f:
+                    end = _last_line_end(f, info.size)
+                    if end:
+                        head = f.read_at(min(_HEAD_BYTES, end), 0).split(b"\n", 1)[0]
+                        found[info.path] = [hashlib.sha1(head).hexdigest()[:12], end, int(info.mtime.timestamp() * 1000)]
+        return found
+
+    def partitions(self, start, end):
+        ranges = []
+        for path, (identity, stop, modified_ms) in sorted(end.items()):
+            known, base, _ = start.get(path, [identity, 0, 0])
+            if known != identity or base > stop:
+                base = 0
+            for begin in range(base, stop, self.split):
+                ranges.append(ByteRange(path, f"{path}@{identity}", base, begin, min(begin + self.split, stop), modified_ms))
+        return ranges
+
+    def read(self, partition):
+        files, _ = self._filesystem()
+        node = partition.path.rsplit("/", 2)[-2].removeprefix("node_id=")
+        with io.BufferedReader(files.open_input_file(partition.path), _TAIL_BYTES) as f:
+            place = partition.begin
+            if place > partition.base:
+                # The line reaching into the range belongs to the range before.
+                f.seek(place - 1)
+                place += len(f.readline()) - 1
+            else:
+                f.seek(place)
+            lines = []
+            while place < partition.end:
+                line = f.readline()
+                if not line:
+                    break
+                place += len(line)
+                lines.append(line.rstrip(b"\n").decode("utf-8", "replace"))
+                if len(lines) == _BATCH_LINES:
+                    yield _batch(node, partition, lines)
+                    lines = []
+            if lines:
+                yield _batch(node, partition, lines)
+
+    def commit(self, end):
+        pass
+
+
+def _last_line_end(f, size):
+    """Position after the last newline, 0 without one."""
+    stop = size
+    while stop > 0:
+        begin = max(0, stop - _TAIL_BYTES)
+        at = f.read_at(stop - begin, begin).rfind(b"\n")
+        if at >= 0:
+            return begin + at + 1
+        stop = begin
+    return 0
+
+
+def _batch(node, partition, lines):
+    n = len(lines)
+    return pa.RecordBatch.from_pydict(
+        {
+            "node_id": pa.array([node] * n, pa.string()),
+            "file": pa.array([partition.name] * n, pa.string()),
+            "block": pa.array([partition.begin] * n, pa.int64()),
+            "modified_ms": pa.array([partition.modified_ms] * n, pa.int64()),
+            "line": pa.array(lines, pa.string()),
+        }
+    )
+
+
+def read_growing(
+    spark: SparkSession, path: str, start: str = "earliest", split_bytes: int = SPLIT_BYTES
+) -> DataFrame:
+    """Stream of raw lines in the shape ``streaming.ingest.start_landing`` takes.
+
+    ``path`` is a folder all executors see, or a URI Arrow can open. With
+    ``start="latest"`` only lines written after the first start are read.
+    """
+    spark.dataSource.register(GrowingLogSource)
+    stream = (
+        spark.readStream.format("growing_log")
+        .option("path", path).option("start", start).option("splitBytes", split_bytes).load()
+    )
+    return stream.select(
+        "node_id", "file", "block",
+        F.col("modified_ms").alias("ingest_ts"),
+        F.to_date(F.timestamp_millis("modified_ms")).alias("log_date"),
+        "line",
+    )
