@@ -61,16 +61,25 @@ def node_dimension(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.createDataFrame(pairs, "node_id string, node_idx int")
 
 
+def checked_nodes(nodes: DataFrame) -> DataFrame:
+    """``nodes`` for a broadcast, after making sure there are at most 32."""
+    if nodes.limit(MAX_NODES + 1).count() > MAX_NODES:
+        raise ValueError(f"more than {MAX_NODES} nodes")
+    return F.broadcast(nodes.select("node_id", "node_idx"))
+
+
 def stamp_clocks(
     parsed: DataFrame, nodes: DataFrame, node_count: int, rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """Number the entries of each node and write the tick into its clock.
 
     Adds ``node_idx``, ``seq`` (0-based by file and line) and ``vc``, zero but
-    for the own component. ``nodes`` holds at most 32 rows. Numbering goes by
-    stretches of lines within a file, so one node may hold most of the rows.
+    for the own component. Entries of a node that ``nodes`` does not list keep a
+    NULL ``node_idx`` and a zero clock. Numbering goes by stretches of lines
+    within a file, so one node may hold most of the rows.
     """
-    placed = parsed.join(F.broadcast(nodes.select("node_id", "node_idx").limit(MAX_NODES)), "node_id")
+    named = parsed.withColumn("node_id", F.coalesce("node_id", F.lit("")))
+    placed = named.join(checked_nodes(nodes), "node_id", "left")
     numbered = number_rows(
         placed.withColumn("_block", chunk_of("line_no", rows)),
         ["node_id"], ["file", "_block"], ["line_no"], "seq",

@@ -43,6 +43,8 @@ def causal_order(
     Where wall clocks agree with causality it is time order. Entries with equal
     clocks come in time order, then by node.
 
+    All columns of ``log`` travel through the sort; pass those you need.
+
     ``eff_ts`` rests on well-formed clocks (see ``clock_audit``); with
     ``well_formed=False`` the order is by ``vc_sum`` first and needs no premise.
     """

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from . import fixtures
 from .functions import clocks, entries
 from .operators import audit, graph, ingest, merge, order, query, relation, replay, search
-from .schema import MAX_NODES
 from .session import new_path
 from .sources import jsonl, store
 from .streaming import ingest as streaming
@@ -177,7 +176,7 @@ def causal_slice(spark, sf_dir):
     tick = clocks.own_tick()
     half = log.groupBy("node_idx").agg(F.expr("max(get(vc, node_idx)) div 2 as half"))
     targets = (
-        log.where(F.col("level") == "ERROR").join(F.broadcast(half.limit(MAX_NODES)), "node_idx")
+        log.where(F.col("level") == "ERROR").join(half, "node_idx")
         .where(tick >= F.col("half"))
         .groupBy("node_idx").agg(F.min_by(F.struct("event_id", "vc"), tick).alias("t"))
         .select("node_idx", "t.event_id", "t.vc")

@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.ingest import fresh_clock, ingest_stats, parse_lines
-from ..schema import MAX_NODES
+from ..operators.ingest import checked_nodes, fresh_clock, ingest_stats, parse_lines
 from ..sources import jsonl, store
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -126,7 +125,7 @@ def read_stamped(spark: SparkSession, path: str, nodes: DataFrame, node_count: i
         placed.withColumn("_inside", F.row_number().over(inside) - 1)
         .join(firsts, _BLOCK)
         .withColumn("seq", F.col("first_seq") + F.col("_inside"))
-        .join(F.broadcast(nodes.select("node_id", "node_idx").limit(MAX_NODES)), "node_id")
+        .join(checked_nodes(nodes), "node_id", "left")
     )
     return stamped.withColumn("vc", fresh_clock(node_count, F.col("node_idx"), F.col("seq") + 1)).drop(
         "block", "first_seq", "_part", "_row", "_inside"

@@ -13,7 +13,7 @@ CASES = [
 ]
 
 
-@pytest.fixture(params=range(len(CASES)), ids=str)
+@pytest.fixture(params=range(len(CASES)), ids=str, scope="module")
 def case(request, spark):
     options = CASES[request.param]
     rows = random_log(**options)
@@ -80,6 +80,14 @@ def test_relation_counts(case):
         assert got[x[0]] == tuple(kinds.count(k) for k in ("HAPPENS_BEFORE", "HAPPENS_AFTER", "EQUAL", "CONCURRENT"))
 
 
+def test_entries_without_a_clock_are_concurrent(spark):
+    rows = [*random_log(7, events=20), (98, "node-0", 0, None, 5, 90), (99, "node-1", None, [1, 1, 1, 1], 6, 91)]
+    log = spark.createDataFrame(rows, SCHEMA)
+    got = {r.event_id: (r.n_before, r.n_after, r.n_equal, r.n_concurrent) for r in relation.relation_counts(log, 4).collect()}
+    assert got[98] == got[99] == (0, 0, 0, 21) and all(sum(c) == 21 for c in got.values())
+    assert {r.pos for r in order.causal_order(log, 4).collect()} == set(range(1, 23))
+
+
 def test_heavy_copies_take_the_broadcast_path(case, monkeypatch):
     rows, log, n = case
     plain = sorted(map(tuple, relation.relation_counts(log, n).collect()))
