@@ -66,9 +66,7 @@ def keyword_hits(
     words = _keywords(keywords)
     postings = index.where(F.col("token").isin(*words))
     if "bucket" in index.columns:
-        spark = index.sparkSession
-        hashed = spark.range(1).select(*[bucket_of(F.lit(w)).alias(f"b{i}") for i, w in enumerate(words)]).first()
-        postings = postings.where(F.col("bucket").isin(*set(hashed)))
+        postings = postings.where(F.col("bucket").isin(*[bucket_of(F.lit(w)) for w in words]))
     hits = postings.groupBy(event_id).agg(F.count(F.lit(1)).alias("matched"), F.sum("tf").alias("tf"))
     return hits.where(F.col("matched") == len(words)) if mode == "and" else hits
 
