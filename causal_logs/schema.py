@@ -41,12 +41,3 @@ WIRE_SCHEMA = T.StructType(
         T.StructField("_corrupt_record", T.StringType()),
     ]
 )
-
-RAW_SCHEMA = T.StructType(
-    [
-        T.StructField("node_id", T.StringType()),
-        T.StructField("file", T.StringType()),
-        T.StructField("line_no", T.LongType()),
-        T.StructField("line", T.StringType()),
-    ]
-)

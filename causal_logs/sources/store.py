@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clocks, entries
+from ..schema import LOG_SCHEMA
 from . import jsonl
 
 
@@ -52,6 +53,20 @@ def read_store(spark: SparkSession, path: str, **options) -> DataFrame:
     return jsonl.ingest_jsonl(jsonl.read_jsonl(spark, path), **options)
 
 
+def conform(log: DataFrame) -> DataFrame:
+    """The columns of the typed log with their types and in their order, NULL
+    where absent; further columns follow."""
+    typed = [
+        (F.col(f.name) if f.name in log.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA
+    ]
+    return log.select(*typed, *[c for c in log.columns if c not in LOG_SCHEMA.names])
+
+
 def write_table(log: DataFrame, path: str) -> None:
     """The typed log as Parquet in daily folders, for repeated queries."""
-    with_log_date(log).write.mode("append").partitionBy("log_date").parquet(path)
+    conform(with_log_date(log)).write.mode("append").partitionBy("log_date").parquet(path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The typed log; a filter on ``log_date`` reads only those folders."""
+    return spark.read.parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from causal_logs.operators import audit, graph, merge, order, relation, replay
 from causal_logs.plans import scan, skew
 from causal_logs.plans import frontier
-from reference_model import SCHEMA, random_log, reduced_edges, relation as rel
+from plain_models import SCHEMA, random_log, reduced_edges, relation as rel
 
 CASES = [
     dict(seed=2, nodes=3, lost=0.15), dict(seed=3, nodes=5, events=70, copies=0.2), dict(seed=4, lost=0.1, copies=0.1),

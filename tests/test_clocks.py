@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from causal_logs.functions import clocks
-from reference_model import relation
+from plain_models import relation
 
 PAIRS = [
     ([1, 2, 3], [1, 2, 3], "EQUAL", [1, 2, 3]),
