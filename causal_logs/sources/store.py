@@ -57,7 +57,8 @@ def conform(log: DataFrame) -> DataFrame:
     """The columns of the typed log with their types and in their order, NULL
     where absent; further columns follow."""
     typed = [
-        (F.col(f.name) if f.name in log.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA
+        (F.col(f.name) if f.name in log.columns else F.lit(None)).cast(f.dataType.simpleString()).alias(f.name)
+        for f in LOG_SCHEMA
     ]
     return log.select(*typed, *[c for c in log.columns if c not in LOG_SCHEMA.names])
 
