@@ -1,10 +1,11 @@
 """Continuous intake: landing files to stamped log rows.
 
-Two queries with their own checkpoints, both append to file sinks and so take
+Queries with their own checkpoints, all append to file sinks and so take
 every line exactly once:
 
 * ``start_landing`` reads closed text files, parses the lines and stores them.
   It keeps no state.
+* ``start_rejects``, where wanted, stores the lines that cannot be entries.
 * ``start_ticking`` follows that table and numbers the entries of each node. It
   only looks at how many entries each block of a file holds: the counts are made
   inside the tasks, and the state function, which hands out the first tick of
@@ -82,6 +83,20 @@ def start_landing(
     )
 
 
+def start_rejects(
+    raw: DataFrame, path: str, grammar: str = "documented", trigger: dict | None = None
+) -> StreamingQuery:
+    """Store the lines with an impossible date, as received, under ``path/rejects``."""
+    rejected = parse_lines(raw, F.col("ingest_ts"), grammar, F.col("ts_ms").isNull())
+    return (
+        rejected.select("node_id", "file", "block", "line", "log_date", F.lit("bad_timestamp").alias("reason"))
+        .writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", f"{path}/_checkpoints/rejects")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start(f"{path}/rejects")
+    )
+
+
 def _count_blocks(batches):
     for batch in batches:
         yield batch.groupby(_BLOCK, as_index=False, sort=False).size().rename(columns={"size": "n"})
@@ -136,7 +151,9 @@ def ingest_available(
     spark: SparkSession, landing: str, path: str, grammar: str = "documented", max_files: int | None = None
 ) -> None:
     """Take in everything that has landed so far, then stop."""
-    start_landing(read_landing(spark, landing, max_files=max_files), path, grammar).awaitTermination()
+    raw = read_landing(spark, landing, max_files=max_files)
+    start_landing(raw, path, grammar).awaitTermination()
+    start_rejects(raw, path, grammar).awaitTermination()
     start_ticking(spark, path).awaitTermination()
 
 

@@ -36,7 +36,7 @@ def test_ticks_continue_over_batches_and_restarts(spark, tmp_path):
     first, n_first = _stamped(spark, store, nodes)
     assert len(first) == n_first > 0
 
-    _land(landing, "a", "003.log", _lines("a", 3, 25))
+    _land(landing, "a", "003.log", [*_lines("a", 3, 25), "2024-13-01 10:00:00 INFO no such month"])
     _land(landing, "b", "003.log", _lines("b", 3, 5))
     stream.ingest_available(spark, str(landing), store)
     second, n_second = _stamped(spark, store, nodes)
@@ -51,6 +51,8 @@ def test_ticks_continue_over_batches_and_restarts(spark, tmp_path):
 
     stream.ingest_available(spark, str(landing), store)
     assert _stamped(spark, store, nodes)[1] == n_second
+    rejects = spark.read.parquet(f"{store}/rejects").collect()
+    assert [(r.node_id, r.line) for r in rejects] == [("a", "2024-13-01 10:00:00 INFO no such month")]
 
 
 def test_latest_start_skips_older_files(spark, tmp_path):
