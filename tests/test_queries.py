@@ -20,7 +20,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from causal_logs.oracles import ORACLES
+    from causal_logs.queries import QUERIES
+
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", SAMPLE)
