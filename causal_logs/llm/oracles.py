@@ -40,7 +40,7 @@ counts AS (
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
     coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
     coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
-    len(list_filter(w, x -> list_contains(s, x))) AS n_stop
+    len(list_filter(w, lambda x: list_contains(s, x))) AS n_stop
   FROM d CROSS JOIN stops LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
