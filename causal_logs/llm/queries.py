@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality
+from . import decontaminate, language, quality, rows
+
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -33,3 +35,16 @@ def op6_decontamination(spark, sf_dir):
     """Benchmark windows in every document."""
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.report(decontaminate.contamination(docs, items))
+
+
+def language_model(docs: DataFrame) -> language.Model:
+    """Learnt from the labelled documents that are not held out."""
+    return language.train(docs.where(~rows.held_out(F.col("doc_id"))), VOCABULARY)
+
+
+@_query
+def op10_language_id(spark, sf_dir):
+    """Language of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    found = language.predict(docs.select("doc_id", "text"), language_model(docs))
+    return found.select("doc_id", rows.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
