@@ -20,6 +20,8 @@ from . import pieces, rows
 # Labelled texts used for training: about so many, chosen by the hash of their id.
 SAMPLE_ROWS = 6000
 MAX_LANGUAGES = 500
+# Likelihoods of parts of words that a task keeps for its next texts.
+KEPT_PARTS = 400_000
 UNKNOWN = "und"
 _FLOOR = 1e-6
 
@@ -27,7 +29,7 @@ _FLOOR = 1e-6
 class Model(NamedTuple):
     vocabulary: pieces.Vocabulary
     languages: list[str]
-    probability: np.ndarray  # pieces by languages
+    probability: np.ndarray  # languages by pieces
 
 
 def _prior(vocabulary: pieces.Vocabulary) -> np.ndarray:
@@ -54,14 +56,12 @@ def train(labelled: DataFrame, vocabulary_path: str, sample_rows: int = SAMPLE_R
                 if not len(cut.which):
                     continue
                 edges = pieces.lattice(vocabulary, cut.data, cut.starts)
-                weight = np.maximum(prior[edges.id], _FLOOR)[:, None]
-                before, after = pieces.forward(edges, weight)[:, 0], pieces.backward(edges, weight)[:, 0]
-                whole = np.repeat(after[cut.starts[:-1]], np.diff(cut.starts))
-                times = np.repeat(np.bincount(cut.which, minlength=len(cut.starts) - 1), np.diff(cut.starts))
-                first = edges.place[edges.start] == 0
-                last = np.isin(edges.end, cut.starts[1:])
-                share = np.where(first, 1.0, before[edges.start - 1]) * weight[:, 0] * np.where(last, 1.0, after[np.minimum(edges.end, len(after) - 1)])
-                share *= times[edges.start] / whole[edges.start]
+                weight = prior[edges.id]
+                before, after = pieces.forward(edges, weight[None])[0], pieces.backward(edges, weight[None])[0]
+                share = before[edges.start] * weight * after[edges.end]
+                nodes = np.diff(edges.first)
+                times = np.bincount(cut.which, minlength=len(nodes)) / after[edges.first[:-1]]
+                share *= np.repeat(times, nodes)[edges.start]
                 totals[name] = totals.get(name, 0) + np.bincount(edges.id, share, minlength=vocabulary.size)
         for name, total in totals.items():
             used = np.flatnonzero(total)
@@ -81,7 +81,8 @@ def train(labelled: DataFrame, vocabulary_path: str, sample_rows: int = SAMPLE_R
         counts[r.piece, languages.index(r.lang)] = r.n
     share = counts / np.maximum(counts.sum(axis=0), 1.0)
     common = share.mean(axis=1, keepdims=True) if languages else share
-    return Model(vocabulary, languages, np.maximum(0.98 * share + 0.01 * common + 0.01 * prior[:, None], _FLOOR))
+    probability = np.maximum(0.98 * share + 0.01 * common + 0.01 * prior[:, None], _FLOOR)
+    return Model(vocabulary, languages, np.ascontiguousarray(probability.T))
 
 
 def _letters(part: rows.Texts) -> np.ndarray:
@@ -94,6 +95,36 @@ def _letters(part: rows.Texts) -> np.ndarray:
     return some
 
 
+class _Scorer:
+    """Log-likelihoods of parts, those of the latest parts kept by their hash."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.known, self.values = np.zeros(0, np.uint64), np.zeros((0, len(model.languages)))
+
+    def __call__(self, cut: pieces.Parts) -> np.ndarray:
+        """Of each distinct part and language."""
+        at = np.searchsorted(self.known, cut.hash)
+        old = at < len(self.known)
+        old[old] = self.known[at[old]] == cut.hash[old]
+        out = np.empty((len(cut.hash), self.values.shape[1]))
+        out[old] = self.values[at[old]]
+        new = np.flatnonzero(~old)
+        if len(new):
+            size = np.diff(cut.starts)[new]
+            own = np.concatenate([[0], np.cumsum(size)])
+            data = cut.data[np.arange(own[-1]) + np.repeat(cut.starts[new] - own[:-1], size)]
+            edges = pieces.lattice(self.model.vocabulary, data, own)
+            sums = pieces.forward(edges, self.model.probability[:, edges.id])
+            out[new] = np.log(np.maximum(sums[:, edges.first[1:] - 1], 1e-300)).T
+            if len(self.known) > KEPT_PARTS:
+                self.known, self.values = self.known[:0], self.values[:0]
+            known = np.concatenate([self.known, cut.hash[new]])
+            order = np.argsort(known)
+            self.known, self.values = known[order], np.concatenate([self.values, out[new]])[order]
+        return out
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the posterior of that language.
 
@@ -105,13 +136,12 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     many = len(model.languages)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(model)
         for part in rows.texts(batches, text):
             total = np.zeros((len(part), many))
             cut = pieces.parts(part.data, part.starts)
             if many and len(cut.which):
-                edges = pieces.lattice(model.vocabulary, cut.data, cut.starts)
-                sums = pieces.forward(edges, model.probability[edges.id])
-                of_part = np.log(np.maximum(sums[cut.starts[1:] - 1], 1e-300))[cut.which]
+                of_part = scorer(cut)[cut.which]
                 full = np.flatnonzero(np.diff(cut.first))
                 total[full] = np.add.reduceat(of_part, cut.first[full])
             best = total.argmax(axis=1) if many else np.zeros(len(part), int)

@@ -107,6 +107,7 @@ class Parts(NamedTuple):
     which: np.ndarray
     data: np.ndarray
     starts: np.ndarray
+    hash: np.ndarray  # of the distinct ones, ascending
 
 
 def parts(data: np.ndarray, starts: np.ndarray) -> Parts:
@@ -124,22 +125,26 @@ def parts(data: np.ndarray, starts: np.ndarray) -> Parts:
         cut[more] = True
     at = np.flatnonzero(cut)
     end = np.append(at, len(places))[1:]
-    _, one, which = np.unique(hashed(places, at, end), return_index=True, return_inverse=True)
+    value, one, which = np.unique(hashed(places, at, end), return_index=True, return_inverse=True)
     size = (end - at)[one]
     own = np.concatenate([[0], np.cumsum(size)])
     flat = places[np.arange(own[-1]) + np.repeat(at[one] - own[:-1], size)]
     first = np.append(np.searchsorted(at, begins), len(at))
-    return Parts(first, which, flat, own)
+    return Parts(first, which, flat, own, value)
 
 
 class Lattice(NamedTuple):
-    """Edges (from byte ``start`` to ``end``, piece ``id``) in order of start, and of each byte its place in its part."""
+    """Edges between nodes, in order of start; a part of n bytes has n + 1 nodes.
+
+    ``place`` is each node's byte place in its part; ``first[i]`` and ``first[i + 1] - 1``
+    are the nodes at the ends of part i.
+    """
 
     start: np.ndarray
     end: np.ndarray
     id: np.ndarray
     place: np.ndarray
-    starts: np.ndarray
+    first: np.ndarray
 
 
 def lattice(vocabulary: Vocabulary, data: np.ndarray, starts: np.ndarray) -> Lattice:
@@ -170,51 +175,39 @@ def lattice(vocabulary: Vocabulary, data: np.ndarray, starts: np.ndarray) -> Lat
     edges.append((spelled, np.ones(len(spelled), np.int64), (vocabulary.first_byte + data[spelled]).astype(np.int32)))
     start, length, ids = (np.concatenate(x) for x in zip(*edges, strict=True))
     order = np.argsort(start, kind="stable")
-    place = np.arange(n) - np.repeat(starts[:-1], size)
-    return Lattice(start[order], (start + length)[order], ids[order], place, starts)
+    start = start[order]
+    of = np.repeat(np.arange(len(size)), size)[start]
+    nodes = size + 1
+    first = np.concatenate([[0], np.cumsum(nodes)])
+    place = np.arange(first[-1]) - np.repeat(first[:-1], nodes)
+    return Lattice(start + of, start + of + length[order], ids[order], place, first)
+
+
+def _sums(edges: Lattice, weight: np.ndarray, source: np.ndarray, target: np.ndarray, ends: np.ndarray, step: int) -> np.ndarray:
+    """Sums over paths from ``ends``; edges are taken by their target's place in the part, ``step`` giving the direction."""
+    place = edges.place[target].astype(np.int8)
+    order = np.argsort(target, kind="stable") if step > 0 else np.arange(len(target))
+    order = order[np.argsort(place[order], kind="stable")]
+    source, target, weight = source[order], target[order], weight[:, order]
+    cuts = np.searchsorted(place[order], np.arange(int(place.max(initial=-1)) + 2))
+    sums = np.zeros((len(weight), len(edges.place)))
+    sums[:, ends] = 1.0
+    for a, b in list(zip(cuts[:-1], cuts[1:], strict=True))[::step]:
+        if a < b:
+            value = weight[:, a:b] * sums[:, source[a:b]]
+            group = np.flatnonzero(np.append(True, target[a + 1 : b] != target[a : b - 1]))
+            sums[:, target[a:b][group]] = np.add.reduceat(value, group, axis=1)
+    return sums
 
 
 def forward(edges: Lattice, weight: np.ndarray) -> np.ndarray:
-    """Of each byte place (and the end) the sum over all segmentations up to it of the product of edge weights.
-
-    ``weight`` has a row for each edge and a column for each model. Parts end to end
-    share places, so sums are kept by the edge's end minus one.
-    """
-    sums = np.zeros((len(edges.place), weight.shape[1]))
-    end = edges.end - 1
-    offset = edges.place[end]
-    order = np.argsort(end, kind="stable")
-    order = order[np.argsort(offset[order], kind="stable")]
-    cuts = np.searchsorted(offset[order], np.arange(int(offset.max(initial=-1)) + 2))
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        if a == b:
-            continue
-        e = order[a:b]
-        start = edges.start[e]
-        value = weight[e] * np.where((edges.place[start] == 0)[:, None], 1.0, sums[start - 1])
-        group = np.flatnonzero(np.append(True, end[e][1:] != end[e][:-1]))
-        sums[end[e][group]] = np.add.reduceat(value, group)
-    return sums
+    """For each model and node, the sum over all segmentations up to it of the product of edge weights (models by edges)."""
+    return _sums(edges, weight, edges.start, edges.end, edges.first[:-1], 1)
 
 
 def backward(edges: Lattice, weight: np.ndarray) -> np.ndarray:
-    """Of each byte place the sum over all segmentations from it to the end of its part."""
-    n = len(edges.place)
-    sums = np.zeros((n + 1, weight.shape[1]))
-    last = np.zeros(n + 1, bool)
-    last[edges.starts] = True
-    offset = edges.place[edges.start]
-    order = np.argsort(offset, kind="stable")
-    cuts = np.searchsorted(offset[order], np.arange(int(offset.max(initial=-1)) + 2))
-    for a, b in zip(cuts[:-1][::-1], cuts[1:][::-1], strict=True):
-        if a == b:
-            continue
-        e = order[a:b]
-        value = weight[e] * np.where(last[edges.end[e]][:, None], 1.0, sums[edges.end[e]])
-        start = edges.start[e]
-        group = np.flatnonzero(np.append(True, start[1:] != start[:-1]))
-        sums[start[group]] = np.add.reduceat(value, group)
-    return sums[:n]
+    """The same from each node to the end of its part."""
+    return _sums(edges, weight, edges.end, edges.start, edges.first[1:] - 1, -1)
 
 
 def decoded(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
