@@ -72,3 +72,15 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLES["op4_warc"] = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+f AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, upper(sha1(payload)) AS hex,
+        min(page_id) OVER (PARTITION BY payload) AS first FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(hex, 5 * (k // 4) + 1, 5))::BIGINT >> (15 - 5 * (k % 4))) & 31)::INT + 1, 1) for k in range(32)], '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""

@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, quality, rows
+from ..session import new_path
+from . import decontaminate, language, licenses, quality, rows, urls, warc
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -48,3 +49,32 @@ def op10_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     found = language.predict(docs.select("doc_id", "text"), language_model(docs))
     return found.select("doc_id", rows.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op9_license_scan(spark, sf_dir):
+    """License phrases and notices in every document."""
+    found = licenses.licenses(_table(spark, sf_dir, "documents"))
+    join = lambda name: F.array_join(name, ",").alias(name)
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", join("base_labels"), join("labels"), "score")
+
+
+URL_RULES = [urls.Rule("block", "net/"), urls.Rule("allow", "example.net/en/"), urls.Rule("block", "example.com/de/"), urls.Rule("allow", "org/fr/")]
+
+
+@_query
+def op3_url_filter(spark, sf_dir):
+    """Rules and trees for the URL of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judged(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@_query
+def op4_warc(spark, sf_dir):
+    """Every page written to archives and read back."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    files = warc.write_warc(pages, new_path(spark, "warc"))
+    kind = pages.schema["page_id"].dataType
+    return warc.read_warc(files, payload=False).select(
+        F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to")
+    )
