@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import decontaminate, language, licenses, quality, rows, urls, warc
+from . import decontaminate, jaccard, language, licenses, quality, rows, urls, warc
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -78,3 +78,10 @@ def op4_warc(spark, sf_dir):
     return warc.read_warc(files, payload=False).select(
         F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to")
     )
+
+
+@_query
+def op8_jaccard_join(spark, sf_dir):
+    """Components of documents whose shingle sets are similar."""
+    found = jaccard.similar(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
