@@ -103,7 +103,7 @@ def blocks(found: list[tuple]) -> pa.RecordBatch:
 BLOCKS = "bucket bigint, batch bigint, block binary"
 
 
-def answered(table: DataFrame, answers: DataFrame) -> DataFrame:
-    """``table`` (batch, block) with ``answers``: the (bucket, block) sent to each batch."""
-    own = answers.groupBy("batch").agg(F.collect_list(F.struct("bucket", "block")).alias("answers"))
+def answered(table: DataFrame, answers: DataFrame, name: str = "answers") -> DataFrame:
+    """``table`` (batch, block, ...) with the column ``name``: the (bucket, block) sent to each batch."""
+    own = answers.groupBy("batch").agg(F.collect_list(F.struct("bucket", "block")).alias(name))
     return table.join(own, "batch", "left")

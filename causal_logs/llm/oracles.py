@@ -103,3 +103,23 @@ reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN l
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(r.c, d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) r USING (doc_id)
 """
+
+ORACLES["op7_repeated_bytes"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM d, unnest(range(0, length(h) // 2 - 49)) t(i)),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM w),
+g AS (SELECT DISTINCT doc_id, i + k AS p FROM f, unnest(range(50)) t(k) WHERE first < doc_id),
+b AS (
+  SELECT d.doc_id, q.p, g.p IS NOT NULL AS gone, substr(h, 2 * q.p + 1, 2) AS x
+  FROM d CROSS JOIN LATERAL (SELECT unnest(range(0, length(d.h) // 2)) AS p) q
+  LEFT JOIN g ON g.doc_id = d.doc_id AND g.p = q.p
+),
+r AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(x, '' ORDER BY p) FILTER (NOT gone), '') AS kept
+  FROM b GROUP BY doc_id
+),
+s AS (SELECT a.doc_id, count(*) AS n FROM g a ANTI JOIN (SELECT doc_id, p + 1 AS p FROM g) z USING (doc_id, p) GROUP BY a.doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(s.n, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id) LEFT JOIN s USING (doc_id)
+"""

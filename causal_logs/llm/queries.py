@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import decontaminate, jaccard, language, licenses, quality, rows, urls, warc
+from . import decontaminate, jaccard, language, licenses, quality, repeats, rows, urls, warc
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -85,3 +85,9 @@ def op8_jaccard_join(spark, sf_dir):
     """Components of documents whose shingle sets are similar."""
     found = jaccard.similar(_table(spark, sf_dir, "documents"))
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@_query
+def op7_repeated_bytes(spark, sf_dir):
+    """Bytes of every document that an earlier one has too."""
+    return repeats.repeats(_table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
