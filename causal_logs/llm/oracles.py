@@ -108,18 +108,23 @@ ORACLES["op7_repeated_bytes"] = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM d, unnest(range(0, length(h) // 2 - 49)) t(i)),
 f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM w),
-g AS (SELECT DISTINCT doc_id, i + k AS p FROM f, unnest(range(50)) t(k) WHERE first < doc_id),
-b AS (
-  SELECT d.doc_id, q.p, g.p IS NOT NULL AS gone, substr(h, 2 * q.p + 1, 2) AS x
-  FROM d CROSS JOIN LATERAL (SELECT unnest(range(0, length(d.h) // 2)) AS p) q
-  LEFT JOIN g ON g.doc_id = d.doc_id AND g.p = q.p
+g AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM f WHERE first < doc_id),
+runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM (
+    SELECT *, sum(CASE WHEN step <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g)
+  GROUP BY doc_id, run
 ),
-r AS (
-  SELECT doc_id, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(x, '' ORDER BY p) FILTER (NOT gone), '') AS kept
-  FROM b GROUP BY doc_id
+gaps AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS c,
+    lead(a) OVER (PARTITION BY doc_id ORDER BY a) IS NULL AS last
+  FROM runs
 ),
-s AS (SELECT a.doc_id, count(*) AS n FROM g a ANTI JOIN (SELECT doc_id, p + 1 AS p FROM g) z USING (doc_id, p) GROUP BY a.doc_id)
-SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(s.n, 0)::BIGINT AS n_spans,
-  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
-FROM d LEFT JOIN r USING (doc_id) LEFT JOIN s USING (doc_id)
+kept AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed,
+    string_agg(substr(h, (2 * c + 1)::BIGINT, (2 * (a - c))::BIGINT) || CASE WHEN last THEN substr(h, (2 * b + 1)::BIGINT) ELSE '' END, '' ORDER BY a) AS rest
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
 """
