@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import decontaminate, jaccard, language, licenses, quality, repeats, rows, urls, warc
+from . import decontaminate, jaccard, language, licenses, quality, repeats, rows, sampling, urls, warc
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -91,3 +91,9 @@ def op8_jaccard_join(spark, sf_dir):
 def op7_repeated_bytes(spark, sf_dir):
     """Bytes of every document that an earlier one has too."""
     return repeats.repeats(_table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
+@_query
+def op1_sentencepiece_sampling(spark, sf_dir):
+    """Three distinct sampled segmentations of every document, decoded again."""
+    return sampling.segmentations(_table(spark, sf_dir, "documents"), VOCABULARY, ids=False)
