@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import decontaminate, jaccard, language, licenses, quality, repeats, rows, sampling, urls, warc
+from . import decontaminate, jaccard, language, licenses, quality, repeats, rows, sampling, toxicity, urls, warc
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -97,3 +97,12 @@ def op7_repeated_bytes(spark, sf_dir):
 def op1_sentencepiece_sampling(spark, sf_dir):
     """Three distinct sampled segmentations of every document, decoded again."""
     return sampling.segmentations(_table(spark, sf_dir, "documents"), VOCABULARY, ids=False)
+
+
+@_query
+def op2_toxicity(spark, sf_dir):
+    """Toxicity of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(~rows.held_out(F.col("doc_id"))).select("doc_id", "toxic")
+    model = toxicity.train(docs, docs.join(labels, "doc_id"))
+    return toxicity.scored(docs, model).select("doc_id", rows.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

@@ -314,7 +314,8 @@ def _answered(group: pa.Table, width: int) -> pa.Table:
 
 
 def repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str = "text", kept: bool = False, spread_batches: int = SPREAD_BATCHES, bucket_bytes: int = exchange.BUCKET_BYTES) -> DataFrame:
-    """A row for each row of ``docs``: ``doc, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for, ``kept`` (binary).
+    """A row for each row of ``docs``: ``doc, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for, ``kept``,
+    the remaining text (a character of which a byte is gone is left out; the digest is that of all remaining bytes).
 
     Removed is every byte covered by a string of ``width`` bytes that also starts in a
     document of smaller id. Strings are those of the input in UTF-8 and do not cross
@@ -359,7 +360,8 @@ def repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str =
                 pa.array([hashlib.sha256(r).hexdigest() for r in rest]),
             ]
             names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(rest, pa.binary())] * kept, names=names + ["kept"] * kept)
+            texts_ = [pa.array([r.decode("utf-8", "ignore") for r in rest])] if kept else []
+            yield pa.RecordBatch.from_arrays(columns + texts_, names=names + ["kept"] * kept)
 
     texts = table.select("batch", "block")
     anchors = texts.mapInArrow(send, exchange.BLOCKS)
@@ -368,7 +370,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str =
     strings = asked.mapInArrow(send_strings, exchange.BLOCKS)
     merged_ = strings.groupBy("bucket").applyInArrow(lambda group: _answered(group, width), exchange.BLOCKS)
     last = exchange.answered(asked, merged_, "merged")
-    schema = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * kept
+    schema = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept string" * kept
     out = last.mapInArrow(finish, schema)
     return out.withColumn("doc", F.when(F.col("doc") != F.lit(int(exchange.NO_ID)), F.col("doc")))
 
