@@ -7,9 +7,9 @@ overlap a set of n tokens can have with a similar one. The first shared token is
 rare, and indexed alone, or all shared ones are frequent; then the combination of
 the first two is indexed. So a frequent token alone never makes a candidate.
 
-Equal sets are one node. Candidates are first compared with one representative of their
-index key only; what is linked then needs no more comparing within its
-component. Pairs of nodes that share a key but no component are all verified.
+Equal sets are one node, and keys of the same nodes one list. Nodes are first compared with
+one head of each of their lists only; what is linked then needs no more comparing
+within its component. Pairs of nodes that share a list but no component are all verified.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased. A set is told by 64-bit
 hashes of its shingles.
@@ -31,6 +31,8 @@ SHINGLE = 5
 PERCENT = 80
 # A token in more documents than this is frequent.
 FREQUENT = 256
+# Times that lists are compared with a head, before all pairs left are.
+ROUNDS = 2
 _INSIDE = ~SPACES
 # Codes of document counts: 0 for one, then eight steps for each doubling.
 _CODE = 8
@@ -167,6 +169,39 @@ def _possible(n: Column, m: Column, rest: Column, rest2: Column, percent: int) -
     return F.least(rest, rest2) * (100 + percent) >= percent * (n + m)
 
 
+def _lists(postings: DataFrame) -> DataFrame:
+    """``list, node, n, rest`` from ``key, node, n, rest``, without keys of one node only.
+
+    Keys of exactly the same nodes (told by their number and two sums of hashes) make the
+    same pairs and become one list; a node's largest rest is kept, so no pair is lost.
+    """
+    keys = postings.groupBy("key").agg(
+        F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("t")
+    ).where("c > 1")
+    named = keys.select("key", F.xxhash64("c", "s", "t").alias("list"))
+    return postings.join(named, "key").groupBy("list", "node").agg(F.max("n").alias("n"), F.max("rest").alias("rest"))
+
+
+def _headed(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each list's head with the nodes of other components.
+
+    The head has fewest tokens before the shared one: the most ordinary of the list.
+    """
+    best = F.min(F.struct((F.col("n") - F.col("rest")).alias("place"), "node", "n", "rest", "component")).alias("head")
+    heads = placed.groupBy("list").agg(best).select("list", *[F.col(f"head.{c}").alias(f"{c}2") for c in ("node", "n", "rest", "component")])
+    met = placed.join(heads, "list").where(
+        (F.col("component") != F.col("component2")) & _possible(F.col("n"), F.col("n2"), F.col("rest"), F.col("rest2"), percent)
+    )
+    return met.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
+
+
+def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of the lists that have nodes of several components, with the components, stored."""
+    placed = written(shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+    several = placed.groupBy("list").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("list")
+    return written(placed.join(several, "list", "left_semi"), "apart")
+
+
 def similar(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str = "text", **index) -> DataFrame:
     """A row for each row of ``docs``: ``doc, n_shingles, n_links, component``.
 
@@ -180,25 +215,21 @@ def similar(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: s
     reps = written(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("rows")), "nodes")
     held = rows.where("tokens IS NOT NULL").join(reps.select("node", "doc"), ["node", "doc"], "left_semi")
     nodes = written(held.select("node", "n", "keys", "tokens").dropDuplicates(["node"]), "sets")
-    postings = nodes.select("node", "n", F.inline("keys"))
-    heads = postings.groupBy("key").agg(F.min(F.struct("node", "n", "rest")).alias("head"), F.max("node").alias("last"))
-    heads = heads.where("head.node < last").select("key", F.col("head.node").alias("a"), F.col("head.n").alias("m"), F.col("head.rest").alias("rest2"))
-    shared = written(postings.join(heads, "key"), "postings")
-    near = shared.where((F.col("a") != F.col("node")) & _possible(F.col("n"), F.col("m"), F.col("rest"), F.col("rest2"), percent))
-    first = written(_alike(near.select("a", F.col("node").alias("b")).distinct(), nodes, percent), "links")
-    found = components(first)
-    # Keys whose nodes are not all in one component: every pair across components.
-    placed = shared.select("key", "node", "n", "rest").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = written(placed, "placed")
-    split = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("key")
-    open_ = written(placed.join(split, "key", "left_semi"), "open")
-    other = open_.toDF("key2", "b", "m", "rest2", "component2")
-    across = open_.join(
-        other,
-        (F.col("key") == F.col("key2")) & (F.col("component") < F.col("component2")) & _possible(F.col("n"), F.col("m"), F.col("rest"), F.col("rest2"), percent),
+    shared = written(_lists(nodes.select("node", "n", F.inline("keys"))), "postings")
+    placed, links = shared.withColumn("component", F.col("node")), None
+    for _ in range(ROUNDS):
+        pairs = _headed(placed, percent).select("a", "b").distinct()
+        found_links = _alike(pairs, nodes, percent)
+        links = written(found_links if links is None else links.union(found_links).distinct(), "links")
+        found = components(links)
+        placed = _apart(shared, found)
+    # Lists whose nodes are still in several components: every pair across components.
+    other = placed.select("list", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "rest", "component")])
+    across = placed.join(other, "list").where(
+        (F.col("component") < F.col("component2")) & _possible(F.col("n"), F.col("n2"), F.col("rest"), F.col("rest2"), percent)
     )
-    pairs = across.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    links = written(first.union(_alike(pairs, nodes, percent)), "links")
+    pairs = across.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+    links = written(links.union(_alike(pairs, nodes, percent)).distinct(), "links")
     found = components(links)
     counted = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     classes = reps.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
