@@ -40,7 +40,7 @@ LEET = {
 # Put between letters to hide a word, and marks that part words anyway.
 _HIDING, _PARTING = "*.-_~'^", "/\\,:;=#%&?\"()[]{}<>"
 _PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‘’…–—¡¿"
-_SPACED = re.compile(r"(?<!\S)(?:[^\W_][ .*_-]){3,}[^\W_](?!\S)")
+_SPACED = re.compile(r"(?<!\w)(?:[^\W_][ .*_-]){3,}[^\W_](?!\w)")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
 _COST_LEET, _COST_DROP, _COST_DROP_INSIDE, _COST_END = 1.0, 2.5, 7.0, 4.0
 
