@@ -32,7 +32,7 @@ from .words import BYTES, mixed, stream
 WIDTH = 50
 ANCHOR = 24
 # An anchor whose contexts differ in more batches than this is spread over buckets by window.
-SPREAD_BATCHES = 64
+SPREAD_BATCHES = 1024
 # At most so many windows of a run are one context: then its first and last window cover it.
 _RUN = 48
 _B = stream(3, 1)[0]
@@ -96,7 +96,8 @@ class _Contexts:
             left = np.repeat(n, pieces) - step * _RUN
             start, n = np.repeat(start, pieces) + step * _RUN, np.minimum(left, _RUN)
         self.start, self.n = start, n
-        self.anchor = least[start]
+        # Mixed again: smallest hashes are not evenly spread.
+        self.anchor = mixed(least[start])
         self.hash = mixed(whole[start] * np.uint64(5) + mixed(whole[start + n - 1]) + n.astype(np.uint64))
         self.text = np.searchsorted(starts, start, "right") - 1
         self.whole = whole
@@ -267,8 +268,8 @@ class _Batch:
         one = order[at]
         bucket = exchange.bucket_of(to[one], self.buckets)
         by = np.argsort(bucket, kind="stable")
-        # Of the distinct strings, in the order they are sent: place, windows, first document, bucket.
-        self.sent_place, self.sent_n, self.sent_bucket = place[one][by], n[one][by], bucket[by]
+        # Of the distinct strings, in the order they are sent: place, windows, first document, bucket, hash.
+        self.sent_place, self.sent_n, self.sent_bucket, self.sent_key = place[one][by], n[one][by], bucket[by], key[one][by]
         self.sent_doc = np.minimum.reduceat(doc[order], at)[by] if len(at) else doc
         back = np.empty(len(by), np.int64)
         back[by] = np.arange(len(by))
@@ -282,7 +283,7 @@ class _Batch:
             size = self.sent_n[i:j] + self.width - 1
             ends = np.cumsum(size)
             at = np.arange(int(ends[-1])) + np.repeat(self.sent_place[i:j] - ends + size, size)
-            out.append((b, exchange.packed(self.data[at], ends, self.sent_doc[i:j])))
+            out.append((b, exchange.packed(self.data[at], ends, self.sent_doc[i:j], self.sent_key[i:j])))
         return out
 
     def covered(self, answers: list[dict]) -> np.ndarray:
@@ -303,12 +304,35 @@ class _Batch:
 
 
 def _answered(group: pa.Table, width: int) -> pa.Table:
+    """Answer the strings of a bucket with the smallest document of each of their windows."""
     held = [exchange.unpacked(b.as_py()) for b in group.column("block")]
-    answers = []
-    for (data, ends, _), first in zip(held, first_documents(held, width), strict=True):
+    keys = np.concatenate([h[3] for h in held])
+    _, one, which = np.unique(keys, return_index=True, return_inverse=True)
+    doc = np.full(len(one), exchange.NO_ID)
+    np.minimum.at(doc, which, np.concatenate([h[2] for h in held]))
+    # A string that several batches sent stands in the first one's shard only.
+    own = np.zeros(len(keys), bool)
+    own[one] = True
+    windows = np.concatenate([np.diff(np.concatenate([[0], h[1]])) for h in held]) - width + 1
+    shards, at = [], 0
+    for data, ends, docs, _ in held:
+        mine, kinds = own[at : at + len(docs)], which[at : at + len(docs)]
         size = np.diff(np.concatenate([[0], ends]))
-        whole = np.repeat(ends, size) - np.arange(len(data)) >= width
-        answers.append(exchange.packed(first[whole]))
+        if mine.any():
+            shards.append((data[np.repeat(mine, size)], np.cumsum(size[mine]), doc[kinds[mine]]))
+        at += len(docs)
+    found = []
+    for (data, ends, _), first in zip(shards, first_documents(shards, width), strict=True):
+        found.append(first[np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(len(data)) >= width])
+    found = np.concatenate(found)
+    # Where the windows of each distinct string lie in ``found``, which follows the order of sending.
+    begin = np.zeros(len(one), np.int64)
+    sent = np.flatnonzero(own)
+    begin[which[sent]] = np.cumsum(windows[sent]) - windows[sent]
+    step = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
+    replies = found[np.repeat(begin[which], windows) + step]
+    cuts = np.cumsum(windows)[np.cumsum([len(h[2]) for h in held]) - 1]
+    answers = [exchange.packed(r) for r in np.split(replies, cuts[:-1])]
     rows_ = list(zip(group.column("bucket").to_pylist(), group.column("batch").to_pylist(), answers, strict=True))
     return pa.Table.from_batches([exchange.blocks(rows_)])
 
