@@ -59,8 +59,8 @@ def get_metadata(metadata, key) -> Column:
     return F.try_element_at(metadata, key)
 
 
-def first_metadata(metadata, limit: int | None = MAX_METADATA) -> Column:
-    """Distinct keys in order, first value of each, at most ``limit`` pairs."""
+def first_metadata(metadata, limit: int | None = None) -> Column:
+    """Distinct keys in order, first value of each; at most ``limit`` pairs, if given."""
     metadata = F.col(metadata) if isinstance(metadata, str) else metadata
     keys = F.array_distinct(F.map_keys(metadata))
     fits = F.size(keys) == F.size(metadata)

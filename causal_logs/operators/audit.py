@@ -17,7 +17,7 @@ def _own(log: DataFrame) -> DataFrame:
 def clock_audit(
     log: DataFrame, node_count: int, seq: str = "seq", tie_break: str = "event_id", rows: int = CHUNK_ROWS
 ) -> DataFrame:
-    """One row per node: what is wrong with its entries.
+    """One row per node, and one for the entries of unlisted nodes (NULL): what is wrong.
 
     ``entries``; ``max_tick``; ``missing_ticks`` (numbers up to ``max_tick`` that
     are not stored); ``duplicate_ticks`` (entries beyond the first of a tick);
@@ -49,7 +49,13 @@ def clock_audit(
     known = owned.withColumn("_tops", tops).groupBy("node_idx").agg(
         F.count_if(above).alias("above_owner"), F.count_if(~sized).alias("bad_size")
     )
-    return ticked.join(rising, "node_idx").join(known, "node_idx")
+    return _beside(_beside(ticked, rising), known)
+
+
+def _beside(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Join per-node rows, the one of unlisted nodes (NULL) as well."""
+    named = b.withColumnRenamed("node_idx", "_node")
+    return a.join(named, F.col("node_idx").eqNullSafe(F.col("_node"))).drop("_node")
 
 
 def missing_ticks(log: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:

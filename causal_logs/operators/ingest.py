@@ -87,6 +87,28 @@ def stamp_clocks(
     return numbered.withColumn("vc", fresh_clock(node_count, F.col("node_idx"), F.col("seq") + 1))
 
 
+def place_rows(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows that carry clocks, such as decoded records, with ``node_idx``, ``seq`` (own tick - 1) and ``reason``.
+
+    ``reason`` is NULL for rows that can be ordered; ``unlisted_node`` where ``nodes`` lacks the
+    node, ``no_own_tick`` where the clock has no tick of it.
+    """
+    placed = rows.drop("node_idx", "seq").join(checked_nodes(nodes), "node_id", "left")
+    tick = F.coalesce(F.expr("get(vc, node_idx)"), F.lit(0).cast("bigint"))
+    reason = F.when(F.col("node_idx").isNull(), "unlisted_node").when(tick <= 0, "no_own_tick")
+    return placed.withColumn("seq", F.when(tick > 0, tick - 1)).withColumn("reason", reason)
+
+
+def typed_log(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows that can be ordered; no shuffle."""
+    return place_rows(rows, nodes).where("reason IS NULL").drop("reason")
+
+
+def typed_log_rejects(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The others, with ``reason``."""
+    return place_rows(rows, nodes).where("reason IS NOT NULL")
+
+
 def fresh_clock(node_count: int, node_idx: Column, tick: Column) -> Column:
     """A clock that knows only its own node."""
     zero = F.lit(0).cast("bigint")

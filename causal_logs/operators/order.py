@@ -45,7 +45,7 @@ def causal_order(
 
     All columns of ``log`` travel through the sort; pass those you need.
 
-    ``eff_ts`` rests on well-formed clocks (see ``clock_audit``); with
+    ``eff_ts`` rests on well-formed clocks (``MalformedClocks`` is raised otherwise); with
     ``well_formed=False`` the order is by ``vc_sum`` first and needs no premise.
     """
     if well_formed:
@@ -68,7 +68,7 @@ def order_audit(
     """Rows that ``pos`` places before something in their causal past.
 
     ``latest_past_pos`` is the last position among the row's past. No rows
-    means the order is causal.
+    means the order is causal. Clocks that are not well formed raise ``MalformedClocks``.
     """
     ticks = frontier.tick_table(ordered, node_count, {"_pos": F.max(pos)}, rows)
     past = frontier.past_max(ticks, "_pos", "latest_past_pos", rows).drop("_pos")

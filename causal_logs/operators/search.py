@@ -1,5 +1,6 @@
 """Inverted index over messages and keyword search."""
 
+import re
 from functools import reduce
 from operator import and_, or_
 
@@ -8,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 
-# Folders of a stored index; a search opens those of its keywords.
-BUCKETS = 256
-# Files a folder is spread over, so that a frequent token is not one task.
+# Postings in a bucket of a stored index; a search opens the buckets of its keywords.
+BUCKET_ROWS = 4_000_000
+# Files a bucket is spread over, once there are so many buckets, so that a frequent token is not one task.
 SPREAD = 8
 
 
@@ -24,23 +25,31 @@ def build_inverted_index(log: DataFrame, event_id: str = "event_id", keep: tuple
     return words.groupBy("token", event_id, *keep).agg(F.count(F.lit(1)).alias("tf"))
 
 
-def bucket_of(token) -> Column:
+def bucket_of(token, buckets) -> Column:
     token = F.col(token) if isinstance(token, str) else token
-    return F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("int")
+    return F.pmod(F.xxhash64(token), buckets).cast("int")
 
 
-def write_index(postings: DataFrame, path: str, event_id: str = "event_id") -> None:
+def write_index(
+    postings: DataFrame, path: str, event_id: str = "event_id", day: str | None = None, bucket_rows: int = BUCKET_ROWS
+) -> None:
     """Append postings to a stored index, by token bucket and sorted by token.
 
-    New days are appended; nothing stored is rewritten. The files of a bucket
-    split its postings by event, so frequent tokens are spread.
+    The number of buckets follows from the postings written, and is stored beside them. With
+    ``day``, a column of ``postings`` (see ``keep``), it follows from each day's postings, there are folders per
+    day, and writing the same day again replaces it. Otherwise postings are appended, each only
+    once. The files of a bucket split its postings by event, so frequent tokens are spread.
     """
-    salt = F.pmod(F.xxhash64(event_id), F.lit(SPREAD)).cast("int")
+    folders = [day] if day else []
+    sizes = postings.groupBy(*folders).agg(F.ceil(F.count(F.lit(1)) / bucket_rows).cast("int").alias("buckets"))
+    sized = postings.join(sizes, folders) if day else postings.withColumn("buckets", F.lit(sizes.first()[0] or 1))
+    spread = F.least(F.lit(SPREAD), F.col("buckets"))
     (
-        postings.withColumn("bucket", bucket_of("token"))
-        .repartition("bucket", salt)
-        .sortWithinPartitions("bucket", "token")
-        .write.mode("append").partitionBy("bucket").parquet(path)
+        sized.withColumn("bucket", bucket_of("token", F.col("buckets")))
+        .repartition(*folders, "bucket", F.pmod(F.xxhash64(event_id), spread))
+        .sortWithinPartitions(*folders, "bucket", "token")
+        .write.mode("overwrite" if day else "append").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*folders, "buckets", "bucket").parquet(path)
     )
 
 
@@ -49,9 +58,10 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _keywords(keywords: list[str]) -> list[str]:
-    unique = list(dict.fromkeys(k.lower() for k in keywords))
+    """The tokens of all keywords; a keyword with separators asks for each of its parts."""
+    unique = list(dict.fromkeys(w for k in keywords for w in re.findall(r"[^\W_]+", k.lower())))
     if not unique:
-        raise ValueError("no keywords")
+        raise ValueError("no keyword with a letter or digit")
     return unique
 
 
@@ -66,8 +76,10 @@ def keyword_hits(
     words = _keywords(keywords)
     postings = index.where(F.col("token").isin(*words))
     if "bucket" in index.columns:
-        postings = postings.where(F.col("bucket").isin(*[bucket_of(F.lit(w)) for w in words]))
-    hits = postings.groupBy(event_id).agg(F.count(F.lit(1)).alias("matched"), F.sum("tf").alias("tf"))
+        postings = postings.where(reduce(or_, [F.col("bucket") == bucket_of(F.lit(w), F.col("buckets")) for w in words]))
+    # Tokens, not postings, are counted: a day indexed twice changes no match.
+    matched = F.size(F.collect_set("token")).cast("bigint")
+    hits = postings.groupBy(event_id).agg(matched.alias("matched"), F.sum("tf").alias("tf"))
     return hits.where(F.col("matched") == len(words)) if mode == "and" else hits
 
 

@@ -136,7 +136,7 @@ WHERE NOT EXISTS (
   SELECT 1 FROM candidate d WHERE d.dst = c.dst AND d.src <> c.src AND {_before("c", "d")})"""
 
 
-def _clock_audit(log):
+def _clock_audit(log, bad="0"):
     return f""",
 top AS (SELECT node_idx, max(own) AS m FROM {log} GROUP BY 1),
 stepped AS (SELECT *, lag(own) OVER (PARTITION BY node_idx ORDER BY seq, event_id) AS p FROM {log})
@@ -145,9 +145,9 @@ SELECT node_idx, CAST(count(*) AS BIGINT) AS entries, CAST(max(own) AS BIGINT) A
        CAST(count(CASE WHEN own > 0 THEN 1 END) - count(DISTINCT CASE WHEN own > 0 THEN own END) AS BIGINT) AS duplicate_ticks,
        CAST(count(CASE WHEN own <= p THEN 1 END) AS BIGINT) AS not_rising,
        CAST(count(CASE WHEN v0 > (SELECT m FROM top WHERE node_idx = 0) OR v1 > (SELECT m FROM top WHERE node_idx = 1)
-                OR v2 > (SELECT m FROM top WHERE node_idx = 2) OR v3 > (SELECT m FROM top WHERE node_idx = 3)
+                OR v2 > (SELECT m FROM top WHERE node_idx = 2) OR v3 > coalesce((SELECT m FROM top WHERE node_idx = 3), 0)
                 THEN 1 END) AS BIGINT) AS above_owner,
-       CAST(0 AS BIGINT) AS bad_size
+       CAST({bad} AS BIGINT) AS bad_size
 FROM stepped GROUP BY node_idx"""
 
 
@@ -156,6 +156,12 @@ restamped AS (
   SELECT event_id, node_id, node_idx, seq, ts_ms, CASE WHEN node_idx = 0 THEN tick ELSE 0 END AS own,
          tick AS v0, 0 AS v1, 0 AS v2, 0 AS v3 FROM log)"""
 
+_UNLISTED = _LOG + """,
+unlisted AS (
+  SELECT event_id, node_id, CASE WHEN node_idx < 3 THEN node_idx END AS node_idx, seq, ts_ms,
+         CASE WHEN node_idx < 3 THEN tick ELSE 0 END AS own, v0, v1, v2, CASE WHEN event_id % 50 = 7 THEN 0 ELSE v3 END AS v3
+  FROM log)"""
+
 _TRACE = """
 turns AS (
   SELECT conv_id * 1000 + turn AS event, CAST((conv_id + 3 * turn) % 8 AS INTEGER) AS node_idx, conv_id, turn
@@ -278,6 +284,19 @@ ORACLES = {
     "causal_graph": f"WITH {_LOG}{_graph('log')}",
     "causal_graph_lossy": f"WITH {_LOSSY}{_graph('lossy')}",
     "clock_audit_lossy": f"WITH {_LOSSY}, checked AS (SELECT *, tick AS own FROM lossy){_clock_audit('checked')}",
+    "clock_audit_unlisted": f"WITH {_UNLISTED}{_clock_audit('unlisted', 'count(CASE WHEN event_id % 50 = 7 THEN 1 END)')}",
+    "store_causal_order": f"WITH {_LOG}{_causal_order('log')} SELECT node_id, seq, eff_ts, pos FROM ordered",
+    "store_order_audit": f"""WITH {_LOG}{_TIMED}, late AS ({_audit('timed')})
+        SELECT node_id, seq, late.pos, latest_past_pos FROM late JOIN log USING (event_id)""",
+    "running_frontier_whole": f"""WITH {_LOG}
+        SELECT node_id, seq, {_show(*[f"max(v{i}) OVER w" for i in range(4)])} AS frontier
+        FROM log WINDOW w AS (PARTITION BY node_id ORDER BY seq)""",
+    "log_query_stored": f"""WITH {_LOG} SELECT event_id, node_id, level, ts_ms FROM log
+        WHERE level IN ('WARN', 'ERROR', 'FATAL') AND node_id = 'node-1' AND log_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'""",
+    "keyword_search_stored": rf"""WITH {_LOG}, tokens AS (
+          SELECT event_id, unnest(regexp_split_to_array(lower(message), '[^\p{{L}}\p{{N}}]+')) AS token FROM log)
+        SELECT event_id, CAST(count(DISTINCT token) AS BIGINT) AS matched, CAST(count(*) AS BIGINT) AS tf
+        FROM tokens WHERE token IN ('value', '1', 'error') GROUP BY event_id HAVING count(DISTINCT token) = 3""",
     "clock_audit_restamped": f"WITH {_RESTAMPED}{_clock_audit('restamped')}",
     "missing_ticks": f"""WITH {_LOSSY},
         stepped AS (SELECT node_idx, tick, coalesce(lag(tick) OVER (PARTITION BY node_idx ORDER BY tick), 0) AS p FROM lossy)

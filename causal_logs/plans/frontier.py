@@ -40,15 +40,22 @@ def tick_table(
     array of ``(j, k, was)`` for the components j that moved from ``was`` to
     ``k``. Copies of an entry are folded before the shuffle. The table is
     written once, since every later step reads some of its columns.
+
+    Raises ``MalformedClocks`` where the prefix property cannot hold: entries that know
+    something but never ticked their own component, entries of one tick with
+    different clocks, and knowledge that falls along a node (within a chunk).
     """
     names = components(node_count)
-    narrow = log.withColumn("tick", F.expr("get(vc, node_idx)")).where("tick > 0").selectExpr(
+    ticked = log.withColumn("tick", F.expr("coalesce(get(vc, node_idx), 0L)"))
+    knowing = "node_idx is not null and (tick > 0 or exists(vc, x -> x > 0))"
+    narrow = ticked.where(knowing).selectExpr(
         "*", "cast(node_idx as int) as _node", *[f"coalesce(get(vc, {i}), 0L) as {c}" for i, c in enumerate(names)]
     )
     ticks = narrow.groupBy(F.col("_node").alias("node_idx"), "tick").agg(
         F.expr("count(1) as copies"),
         *[agg.alias(name) for name, agg in (values or {}).items()],
         *[F.expr(f"max({c}) as {c}") for c in names],
+        F.expr(" or ".join(f"max({c}) <> min({c})" for c in names)).alias("_several"),
     )
     before = "over (partition by node_idx, _chunk order by tick)"
     ticks = ticks.withColumn("_chunk", chunk_of("tick", rows)).selectExpr(
@@ -60,8 +67,20 @@ def tick_table(
         for j, c in enumerate(names)
     ]
     ticks = ticks.withColumn("news", F.expr(f"array_compact(array({', '.join(moves)}))"))
-    ticks = ticks.drop("_chunk", *[f"_was_{c}" for c in names])
-    return written(ticks, "ticks")
+    falls = " or ".join(f"(node_idx <> {j} and {c} < _was_{c})" for j, c in enumerate(names))
+    ticks = ticks.withColumn("fault", F.expr(
+        "case when tick <= 0 then 'own component not ticked' when _several then 'one tick, several clocks' "
+        f"when prev_tick is not null and ({falls}) then 'knowledge falls' end"
+    ))
+    stored = written(ticks.drop("_chunk", "_several", *[f"_was_{c}" for c in names]), "ticks")
+    faults = stored.where("fault is not null").groupBy("fault").agg(F.sum("copies").alias("n")).collect()
+    if faults:
+        raise MalformedClocks("; ".join(f"{r.fault}: {r.n} entries" for r in sorted(faults)))
+    return stored.where("tick > 0").drop("fault")
+
+
+class MalformedClocks(ValueError):
+    """The clocks are not those of nodes that tick their own component and pass on what they know."""
 
 
 def _along_node(ticks: DataFrame, answers: DataFrame, value: str, combine, out: str, rows: int) -> DataFrame:

@@ -33,20 +33,26 @@ def number_rows(
 
     The caller picks ``chunk`` so that one (keys, chunk) group is bounded, for
     instance a number range of a unique column. Rows are shuffled once, by
-    chunk; the chunk sizes are aggregated map-side.
+    chunk; the chunk sizes are aggregated map-side. NULLs count as values, and come first.
     """
-    sizes = df.groupBy(*keys, *chunk).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(*chunk).rowsBetween(*_ALL_BEFORE)
-    offsets = sizes.select(*keys, *chunk, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*keys, *chunk).orderBy(*order)
+    placed = df.withColumn("_at", F.struct(*keys, *chunk))
+    sizes = placed.groupBy("_at").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*_of("_at", keys)).orderBy(*_of("_at", chunk)).rowsBetween(*_ALL_BEFORE)
+    offsets = sizes.select("_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_at").orderBy(*order)
     return (
-        df.withColumn("_inside", F.row_number().over(inside) - 1)
-        .join(offsets, [*keys, *chunk])
+        placed.withColumn("_inside", F.row_number().over(inside) - 1)
+        .join(offsets, "_at")
         .withColumn(out, F.col("_offset") + F.col("_inside"))
-        .drop("_offset", "_inside")
+        .drop("_offset", "_inside", "_at")
     )
 
 
+def _of(struct: str, fields: list[str]) -> list[Column]:
+    """Fields of a struct; unlike columns, structs with NULL fields are equal to each other in a join."""
+    return [F.col(struct)[f] for f in fields]
+
+
 def rank_rows(df: DataFrame, order: list[str], out: str = "pos") -> DataFrame:
     """Positions 1..N of the whole table by ``order``.
 
@@ -107,14 +113,14 @@ def running(
     ``values`` maps output to input columns. ``(keys, order)`` must be unique,
     so that a chunk of ``order`` holds a bounded number of rows.
     """
-    by = ", ".join(keys)
-    chunked = df.withColumn("_chunk", chunk_of(order, rows))
-    tops = chunked.groupBy(*keys, "_chunk").agg(*[F.expr(f"max({v}) as _top_{k}") for k, v in values.items()])
-    before = f"over (partition by {by} order by _chunk rows between unbounded preceding and 1 preceding)"
-    carry = tops.selectExpr(*keys, "_chunk", *[f"max(_top_{k}) {before} as _carry_{k}" for k in values])
-    so_far = f"over (partition by {by}, _chunk order by {order} rows between unbounded preceding and current row)"
+    by = ", ".join(f"_at.{k}" for k in keys)
+    chunked = df.withColumn("_chunk", chunk_of(order, rows)).withColumn("_at", F.struct(*keys, "_chunk"))
+    tops = chunked.groupBy("_at").agg(*[F.expr(f"max({v}) as _top_{k}") for k, v in values.items()])
+    before = f"over (partition by {by} order by _at._chunk rows between unbounded preceding and 1 preceding)"
+    carry = tops.selectExpr("_at", *[f"max(_top_{k}) {before} as _carry_{k}" for k in values])
+    so_far = f"over (partition by _at order by {order} rows between unbounded preceding and current row)"
     inside = chunked.selectExpr("*", *[f"max({v}) {so_far} as _in_{k}" for k, v in values.items()])
-    joined = inside.join(carry, [*keys, "_chunk"])
+    joined = inside.join(carry, "_at")
     others = [c for c in df.columns if c not in values]
     return joined.selectExpr(*others, *[f"greatest(_in_{k}, _carry_{k}) as {k}" for k in values])
 

@@ -148,6 +148,27 @@ def order_audit_causal(spark, sf_dir):
     return order.order_audit(ordered, NODES).select("event_id", "pos", "latest_past_pos")
 
 
+def _stored_log(spark, sf_dir):
+    """The causal log written to a store, read back and placed."""
+    path = new_path(spark, "store")
+    store.write_jsonl(_log(spark, sf_dir), path)
+    return ingest.typed_log(store.read_store(spark, path), fixtures.node_dimension(spark, sf_dir))
+
+
+@_query
+def store_causal_order(spark, sf_dir):
+    """Stored records in causal order."""
+    log = _stored_log(spark, sf_dir).select("node_id", "node_idx", "vc", "ts_ms", "seq")
+    return order.causal_order(log, NODES, tie_break="seq").select("node_id", "seq", "eff_ts", "pos")
+
+
+@_query
+def store_order_audit(spark, sf_dir):
+    """What wall-clock order of stored records gets wrong."""
+    log = _stored_log(spark, sf_dir).select("node_id", "node_idx", "vc", "ts_ms", "seq")
+    return order.order_audit(order.time_order(log, "seq"), NODES).select("node_id", "seq", "pos", "latest_past_pos")
+
+
 # --- relations and clocks ---------------------------------------------------
 
 
@@ -196,6 +217,12 @@ def running_frontier(spark, sf_dir):
     return ran.select("node_id", "seq", clocks.to_text("frontier").alias("frontier"))
 
 
+@_query
+def running_frontier_whole(spark, sf_dir):
+    ran = merge.running_frontier(_log(spark, sf_dir), NODES)
+    return ran.select("node_id", "seq", clocks.to_text("frontier").alias("frontier"))
+
+
 @_query
 def level_frontier(spark, sf_dir):
     """What the entries of one level know together, event by event."""
@@ -234,6 +261,13 @@ def clock_audit_restamped(spark, sf_dir):
     return audit.clock_audit(fixtures.restamped_log(spark, sf_dir).select(*_KEYS), NODES)
 
 
+@_query
+def clock_audit_unlisted(spark, sf_dir):
+    """One node is not listed, and every fiftieth clock is too short."""
+    log = fixtures.unlisted_log(spark, sf_dir).select(*_KEYS)
+    return audit.clock_audit(log, NODES)
+
+
 @_query
 def missing_ticks(spark, sf_dir):
     return audit.missing_ticks(fixtures.lossy_log(spark, sf_dir))
@@ -267,6 +301,17 @@ def log_query_causal(spark, sf_dir):
     return found.select("event_id", "pos")
 
 
+@_query
+def log_query_stored(spark, sf_dir):
+    """The same kind of query on the stored table, which is pruned by day."""
+    path = new_path(spark, "table")
+    store.write_table(_log(spark, sf_dir), path)
+    found = query.log_query(
+        store.read_table(spark, path), min_level="WARN", nodes=["node-1"], dates=("2024-01-05", "2024-01-12")
+    )
+    return found.select("event_id", "node_id", "level", "ts_ms")
+
+
 @_query
 def metadata_lookup(spark, sf_dir):
     log = _log(spark, sf_dir).select("event_id", "metadata", "level")
@@ -317,3 +362,14 @@ def keyword_search(spark, sf_dir):
 def keyword_scan(spark, sf_dir):
     found = search.keyword_scan(fixtures.search_docs(spark, sf_dir), _WORDS, "or")
     return found.select("event_id", F.length("message").alias("n_chars"))
+
+
+@_query
+def keyword_search_stored(spark, sf_dir):
+    """An index stored by day, one day written twice; one keyword has a separator."""
+    log = _log(spark, sf_dir).select("event_id", "message", "log_date")
+    postings, path = search.build_inverted_index(log, keep=("log_date",)), new_path(spark, "index")
+    search.write_index(postings, path, day="log_date")
+    again = postings.where(F.col("log_date") == F.lit("2024-01-05").cast("date"))
+    search.write_index(again, path, day="log_date")
+    return search.keyword_hits(search.read_index(spark, path), ["Value=1", "error"], "and")

@@ -17,17 +17,27 @@ def export_jsonl(
     """Add ``line``, the canonical record, and the display texts ``vc_text``, ``ts_text``.
 
     ``ascii_only`` drops other bytes from messages. With ``max_record_bytes``
-    (older stores allow 4095) longer records are left out.
+    (older stores allow 4095) longer records are left to ``export_jsonl_rejects``.
     """
+    out = _exported(log, ascii_only, names)
+    return out if max_record_bytes is None else out.where(F.octet_length("line") <= max_record_bytes)
+
+
+def export_jsonl_rejects(
+    log: DataFrame, max_record_bytes: int, ascii_only: bool = False, names: list[str] | None = None
+) -> DataFrame:
+    """The rows whose record is longer than ``max_record_bytes``, with ``line`` and ``reason``."""
+    out = _exported(log, ascii_only, names).where(F.octet_length("line") > max_record_bytes)
+    return out.withColumn("reason", F.lit("too_long"))
+
+
+def _exported(log: DataFrame, ascii_only: bool, names: list[str] | None) -> DataFrame:
     message = entries.ascii_only(F.col("message")) if ascii_only else F.col("message")
-    out = (
+    return (
         log.withColumn("line", entries.to_json(message, names))
         .withColumn("vc_text", clocks.to_text("vc"))
         .withColumn("ts_text", entries.time_text("ts_ms"))
     )
-    if max_record_bytes is not None:
-        out = out.where(F.octet_length("line") <= max_record_bytes)
-    return out
 
 
 def write_jsonl(log: DataFrame, path: str, files_per_day: int | None = None) -> None:

@@ -38,13 +38,14 @@ _FIRSTS = "node_id string, file string, block bigint, first_seq bigint, n bigint
 
 
 def read_landing(
-    spark: SparkSession, path: str, start: str = "earliest", max_files: int | None = None
+    spark: SparkSession, path: str, since_ms: int | None = None, max_files: int | None = None
 ) -> DataFrame:
     """Stream of raw lines from ``path/<node id>/<file>`` (or ``node_id=<node id>/``).
 
     Files must be complete when they appear (write elsewhere, then rename), and
-    names must sort in writing order. ``start="latest"`` leaves out files last
-    written before the query was first started.
+    names must sort in writing order. Files last written before ``since_ms`` are left
+    out. It is part of the query: a restart has to name the same time, and then
+    also takes what landed while nothing ran.
     """
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files is not None:
@@ -58,9 +59,8 @@ def read_landing(
         F.to_date(written).alias("log_date"),
         F.col("value").alias("line"),
     )
-    if start == "latest":
-        now = int(pd.Timestamp.now("UTC").timestamp() * 1000)
-        raw = raw.where(F.col("ingest_ts") >= now)
+    if since_ms is not None:
+        raw = raw.where(F.col("ingest_ts") >= since_ms)
     return raw
 
 

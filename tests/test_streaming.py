@@ -60,13 +60,19 @@ def test_latest_start_skips_older_files(spark, tmp_path):
     _land(landing, "a", "000.log", ["INFO: old"])
     import os
     os.utime(landing / "a" / "000.log", (1_600_000_000, 1_600_000_000))
-    raw_stream = stream.read_landing(spark, str(landing), start="latest")
-    _land(landing, "a", "001.log", ["INFO: new"])
     import time
+    since = int(time.time() * 1000)
+    raw_stream = stream.read_landing(spark, str(landing), since_ms=since)
+    _land(landing, "a", "001.log", ["INFO: new"])
     later = time.time() + 5
     os.utime(landing / "a" / "001.log", (later, later))
     stream.start_landing(raw_stream, store).awaitTermination()
     assert [r.message for r in spark.read.parquet(f"{store}/parsed").collect()] == ["new"]
+    # Landed while nothing runs, taken after a restart with the same time.
+    _land(landing, "a", "002.log", ["INFO: while down"])
+    os.utime(landing / "a" / "002.log", (later + 1, later + 1))
+    stream.start_landing(stream.read_landing(spark, str(landing), since_ms=since), store).awaitTermination()
+    assert sorted(r.message for r in spark.read.parquet(f"{store}/parsed").collect()) == ["new", "while down"]
 
 
 def test_stream_store_and_stats(spark, tmp_path):
@@ -98,42 +104,3 @@ def test_stream_store_and_stats(spark, tmp_path):
     counting.awaitTermination()
     got = {r.node_id: (r.received, r.stored, r.errors) for r in spark.table("intake_stats").collect()}
     assert got == {"n1": (1, 1, 0), "n2": (1, 1, 0), None: (1, 0, 1)}
-
-
-def test_growing_files(spark, tmp_path):
-    from causal_logs.sources.growing import read_growing
-
-    live, store = tmp_path / "live", str(tmp_path / "store")
-    nodes = spark.createDataFrame([("a", 0), ("b", 1)], "node_id string, node_idx int")
-
-    def take_in():
-        stream.start_landing(read_growing(spark, str(live), split_bytes=40), store).awaitTermination()
-        stream.start_ticking(spark, store).awaitTermination()
-        rows = stream.read_stamped(spark, store, nodes, 2).collect()
-        by_node = {}
-        for r in sorted(rows, key=lambda r: (r.node_id, r.seq)):
-            by_node.setdefault(r.node_id, []).append((r.seq, r.message))
-        return by_node
-
-    def expect(*texts):
-        return list(enumerate(texts))
-
-    first = [f"one {i} é" for i in range(30)]
-    _land(live, "a", "app.log", ["INFO: " + t for t in first])
-    _land(live, "b", "app.log", ["INFO: b0"])
-    with (live / "a" / "app.log").open("a") as f:
-        f.write("INFO: half")
-    got = take_in()
-    assert got == {"a": expect(*first), "b": expect("b0")}
-
-    with (live / "a" / "app.log").open("a") as f:
-        f.write(" a line\nINFO: next\n")
-    first += ["half a line", "next"]
-    assert take_in()["a"] == expect(*first)
-
-    _land(live, "a", "app.log", ["INFO: cut"])
-    _land(live, "b", "app.log", ["INFO: replaced " + "x" * 50, "INFO: and longer"])
-    got = take_in()
-    assert got["a"] == expect(*first, "cut")
-    assert got["b"] == expect("b0", "replaced " + "x" * 50, "and longer")
-    assert take_in() == got
