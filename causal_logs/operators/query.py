@@ -27,8 +27,9 @@ def log_query(
 
     ``order`` is ``"time"`` or ``"causal"`` (adds ``pos``, the place in the whole
     log). With ``limit`` only the first entries in that order are kept, by a
-    partial sort in every task. All conditions are plain column predicates, so
-    they reach the scan; ``dates`` prunes the folders of a stored log.
+    partial sort in every task. Conditions on level, node, time and day are plain column
+    predicates, so they reach the scan; ``dates`` prunes the folders of a stored log. Metadata
+    is looked up in the rows that pass.
     """
     found = causal_order(log, node_count, tie_break) if order == "causal" else log
     if dates is not None:

@@ -18,12 +18,14 @@ def replay_clocks(
     ``messages (send_event, recv_event)``.
 
     Every event ticks its node; a receiver merges the sender's clock. ``seq``
-    counts each node's events from 0 without gaps. Each round an event merges the
+    counts each node's events from 0; a gap, or a message of an unknown event, raises
+    ``ValueError``. Each round an event merges the
     clocks of all the events its own clock points at, not just those of its
     direct senders, so the number of hops covered (messages, and steps into the
     next chunk of a node) doubles: a chain of h hops takes about log2(h) rounds.
     Rounds are written tables. Messages that form a circle raise ``ValueError``.
     """
+    _check(events, messages)
     names = components(node_count)
     placed = events.selectExpr("event", "cast(node_idx as int) as node_idx", "seq + 1 as tick")
     own = [f"if(node_idx = {i}, tick, 0L) as {c}" for i, c in enumerate(names)]
@@ -42,6 +44,19 @@ def replay_clocks(
     raise ValueError(f"no fixpoint within {max_rounds} rounds")
 
 
+def _check(events, messages):
+    """Sequence numbers without gaps, and messages between known events only."""
+    whole = F.count(F.lit(1)) == F.max("seq") + 1
+    gapped = events.groupBy("node_idx").agg((whole & (F.min("seq") == 0)).alias("whole")).where(~F.col("whole"))
+    broken = [r.node_idx for r in gapped.select("node_idx").limit(33).collect()]
+    if broken:
+        raise ValueError(f"sequence numbers of nodes {sorted(broken)} have gaps or repeat")
+    ends = messages.select(F.explode(F.array("send_event", "recv_event")).alias("event"))
+    unknown = ends.join(events.select("event"), "event", "left_anti").count()
+    if unknown:
+        raise ValueError(f"{unknown} ends of messages are unknown events")
+
+
 def _first_hop(placed, messages, names):
     """What each receiver learns from its direct senders, folded per receiver."""
     busy = messages.groupBy(F.col("send_event").alias("event")).count().where(F.col("count") >= HEAVY_ROWS)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from . import fixtures
 from .functions import clocks, entries
 from .operators import audit, graph, ingest, merge, order, query, relation, replay, search
-from .session import new_path
+from .schema import CONCURRENT, HAPPENS_AFTER, HAPPENS_BEFORE
+from .session import new_path, written
 from .sources import jsonl, store
 from .streaming import ingest as streaming
 
@@ -202,7 +203,7 @@ def causal_slice(spark, sf_dir):
         .groupBy("node_idx").agg(F.min_by(F.struct("event_id", "vc"), tick).alias("t"))
         .select("node_idx", "t.event_id", "t.vc")
     )
-    return relation.causal_slice(log, targets, NODES)
+    return relation.causal_slice(log, targets, NODES, (HAPPENS_BEFORE, HAPPENS_AFTER, CONCURRENT))
 
 
 @_query
@@ -367,7 +368,7 @@ def keyword_scan(spark, sf_dir):
 @_query
 def keyword_search_stored(spark, sf_dir):
     """An index stored by day, one day written twice; one keyword has a separator."""
-    log = _log(spark, sf_dir).select("event_id", "message", "log_date")
+    log = written(_log(spark, sf_dir).select("event_id", "message", "log_date"), "messages")
     postings, path = search.build_inverted_index(log, keep=("log_date",)), new_path(spark, "index")
     search.write_index(postings, path, day="log_date")
     again = postings.where(F.col("log_date") == F.lit("2024-01-05").cast("date"))

@@ -200,3 +200,26 @@ def test_replay_doubles_hops_and_finds_circles(spark):
     circle = spark.createDataFrame([(5, 1), (1, 5)], "send_event long, recv_event long")
     with pytest.raises(ValueError, match="circle"):
         replay.replay_clocks(events, circle, 3).collect()
+
+
+def test_clocks_that_tick_one_component_never_pass(spark):
+    """Nodes that all tick component 0: no order audit gives an all-clear."""
+    from causal_logs.plans.frontier import MalformedClocks
+
+    rows = [(i, f"n{i % 3}", i % 3, [i // 3 + 1, 0, 0], 1000 - i, i // 3, i) for i in range(30)]
+    log = spark.createDataFrame(rows, "event_id int, node_id string, node_idx int, vc array<bigint>, ts_ms bigint, seq bigint, pos bigint")
+    for use in (lambda: order.order_audit(log, 3), lambda: order.causal_order(log.drop("pos"), 3), lambda: relation.relation_counts(log, 3)):
+        with pytest.raises(MalformedClocks, match="own component not ticked"):
+            use().count()
+    assert order.causal_order(log.drop("pos"), 3, well_formed=False).count() == 30
+
+
+def test_replay_refuses_gaps_and_unknown_events(spark):
+    from causal_logs.operators import replay
+
+    events = spark.createDataFrame([(1, 0, 0), (2, 0, 2), (3, 1, 0)], "event int, node_idx int, seq bigint")
+    none = spark.createDataFrame([], "send_event int, recv_event int")
+    with pytest.raises(ValueError, match="gaps"):
+        replay.replay_clocks(events, none, 2)
+    with pytest.raises(ValueError, match="unknown"):
+        replay.replay_clocks(events.where("seq = 0"), spark.createDataFrame([(1, 9)], "send_event int, recv_event int"), 2)

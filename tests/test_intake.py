@@ -189,3 +189,45 @@ def test_ingest_stats(spark):
     got = {r.node_id: tuple(r)[1:] for r in ingest.ingest_stats(jsonl.decode(df), ["node_id"]).collect()}
     size = len((good % 1).encode())
     assert got == {"n1": (2, 2, 0, 2 * size), "n2": (1, 1, 0, size), None: (1, 0, 1, 2)}
+
+
+def test_rows_without_a_place_are_kept(spark):
+    from causal_logs.operators import ingest
+
+    rows = [("a", "f", 1), ("a", None, 2), ("a", "f", None), (None, "f", 3)]
+    parsed = spark.createDataFrame(rows, "node_id string, file string, line_no bigint")
+    nodes = spark.createDataFrame([("a", 0)], "node_id string, node_idx int")
+    stamped = ingest.stamp_clocks(parsed, nodes, 2).collect()
+    assert sorted((r.file or "", r.line_no or 0) for r in stamped) == sorted((f or "", n or 0) for _, f, n in rows)
+    assert sorted(r.seq for r in stamped if r.node_id == "a") == [0, 1, 2]
+
+
+def test_stored_records_of_three_nodes_in_causal_order(spark, tmp_path):
+    from causal_logs.operators import ingest, order
+    from causal_logs.sources import store
+
+    nodes = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "node_id string, node_idx int")
+    # a sends to b, b to c; wall clocks run backwards.
+    rows = [("a", [1, 0, 0], 300), ("b", [1, 1, 0], 200), ("c", [1, 1, 1], 100), ("d", [1, 1, 1], 1), ("c", [2, 0, 0], 5)]
+    log = spark.createDataFrame(
+        [(n, vc, t, "INFO", "m", {}) for n, vc, t in rows],
+        "node_id string, vc array<bigint>, ts_ms bigint, level string, message string, metadata map<string,string>",
+    )
+    store.write_jsonl(log, str(tmp_path))
+    decoded = store.read_store(spark, str(tmp_path))
+    typed = ingest.typed_log(decoded, nodes)
+    ordered = order.causal_order(typed, 3, tie_break="seq").orderBy("pos").collect()
+    assert [(r.node_id, r.seq) for r in ordered] == [("a", 0), ("b", 0), ("c", 0)]
+    rejects = ingest.typed_log_rejects(decoded, nodes).collect()
+    assert sorted((r.node_id, r.reason) for r in rejects) == [("c", "no_own_tick"), ("d", "unlisted_node")]
+
+
+def test_long_records_are_set_aside(spark):
+    from causal_logs.sources import store
+
+    log = spark.createDataFrame(
+        [("a", [1], 1, "INFO", "m" * n, {}) for n in (5, 5000)],
+        "node_id string, vc array<bigint>, ts_ms bigint, level string, message string, metadata map<string,string>",
+    )
+    kept, rest = store.export_jsonl(log, max_record_bytes=4095), store.export_jsonl_rejects(log, 4095)
+    assert kept.count() == 1 and [r.reason for r in rest.collect()] == ["too_long"]
