@@ -246,7 +246,10 @@ def similar(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: s
 
 
 def deduplicated(docs: DataFrame, id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one row of each component kept: that of the smallest id. A row without an id goes if it is linked to another."""
-    found = similar(docs, id=id, **options).where("doc IS NULL OR doc <> component").select(F.col("doc").alias(id)).distinct()
-    others = docs.join(found, docs[id].cast("bigint").eqNullSafe(found[id]), "left_anti")
-    return others.dropDuplicates([id])
+    """``docs`` with one row of each component kept: that of the smallest id, once if it is repeated.
+
+    Rows without an id cannot be told apart and stay.
+    """
+    found = similar(docs.where(F.col(id).isNotNull()), id=id, **options).where("doc <> component").select(F.col("doc").alias("_doc")).distinct()
+    others = docs.where(F.col(id).isNotNull()).join(found, docs[id].cast("bigint") == found["_doc"], "left_anti")
+    return others.dropDuplicates([id]).unionByName(docs.where(F.col(id).isNull()))

@@ -164,6 +164,8 @@ def test_similarity_edges(spark):
     assert by[104].component == by[105].component == 104 and by[103].component == 103 and by[100].n_shingles == 0
     # Without an id: with its group, or alone.
     assert sorted((r.component is None for r in found if r.doc is None)) == [False, True, True]
+    lone = [r for r in jaccard.deduplicated(odd(spark)).collect() if r.doc_id is None]
+    assert len(lone) == 3
     kept = jaccard.deduplicated(documents(spark))
     assert kept.columns == documents(spark).columns
     groups = {c for _, c in _plain_components(texts()).values()}
