@@ -27,7 +27,7 @@ WINDOW = 10
 BLOCK = 3
 STRIPE = 1024
 # Bytes of item text searched for in one pass over the documents.
-PASS_BYTES = 1 << 24
+PASS_BYTES = 1 << 21
 
 
 class Patterns:
