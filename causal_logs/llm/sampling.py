@@ -89,8 +89,13 @@ class Walks:
             if len(free):
                 u = _uniform(state[free], step)
                 base = self.total[low[free]]
-                at = np.searchsorted(self.total, base + u * (self.total[high[free] + 1] - base), "right") - 1
-                edge[free] = np.clip(at, low[free], high[free])
+                aim, at, least = base + u * (self.total[high[free] + 1] - base), high[free], low[free]
+                # Longer pieces are likelier: the last edge whose sum is not above the aim, from the last one on.
+                far = np.flatnonzero(self.total[at] > aim)
+                while len(far):
+                    at[far] -= 1
+                    far = far[(self.total[at[far]] > aim[far]) & (at[far] > least[far])]
+                edge[free] = at
             taken.append(edge)
             whose.append(owner)
             node = self.edges.end[edge]
