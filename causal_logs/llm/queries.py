@@ -104,5 +104,5 @@ def op2_toxicity(spark, sf_dir):
     """Toxicity of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").where(~rows.held_out(F.col("doc_id"))).select("doc_id", "toxic")
-    model = toxicity.train(docs, docs.join(labels, "doc_id"))
+    model = toxicity.train(docs, labels)
     return toxicity.scored(docs, model).select("doc_id", rows.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

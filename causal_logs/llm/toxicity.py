@@ -200,10 +200,14 @@ class Model(NamedTuple):
     base: float
 
 
-def train(docs: DataFrame, labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """Learn from ``labelled`` (id, text, 0/1 label), a sample of about ``sample_rows`` rows of it; the character model from ``docs``."""
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
+    """Learn from the texts of about ``sample_rows`` of the ids in ``labels`` (id, 0/1 label); the character model from all ``docs``.
+
+    The sample of ids is small by construction and is broadcast, so no text is shuffled.
+    """
     channel = train_channel(docs, text)
-    known = labelled.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).dropna(subset=["text", "label"])
+    chosen = rows.sampled(labels.select(F.col(id).alias("id"), F.col(label).cast("int").alias("label")).dropna(), "id", sample_rows)
+    known = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).dropna().join(F.broadcast(chosen), "id")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, counts = Restorer(channel), {}
@@ -219,7 +223,7 @@ def train(docs: DataFrame, labelled: DataFrame, sample_rows: int = SAMPLE_ROWS,
                 counts = {}
         yield _counts(counts)
 
-    counted = rows.sampled(known, "id", sample_rows).repartition("id").mapInArrow(count, "word string, n bigint, p bigint")
+    counted = known.mapInArrow(count, "word string, n bigint, p bigint")
     # ``p`` of the ``n`` labelled texts with a word are toxic.
     counted = written(counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("p").alias("p")), "words")
     total = counted.where("word = ''").first()

@@ -147,7 +147,7 @@ def test_restoring(spark):
 def test_toxicity_edges(spark):
     rows = [(i, ("what an awful idiot " if i % 3 == 0 else "what a nice day ") + f"w{i}") for i in range(300)] + [(900, None), (901, ""), (902, "1d10t 1diot idi0t"), (903, LONG), (904, "...")]
     docs = documents(spark, rows)
-    labelled = docs.withColumn("toxic", F.when(F.col("doc_id") < 300, (F.col("doc_id") % 3 == 0).cast("int"))).where(~held_out(F.col("doc_id")))
+    labelled = docs.withColumn("toxic", F.when(F.col("doc_id") < 300, (F.col("doc_id") % 3 == 0).cast("int"))).where(~held_out(F.col("doc_id"))).select("doc_id", "toxic")
     model = toxicity.train(docs, labelled)
     by = {r.doc_id: r for r in toxicity.scored(docs, model).collect()}
     assert all(by[i].predicted == (i % 3 == 0) for i in range(300))
