@@ -6,6 +6,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+# Paths handed out so far, by application.
+_PATHS: dict[str, list[str]] = {}
 
 
 def local_session(cores: int | str = "*", app: str = "causal_logs", **conf) -> SparkSession:
@@ -45,7 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _PATHS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -59,3 +63,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def tables(spark: SparkSession) -> list[str]:
+    """Paths handed out by ``new_path`` in this application so far, in order."""
+    return list(_PATHS.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, paths: list[str], *keep: DataFrame) -> None:
+    """Remove what lies at ``paths`` of ``tables``, but for what ``keep`` reads.
+
+    For use once the results that rest on it are stored elsewhere or no longer wanted.
+    """
+    read = [f for df in keep for f in df.inputFiles()]
+    for path in paths:
+        if not any(f"/{path.rsplit('/', 1)[1]}/" in f for f in read):
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
