@@ -1,11 +1,13 @@
 """From raw documents to sampled token ids: language, near copies, repeated passages, benchmark passages, pieces."""
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from causal_logs.llm import decontaminate, jaccard, language, repeats, sampling
 from causal_logs.llm.queries import VOCABULARY, language_model
-from causal_logs.session import written
+from causal_logs.session import release, tables, written
 
 # A document goes if no language, or none with this posterior, is found.
 LEAST_SCORE = 0.5
@@ -16,6 +18,25 @@ SAMPLES = 2
 ORACLE_SQL = None
 
 
+# What the stage before has stored on its way to its result.
+_HELD: list[str] = []
+
+
+def _stage(fn):
+    """A stage's input is stored, so what the stage before needed to make it is removed first."""
+
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _HELD, docs)
+        before = len(tables(spark))
+        out = fn(spark, docs, sf_dir)
+        _HELD[:] = tables(spark)[before:]
+        return out
+
+    return run_stage
+
+
+@_stage
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learnt from the labelled ones. Null texts and texts without letters go."""
     found = language.predict(docs.withColumnsRenamed({c: f"own_{c}" for c in ("lang_pred", "score") if c in docs.columns}), language_model(docs))
@@ -23,27 +44,33 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.drop("lang_pred", "score").withColumnsRenamed({f"own_{c}": c for c in ("lang_pred", "score") if c in docs.columns}).select(*docs.columns)
 
 
+@_stage
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: that with the smallest id."""
     return jaccard.deduplicated(docs)
 
 
+@_stage
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that an earlier document has too; a document of which nothing is left goes."""
     found = repeats.repeats(docs, kept=True).select(F.col("doc").alias("doc_id"), "n_removed", "kept").dropDuplicates(["doc_id"])
     found = found.where("n_removed = 0 OR kept <> ''")
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    joined = docs.select(F.col("doc_id").alias("own_id"), "text", *others).join(found, F.col("own_id").eqNullSafe(F.col("doc_id")))
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    # Texts come with the result only, so they are shuffled once.
+    slim = docs.select(F.col("doc_id").alias("own_id"), F.col("text").isNull().alias("_none"), *others)
+    joined = slim.join(found, F.col("own_id").eqNullSafe(F.col("doc_id")))
+    text = F.when(~F.col("_none"), F.col("kept"))
     new = {"doc_id": F.col("own_id"), "text": text, "n_chars": F.length(text).cast("bigint")}
     return joined.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
+@_stage
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
     return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@_stage
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of the documents, as piece ids."""
     return sampling.segmentations(docs, VOCABULARY, k=SAMPLES)
