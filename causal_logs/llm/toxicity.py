@@ -1,9 +1,9 @@
 """Toxicity of texts whose words may be disguised: noisy-channel restoring, then scoring.
 
-Words with digits or signs among their letters, stretched letters or spaced-out letters
+Words with digits or signs among or for their letters, stretched letters or spaced-out letters
 are read as a lattice: every run of a character may stand for some letters, for nothing
-or for a word end, at a cost. The best path under a character trigram model (Viterbi, states
-are the last two letters) is the restored text. Other words have one path and
+or for a word end, at a cost; so may every gap in a run of spaced letters, neighbours like "a" included. The best path under a character trigram model (Viterbi, states
+are the last two letters) is the restored text; of spaced letters, the words of the next best paths count as well. Other words have one path and
 stay. The trigram model is counted over all texts; labels are not used for it.
 
 Scoring: words and beginnings of words that labelled toxic texts have far more often
@@ -40,9 +40,18 @@ LEET = {
 # Put between letters to hide a word, and marks that part words anyway.
 _HIDING, _PARTING = "*.-_~'^", "/\\,:;=#%&?\"()[]{}<>"
 _PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‘’…–—¡¿"
-_SPACED = re.compile(r"(?<!\w)(?:[^\W_][ .*_-]){3,}[^\W_](?!\w)")
+# Two or more letters, digits or signs that stand apart, whatever parts them. A sign at either end belongs to no other word.
+_SIGNS = "".join(re.escape(c) for c in LEET if not c.isdigit())
+_ALONE = r"(?<![^\W_])([^\W_])\{}*+(?![^\W_])"
+_GAP = re.compile(rf"(?:[^\w{_SIGNS}]|_)+")
+_SPACED = re.compile(rf"(?:{_ALONE.format(1)}|(?<!\S)[{_SIGNS}])(?:(?:[^\w{_SIGNS}]|_)*+(?:{_ALONE.format(2)}|[{_SIGNS}]))+(?:(?<=[^\W_])|(?!\S))")
+_AGAIN = re.compile(r"([^\W\d_])(?: ++\1){2,}")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
 _COST_LEET, _COST_DROP, _COST_DROP_INSIDE, _COST_END = 1.0, 2.5, 7.0, 4.0
+# Of a gap between spaced letters: another reading than its width suggests.
+_COST_GAP = 1.0
+# Spaced letters keep so many readings at most that cost this much more than the best: a trigram model alone parts words badly.
+_READINGS, _SLACK = 16, 6.0
 
 # Symbols of the character model: word end, a to z, any other letter.
 _ENDS, _OTHER, _SYMBOLS = 0, 27, 28
@@ -93,8 +102,11 @@ def _symbol(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else _OTHER if c.isalpha() else _ENDS
 
 
-def _options(c: str, run: int, inside: bool) -> list[tuple[str, float]]:
-    """What a run of one character may stand for, ``inside`` a token or at its ends."""
+def _options(c: str, run: int, inside: bool, letterless: bool) -> list[tuple[str, float]]:
+    """What a run of one character may stand for, ``inside`` a token or at its ends; digits of a ``letterless`` token are letters."""
+    if c == " ":
+        # A gap wider than others is likelier a word end.
+        return [("", 0.0), (" ", _COST_GAP)] if run == 1 else [(" ", 0.0), ("", _COST_GAP)]
     if c.isalpha():
         if run == 1:
             return [(c, 0.0)]
@@ -103,39 +115,60 @@ def _options(c: str, run: int, inside: bool) -> list[tuple[str, float]]:
         return [("", 0.5), (" ", 2.0)]
     if c in _PARTING:
         return [(" ", 0.0), ("", 4.0)]
+    if letterless and (c.isdigit() or c in "@$"):
+        return [(x * n, _COST_LEET * n) for x in LEET.get(c, "") for n in ([run] if run <= 2 else [1, 2])] or [("", 0.0)]
     out = [(x * n, _COST_LEET + (n - 1)) for x in LEET.get(c, "") for n in range(1, min(run, 2) + 1)]
     return [*out, ("", _COST_DROP_INSIDE if inside else _COST_DROP), (" ", _COST_END)]
 
 
-def restore(token: str, channel: Channel) -> str:
-    """The likeliest plain text behind a lower-case token; words are parted by spaces."""
-    cost = channel.cost
-    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+def readings(token: str, channel: Channel, most: int = _READINGS, slack: float = _SLACK) -> list[str]:
+    """The likeliest plain texts behind a lower-case token, or behind spaced letters (see ``_gaps``), the best first; words are parted by spaces."""
+    cost, letterless = channel.cost, not any(map(str.isalpha, token))
+    states: dict[tuple[int, int], list[tuple[float, tuple]]] = {(0, 0): [(0.0, ())]}
     at = 0
     while at < len(token):
         end = at + 1
         while end < len(token) and token[end] == token[at]:
             end += 1
-        new: dict[tuple[int, int], tuple[float, tuple]] = {}
-        for option, price in _options(token[at], end - at, 0 < at and end < len(token)):
-            for (a, b), (total, path) in states.items():
-                value = total + price
-                for c in option:
-                    s = _symbol(c)
+        new: dict[tuple[int, int], list[tuple[float, tuple]]] = {}
+        for option, price in _options(token[at], end - at, 0 < at and end < len(token), letterless):
+            symbols = [_symbol(c) for c in option]
+            for (a, b), paths in states.items():
+                more = price
+                for s in symbols:
                     if s == _ENDS == b:
                         continue
-                    value += cost[a, b, s]
+                    more += cost[a, b, s]
                     a, b = b, s
-                old = new.get((a, b))
-                if old is None or value < old[0]:
-                    new[a, b] = (value, (path, option) if option else path)
+                new.setdefault((a, b), []).extend((total + more, (path, option) if option else path) for total, path in paths)
+        for state, paths in new.items():
+            if len(paths) > most:
+                new[state] = sorted(paths, key=lambda p: p[0])[:most]
         states, at = new, end
-    path = min((total + (cost[a, b, _ENDS] if b != _ENDS else 0.0), path) for (a, b), (total, path) in states.items())[1]
-    parts = []
-    while path:
-        path, option = path
-        parts.append(option)
-    return " ".join("".join(reversed(parts)).split())
+    found = [(total + (cost[a, b, _ENDS] if b != _ENDS else 0.0), path) for (a, b), paths in states.items() for total, path in paths]
+    found.sort(key=lambda p: p[0])
+    out = []
+    for total, path in found[:most]:
+        if total > found[0][0] + slack:
+            break
+        parts = []
+        while path:
+            path, option = path
+            parts.append(option)
+        out.append(" ".join("".join(reversed(parts)).split()))
+    return out
+
+
+def restore(token: str, channel: Channel) -> str:
+    """The likeliest of the ``readings``."""
+    return readings(token, channel, 1)[0]
+
+
+def _gaps(spaced: str) -> str:
+    """Spaced letters with one space for each gap, two for those wider than the narrowest; none in a stretched letter."""
+    narrow = min((len(gap) for gap in _GAP.findall(spaced)), default=0)
+    gaps = _GAP.sub(lambda gap: " " if len(gap[0]) == narrow else "  ", spaced)
+    return _AGAIN.sub(lambda m: m[1] * 3, gaps)
 
 
 class Restorer:
@@ -154,6 +187,17 @@ class Restorer:
             found = self.known[token] = restore(token, self.channel).split()
         return found
 
+    def _parted(self, spaced: str) -> set[str]:
+        """Words of all readings of spaced letters, and of them as one word."""
+        gaps = _gaps(spaced)
+        found = self.known.get(gaps)
+        if found is None:
+            whole = gaps.replace(" ", "")
+            found = {whole, *self._restored(whole)} if whole.isalpha() else set(self._restored(whole))
+            found.update(*(r.split() for r in readings(gaps, self.channel)))
+            self.known[gaps] = found
+        return found
+
     def words(self, text: str) -> set[str]:
         """Distinct words of a text, with disguised ones restored."""
         low = text.lower()
@@ -162,7 +206,7 @@ class Restorer:
             if not word.isalpha():
                 bare = word.strip(_PUNCTUATION)
                 if not bare.isalpha():
-                    if any(map(str.isalpha, word)):
+                    if any(map(str.isalpha, word)) or (len(word) > 1 and any(c in LEET for c in word)):
                         plain.update(self._restored(word.lstrip("\"'([{<").rstrip("\"')]}>.,;:?*%&#")))
                     continue
                 # Signs at the ends may stand for letters.
@@ -173,16 +217,14 @@ class Restorer:
             if stretched and _STRETCHED.search(word):
                 plain.update(self._restored(word))
         for spaced in _SPACED.finditer(low):
-            letters = re.sub(r"[ .*_-]", "", spaced[0])
-            if len(set(letters)) > 2:
-                plain.update(self._restored(letters))
+            plain.update(self._parted(spaced[0]))
         return plain
 
 
 def restored_text(text: str, channel: Channel) -> str:
-    """A text with its disguised words restored (in lower case), for reading."""
+    """A text with its disguised words restored (in lower case), for reading; tokens without letters stay."""
     tokens = []
-    spaced = _SPACED.sub(lambda m: re.sub(r"[ .*_-]", "", m[0]), text.lower())
+    spaced = _SPACED.sub(lambda m: restore(_gaps(m[0]), channel), text.lower())
     for token in spaced.split():
         bare = token.strip(_PUNCTUATION)
         clean = (bare.isalpha() and not _STRETCHED.search(bare)) or not any(map(str.isalpha, token))

@@ -144,6 +144,17 @@ def test_restoring(spark):
     assert toxicity.restored_text("A M0R0N, you", channel) == "a moron you"
 
 
+@pytest.mark.parametrize("hidden, plain", [
+    ("you are a m o r o n", "moron"), ("a i d i o t", "idiot"), ("I i d i o t", "idiot"), ("s c u m a", "scum"), ("i d i o t m o r o n", "idiot moron"),
+    ("b @ s t a r d", "bastard"), ("m  o  r  o  n", "moron"), ("m, o,\nr, o, n", "moron"), ("i d i o o o t!", "idiot"), ("a s s", "ass"), ("455", "ass"), ("@$$", "ass"), ("5417", "salt"),
+])
+def test_spaced_letters_beside_others(spark, hidden, plain):
+    docs = spark.createDataFrame([(i, f"you are an idiot and a moron said the stupid loser number {i} for the pathetic scum, an ass and a bastard with salt") for i in range(20)], "doc_id int, text string")
+    restorer = toxicity.Restorer(toxicity.train_channel(docs))
+    assert set(plain.split()) <= restorer.words(hidden)
+    assert restorer.words("what, I (think) is 7 + x") >= {"what", "i", "think", "is"} and "imoron" not in restorer.words("I moron")
+
+
 def test_toxicity_edges(spark):
     rows = [(i, ("what an awful idiot " if i % 3 == 0 else "what a nice day ") + f"w{i}") for i in range(300)] + [(900, None), (901, ""), (902, "1d10t 1diot idi0t"), (903, LONG), (904, "...")]
     docs = documents(spark, rows)
