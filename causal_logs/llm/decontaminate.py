@@ -116,21 +116,27 @@ def _merged(places: list[tuple[int, int]]) -> list[dict]:
     return out
 
 
+def _places(part: rows.Texts, tables: list[Patterns]) -> tuple[Words, list[list[tuple[int, int]]], list[set[str]]]:
+    """Words of the texts, and the hit stretches and items of each text."""
+    data = LOWER[part.data]
+    found = words(data, part.starts, ALNUM)
+    places = [[] for _ in range(len(part))]
+    items = [set() for _ in range(len(part))]
+    for table in tables:
+        for at, names in table.occurrences(data, found):
+            i = int(np.searchsorted(found.first, at, "right")) - 1
+            own = at - int(found.first[i])
+            places[i].append((own, own + table.length))
+            items[i].update(names)
+    return found, places, items
+
+
 def _searched(docs: DataFrame, columns: list[str], text: str, tables: list[Patterns]) -> DataFrame:
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("n", pa.int64())]))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows.texts(batches, text):
-            data = LOWER[part.data]
-            found = words(data, part.starts, ALNUM)
-            places = [[] for _ in range(len(part))]
-            items = [set() for _ in range(len(part))]
-            for table in tables:
-                for at, names in table.occurrences(data, found):
-                    i = int(np.searchsorted(found.first, at, "right")) - 1
-                    own = at - int(found.first[i])
-                    places[i].append((own, own + table.length))
-                    items[i].update(names)
+            found, places, items = _places(part, tables)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[part.column(c) for c in columns],
@@ -145,6 +151,15 @@ def _searched(docs: DataFrame, columns: list[str], text: str, tables: list[Patte
     return docs.select(*columns, text).mapInArrow(search, rows.schema(docs, columns, added))
 
 
+def _blocks(benchmark: DataFrame, item: str, item_text: str, pass_bytes: int):
+    """The number of passes, and a function that gives the items of a pass."""
+    items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).cast("binary").alias("text")).dropna()
+    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    passes = -(-size // pass_bytes) or 1
+    own = F.pmod(F.xxhash64("item", "text"), F.lit(passes))
+    return passes, lambda k: [tuple(r) for r in items.where(own == k).collect()]
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", pass_bytes: int = PASS_BYTES) -> DataFrame:
     """Where windows of benchmark items stand: ``id, n_words, spans (start, n), items``, a row for each row of ``docs``.
 
@@ -155,28 +170,37 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     Items are sent to the tasks in blocks of ``pass_bytes``, with a pass over the
     documents for each block, so any number of items can be searched for.
     """
-    items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).cast("binary").alias("text")).dropna()
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    passes = -(-size // pass_bytes) or 1
+    passes, block = _blocks(benchmark, item, item_text, pass_bytes)
     if passes == 1:
-        return _searched(docs, [id], text, patterns([tuple(r) for r in items.collect()], window))
+        return _searched(docs, [id], text, patterns(block(0), window))
     docs = written(docs.select(F.monotonically_increasing_id().alias("_row"), id, text), "docs")
     found = []
     for k in range(passes):
-        block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k).collect()
-        found.append(_searched(docs, ["_row", id], text, patterns([tuple(r) for r in block], window)))
+        found.append(_searched(docs, ["_row", id], text, patterns(block(k), window)))
     spans, names = F.flatten(F.collect_list("spans")), F.flatten(F.collect_list("items"))
     grouped = reduce(DataFrame.union, found).groupBy("_row").agg(F.first(id).alias(id), F.first("n_words").alias("n_words"), F.array_sort(spans).alias("spans"), F.array_sort(F.array_distinct(names)).alias("items"))
     return grouped.drop("_row")
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", **names) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item: str = "item_id", item_text: str = "text", pass_bytes: int = PASS_BYTES) -> DataFrame:
     """``docs`` without the rows in which a benchmark window stands; rows are kept whole, null and empty texts too.
 
-    Rows are told apart by ``id``; of rows with one id, all go if one is hit.
+    Every row is judged by its own text, whatever its id. What a pass keeps is stored for the next one.
     """
-    hit = contamination(docs, benchmark, id=id, **names).where(F.size("spans") > 0).select(id).distinct()
-    return docs.join(hit, id, "left_anti").select(*docs.columns)
+
+    def clean(docs: DataFrame, tables: list[Patterns]) -> DataFrame:
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in rows.texts(batches, text):
+                _, places, _ = _places(part, tables)
+                own = part.batch.slice(part.index.start, len(part))
+                yield own.filter(pa.array([not p for p in places], pa.bool_()))
+
+        return docs.mapInArrow(search, docs.schema)
+
+    passes, block = _blocks(benchmark, item, item_text, pass_bytes)
+    for k in range(passes):
+        docs = clean(docs if k == 0 else written(docs, "clean"), patterns(block(k), window))
+    return docs
 
 
 def report(found: DataFrame, id: str = "doc_id") -> DataFrame:

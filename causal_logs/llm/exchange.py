@@ -43,25 +43,45 @@ def unpacked(block: bytes) -> list[np.ndarray]:
     return out
 
 
-def batches(docs: DataFrame, id: str, text: str, name: str) -> DataFrame:
+def ipc(columns: list[pa.Array], names: list[str]) -> bytes:
+    batch = pa.RecordBatch.from_arrays(columns, names=names)
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def own_rows(others: bytes) -> tuple[pa.Array, pa.Array]:
+    """The carried columns of a batch's rows as structs, and whether each text is null."""
+    table = pa.ipc.open_stream(others).read_all().combine_chunks()
+    whole = lambda c: c.chunk(0) if c.num_chunks else pa.array([], c.type)
+    return whole(table.column("own")), whole(table.column("none"))
+
+
+def batches(docs: DataFrame, id: str, text: str, name: str, carry: list[str] | None = None) -> DataFrame:
     """Write the texts to the shared folder in batches: ``batch``, ``block`` (ids, ends, bytes) and ``bytes``.
 
-    Ids are taken as bigint, a missing one as ``NO_ID``; null texts are empty.
+    Ids are taken as bigint, a missing one as ``NO_ID``; null texts are empty. The columns ``carry`` of the rows
+    come along in ``others`` (see ``own_rows``), so that rows need not be found again by id.
     """
 
     def gather(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple] = []
 
         def block():
             sizes = np.concatenate([h[1] for h in held])
             data = np.concatenate([h[2] for h in held])
             own = packed(np.concatenate([h[0] for h in held]), np.cumsum(sizes), data)
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([own], pa.binary()), pa.array([len(data)], pa.int64())], names=["batch", "block", "bytes"])
+            columns = [pa.array([number], pa.int64()), pa.array([own], pa.binary()), pa.array([len(data)], pa.int64())]
+            if carry:
+                others = ipc([pa.concat_arrays([h[3] for h in held]), pa.array(np.concatenate([h[4] for h in held]))], ["own", "none"])
+                columns.append(pa.array([others], pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, names=["batch", "block", "bytes"] + ["others"] * bool(carry))
 
         for part in rows.texts(parts, "text", BATCH_BYTES):
             ids = part.column("id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            held.append((ids, np.diff(part.starts), part.data))
+            held.append((ids, np.diff(part.starts), part.data, *([part.column("own"), part.missing] if carry else [])))
             if sum(len(h[2]) for h in held) >= BATCH_BYTES // 2:
                 yield block()
                 number += 1
@@ -69,10 +89,11 @@ def batches(docs: DataFrame, id: str, text: str, name: str) -> DataFrame:
         if held:
             yield block()
 
-    slim = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
+    own = [F.struct(*carry).alias("own")] if carry else []
+    slim = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"), *own)
     spark, path = docs.sparkSession, new_path(docs.sparkSession, name)
     # Small row groups: a reader holds one of them.
-    out = slim.mapInArrow(gather, "batch bigint, block binary, bytes bigint").write.option("parquet.block.size", 1 << 23).option("compression", "uncompressed")
+    out = slim.mapInArrow(gather, "batch bigint, block binary, bytes bigint" + ", others binary" * bool(carry)).write.option("parquet.block.size", 1 << 23).option("compression", "uncompressed")
     out.parquet(path)
     return spark.read.parquet(path)
 

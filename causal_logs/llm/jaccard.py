@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import written
 from . import exchange
@@ -89,9 +90,12 @@ def _postings(tokens: np.ndarray, code: np.ndarray, first: np.ndarray, percent:
     return [np.concatenate(x) for x in zip(*found, strict=True)]
 
 
-def indexed(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A stored row for each row of ``docs``: ``doc, node, n, keys (key, rest)`` and ``tokens`` where there are keys."""
-    table = exchange.batches(docs, id, text, "texts")
+def indexed(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT, id: str = "doc_id", text: str = "text", table: DataFrame | None = None) -> DataFrame:
+    """A stored row for each row of ``docs``: ``doc, node, n, keys (key, rest)``, ``tokens`` where there are keys, and where the row is: ``batch, at``.
+
+    ``table`` are the rows in batches, if they are stored already.
+    """
+    table = exchange.batches(docs, id, text, "texts") if table is None else table
     # About a token of four bytes for six bytes of text.
     total = table.agg(F.sum("bytes")).first()[0] or 0
     buckets = exchange.bucket_count(total * 2 // 3)
@@ -126,7 +130,7 @@ def indexed(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, fre
 
     def index(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for block, replies in zip(part.column("block"), part.column("answers"), strict=True):
+            for number, block, replies in zip(part.column("batch").to_pylist(), part.column("block"), part.column("answers"), strict=True):
                 ids, ends, data = exchange.unpacked(block.as_py())
                 tokens, first = _sets(data, np.concatenate([[0], ends]), shingle)
                 value, which = np.unique(tokens, return_inverse=True)
@@ -139,10 +143,11 @@ def indexed(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, fre
                 keys = pa.ListArray.from_arrays(pa.array(own, pa.int32()), keys)
                 kept = [tokens[first[i] : first[i + 1]].tobytes() if own[i] < own[i + 1] else None for i in range(len(ids))]
                 columns = [pa.array(ids), pa.array(_signatures(tokens, first), pa.binary()), pa.array(np.diff(first)), keys.cast(key_type), pa.array(kept, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc", "node", "n", "keys", "tokens"])
+                columns += [pa.array(np.full(len(ids), number)), pa.array(np.arange(len(ids)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "node", "n", "keys", "tokens", "batch", "at"])
 
-    asked = exchange.answered(table.select("batch", "block"), answers).select("block", "answers")
-    return written(asked.mapInArrow(index, "doc bigint, node binary, n bigint, keys array<struct<key:bigint,rest:int>>, tokens binary"), "index")
+    asked = exchange.answered(table.select("batch", "block"), answers).select("batch", "block", "answers")
+    return written(asked.mapInArrow(index, "doc bigint, node binary, n bigint, keys array<struct<key:bigint,rest:int>>, tokens binary, batch bigint, at bigint"), "index")
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -211,6 +216,17 @@ def similar(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: s
     without words, or null, has none and no links. Equal rows are linked. A row
     without an id counts as having the largest one; alone, its component is null.
     """
+    rows, classes = _grouped(docs, percent, id, text, **index)
+    out = rows.select("doc", "node", "n").join(classes.drop("component"), "node", "left")
+    known = lambda c: F.when(c != F.lit(int(exchange.NO_ID)), c)
+    return out.select(
+        known(F.col("doc")).alias("doc"), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        known(F.coalesce("smallest", "doc")).alias("component"),
+    )
+
+
+def _grouped(docs: DataFrame, percent: int, id: str, text: str, **index) -> tuple[DataFrame, DataFrame]:
+    """The indexed rows, and ``node, component, smallest, n_links`` of the nodes that are not alone (``component`` is a node, ``smallest`` an id)."""
     rows = indexed(docs, percent=percent, id=id, text=text, **index)
     reps = written(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("rows")), "nodes")
     held = rows.where("tokens IS NOT NULL").join(reps.select("node", "doc"), ["node", "doc"], "left_semi")
@@ -234,22 +250,38 @@ def similar(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: s
     counted = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     classes = reps.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = classes.groupBy("component").agg(F.min("doc").alias("smallest"))
-    classes = classes.join(smallest, "component").join(counted, "node", "left").select("node", "smallest", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    classes = classes.join(smallest, "component").join(counted, "node", "left").select("node", "component", "smallest", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     # Alone, a row is its own component; only other nodes have to meet their rows.
     classes = written(classes.join(reps.select("node", "doc", "rows"), "node").where("rows > 1 OR smallest < doc OR n_links > 0").drop("doc", "rows"), "classes")
-    out = rows.select("doc", "node", "n").join(classes, "node", "left")
-    known = lambda c: F.when(c != F.lit(int(exchange.NO_ID)), c)
-    return out.select(
-        known(F.col("doc")).alias("doc"), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-        known(F.coalesce("smallest", "doc")).alias("component"),
-    )
+    return rows, classes
 
 
-def deduplicated(docs: DataFrame, id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one row of each component kept: that of the smallest id, once if it is repeated.
+def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT, **options) -> DataFrame:
+    """``docs`` with one row of each component kept: one of the smallest id.
 
-    Rows without an id cannot be told apart and stay.
+    Rows are told apart by where they are stored, so rows of one id stay if they are not similar. Rows without an id
+    have no order and stay, as do rows without words.
     """
-    found = similar(docs.where(F.col(id).isNotNull()), id=id, **options).where("doc <> component").select(F.col("doc").alias("_doc")).distinct()
-    others = docs.where(F.col(id).isNotNull()).join(found, docs[id].cast("bigint") == found["_doc"], "left_anti")
-    return others.dropDuplicates([id]).unionByName(docs.where(F.col(id).isNull()))
+    carry = [c for c in docs.columns if c != text]
+    known = docs.where(F.col(id).isNotNull())
+    table = exchange.batches(known, id, text, "texts", carry)
+    rows, classes = _grouped(known, percent, id, text, table=table, **options)
+    placed = written(rows.select("node", "doc", "batch", "at").join(classes.select("node", "component"), "node").drop("node"), "placed")
+    first = placed.groupBy("component").agg(F.min(F.struct("doc", "batch", "at")).alias("first")).select("first.batch", "first.at")
+    gone = placed.join(first, ["batch", "at"], "left_anti").groupBy("batch").agg(F.collect_list("at").alias("gone"))
+
+    def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for block, others, out in zip(part.column("block"), part.column("others"), part.column("gone"), strict=True):
+                _, ends, data = exchange.unpacked(block.as_py())
+                own, none = exchange.own_rows(others.as_py())
+                stays = np.ones(len(ends), bool)
+                stays[np.array(out.as_py() or [], np.int64)] = False
+                starts = np.concatenate([[0], ends])
+                texts = [None if m else data[a:b].tobytes().decode("utf-8", "replace") for a, b, m in zip(starts[:-1], ends, none.to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([own, pa.array(texts, pa.string())], names=["own", "text"]).filter(pa.array(stays))
+
+    schema = StructType([*known.select(F.struct(*carry).alias("own")).schema.fields, *StructType.fromDDL("text string").fields])
+    kept = table.join(gone, "batch", "left").select("block", "others", "gone").mapInArrow(keep, schema)
+    columns = [F.col("text").cast(docs.schema[text].dataType).alias(c) if c == text else F.col("own")[c].alias(c) for c in docs.columns]
+    return kept.select(*columns).unionByName(docs.where(F.col(id).isNull()))

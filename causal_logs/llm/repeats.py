@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import written
 from . import exchange
@@ -337,9 +338,10 @@ def _answered(group: pa.Table, width: int) -> pa.Table:
     return pa.Table.from_batches([exchange.blocks(rows_)])
 
 
-def repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str = "text", kept: bool = False, spread_batches: int = SPREAD_BATCHES, bucket_bytes: int = exchange.BUCKET_BYTES) -> DataFrame:
+def repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str = "text", kept: bool = False, carry: list[str] | None = None, spread_batches: int = SPREAD_BATCHES, bucket_bytes: int = exchange.BUCKET_BYTES) -> DataFrame:
     """A row for each row of ``docs``: ``doc, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for, ``kept``,
     the remaining text (a character of which a byte is gone is left out; the digest is that of all remaining bytes).
+    With ``carry``, each row also has these columns of its own row of ``docs`` as the struct ``own``, and ``none``, whether its text is null.
 
     Removed is every byte covered by a string of ``width`` bytes that also starts in a
     document of smaller id. Strings are those of the input in UTF-8 and do not cross
@@ -348,7 +350,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str =
     """
     if width % 2 or width < 2:
         raise ValueError("width must be even")
-    table = exchange.batches(docs, id, text, "texts")
+    table = exchange.batches(docs, id, text, "texts", carry)
     # Some 18 bytes are sent for an anchor, which there is for every 13 bytes of text.
     buckets = exchange.bucket_count(int((table.agg(F.sum("bytes")).first()[0] or 0) * 1.4), bucket_bytes)
 
@@ -385,16 +387,20 @@ def repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str =
             ]
             names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             texts_ = [pa.array([r.decode("utf-8", "ignore") for r in rest])] if kept else []
-            yield pa.RecordBatch.from_arrays(columns + texts_, names=names + ["kept"] * kept)
+            own = list(exchange.own_rows(row["others"])) if carry else []
+            yield pa.RecordBatch.from_arrays(columns + texts_ + own, names=names + ["kept"] * kept + ["own", "none"] * bool(carry))
 
     texts = table.select("batch", "block")
     anchors = texts.mapInArrow(send, exchange.BLOCKS)
     said = written(anchors.groupBy("bucket").applyInArrow(lambda group: _counted(group, spread_batches), exchange.BLOCKS), "anchors")
-    asked = exchange.answered(texts, said)
+    asked = exchange.answered(table.drop("bytes"), said)
     strings = asked.mapInArrow(send_strings, exchange.BLOCKS)
     merged_ = strings.groupBy("bucket").applyInArrow(lambda group: _answered(group, width), exchange.BLOCKS)
     last = exchange.answered(asked, merged_, "merged")
     schema = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept string" * kept
+    schema = StructType.fromDDL(schema)
+    if carry:
+        schema = StructType([*schema.fields, *docs.select(F.struct(*carry).alias("own"), F.lit(True).alias("none")).schema.fields])
     out = last.mapInArrow(finish, schema)
     return out.withColumn("doc", F.when(F.col("doc") != F.lit(int(exchange.NO_ID)), F.col("doc")))
 

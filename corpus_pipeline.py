@@ -53,15 +53,12 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 @_stage
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that an earlier document has too; a document of which nothing is left goes."""
-    found = repeats.repeats(docs, kept=True).select(F.col("doc").alias("doc_id"), "n_removed", "kept").dropDuplicates(["doc_id"])
-    found = found.where("n_removed = 0 OR kept <> ''")
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    # Texts come with the result only, so they are shuffled once.
-    slim = docs.select(F.col("doc_id").alias("own_id"), F.col("text").isNull().alias("_none"), *others)
-    joined = slim.join(found, F.col("own_id").eqNullSafe(F.col("doc_id")))
-    text = F.when(~F.col("_none"), F.col("kept"))
-    new = {"doc_id": F.col("own_id"), "text": text, "n_chars": F.length(text).cast("bigint")}
-    return joined.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    # The other columns come along with each text: ids may be missing or repeated, so rows are not found again by id.
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    found = repeats.repeats(docs, kept=True, carry=others).where("n_removed = 0 OR kept <> ''")
+    text = F.when(~F.col("none"), F.col("kept"))
+    new = {"text": text, "n_chars": F.length(text).cast("bigint")}
+    return found.select(*[new[c].alias(c) if c in new else F.col("own")[c].alias(c) for c in docs.columns])
 
 
 @_stage

@@ -4,6 +4,7 @@ import corpus_pipeline
 from cases import documents, texts
 from test_pairs import _plain_components, _plain_hits, _plain_repeats
 
+from causal_logs.llm import decontaminate
 from causal_logs.session import written
 
 ITEMS = [(1, "a passage of a benchmark that has been copied into two of the documents of this table")]
@@ -20,6 +21,31 @@ def _kept(text, earlier, width=50):
     return bytes(b for b, g in zip(data, gone, strict=True) if not g).decode("utf-8", "ignore")
 
 
+def test_rows_without_an_id_or_with_the_same_one(spark, tmp_path):
+    """Every row keeps its own text, and goes by its own text only."""
+    words = lambda k, n: " ".join(f"w{k}x{j}" for j in range(n))
+    passage = ITEMS[0][1]
+    rows = [(1, words(1, 30)), (1, words(2, 30)), (2, words(3, 30)), (2, f"{words(4, 30)} {passage}"), (3, words(1, 30)), (3, words(1, 30))]
+    rows += [(None, words(5, 30)), (None, words(6, 30)), (None, words(7, 30) + " " + passage), (None, None), (4, words(8, 30)), (None, words(8, 30) + " and more")]
+    sf = str(tmp_path)
+    documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars", "score", "component").write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame(ITEMS, "item_id bigint, text string").write.parquet(f"{sf}/benchmark.parquet")
+    docs, order = spark.read.parquet(f"{sf}/documents.parquet"), lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    got = written(corpus_pipeline.without_near_copies(spark, docs, sf), "stage")
+    one = [r for r in rows if r[0] != 3]
+    assert order(got) == sorted(one, key=repr) and got.columns == docs.columns
+    got = written(corpus_pipeline.without_repeats(spark, docs, sf), "stage")
+    want = [(i, t and _kept(t, [u for j, u in one if j is not None and (i is None or j < i)])) for i, t in one]
+    assert len(set(want)) == len(one) and (None, " and more") in want
+    assert order(got) == sorted(want, key=repr) and all(r.n_chars == (r.text and len(r.text)) for r in got.collect())
+    got = corpus_pipeline.without_benchmark(spark, docs, sf)
+    clean = [r for r in rows if passage not in (r[1] or "")]
+    assert order(got) == sorted(clean, key=repr)
+    table = spark.read.parquet(f"{sf}/benchmark.parquet").union(spark.createDataFrame([(9, words(2, 30))], "item_id bigint, text string"))
+    for pass_bytes in (1 << 20, 100):
+        assert order(decontaminate.decontaminated(docs, table, pass_bytes=pass_bytes)) == sorted([r for r in clean if r[1] != words(2, 30)], key=repr)
+
+
 def test_stages(spark, tmp_path):
     rows = [(i, t) for i, t in texts() if t is None or len(t) < 5000]
     rows += [(400, f"Before it. {ITEMS[0][1].upper()}! After it."), (401, rows[9][1] + " " + ITEMS[0][1]), (402, "12 34 ... 56")]
