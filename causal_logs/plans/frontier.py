@@ -43,7 +43,7 @@ def tick_table(
 
     Raises ``MalformedClocks`` where the prefix property cannot hold: entries that know
     something but never ticked their own component, entries of one tick with
-    different clocks, and knowledge that falls along a node (within a chunk).
+    different clocks, and knowledge that falls along a node.
     """
     names = components(node_count)
     ticked = log.withColumn("tick", F.expr("coalesce(get(vc, node_idx), 0L)"))
@@ -73,12 +73,28 @@ def tick_table(
         f"when prev_tick is not null and ({falls}) then 'knowledge falls' end"
     ))
     stored = written(ticks.drop("_chunk", "_several", *[f"_was_{c}" for c in names]), "ticks")
-    faults = stored.where("fault is not null").groupBy("fault").agg(F.sum("copies").alias("n")).collect()
+    faults = {r.fault: r.n for r in stored.where("fault is not null").groupBy("fault").agg(F.sum("copies").alias("n")).collect()}
+    fallen = _falls_between(stored, names, rows)
+    if fallen:
+        faults["knowledge falls"] = faults.get("knowledge falls", 0) + fallen
     if faults:
-        raise MalformedClocks("; ".join(f"{r.fault}: {r.n} entries" for r in sorted(faults)))
+        raise MalformedClocks("; ".join(f"{fault}: {n} entries" for fault, n in sorted(faults.items())))
     return stored.where("tick > 0").drop("fault")
 
 
+def _falls_between(ticks: DataFrame, names: list[str], rows: int) -> int:
+    """Entries at the start of a chunk that know less than the last tick of the node's chunk before."""
+    clock = f"struct({', '.join(names)})"
+    ends = ticks.withColumn("_chunk", chunk_of("tick", rows)).groupBy("node_idx", "_chunk").agg(
+        F.expr(f"min_by(struct({clock} as clock, copies, fault), tick) as first"), F.expr(f"max_by({clock}, tick) as last")
+    )
+    # One row per chunk.
+    before = "over (partition by node_idx order by _chunk)"
+    falls = " or ".join(f"(node_idx <> {j} and first.clock.{c} < _was.{c})" for j, c in enumerate(names))
+    paired = ends.selectExpr("node_idx", "first", f"lag(last) {before} as _was")
+    return paired.where(f"first.fault is null and _was is not null and ({falls})").agg(F.sum("first.copies")).first()[0] or 0
+
+
 class MalformedClocks(ValueError):
     """The clocks are not those of nodes that tick their own component and pass on what they know."""
 

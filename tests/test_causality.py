@@ -214,6 +214,23 @@ def test_clocks_that_tick_one_component_never_pass(spark):
     assert order.causal_order(log.drop("pos"), 3, well_formed=False).count() == 30
 
 
+@pytest.mark.parametrize("rows", [2, 3, 4, 1 << 16])
+def test_knowledge_that_falls_between_chunks(spark, rows):
+    """Node 0 forgets what it knew of node 1 at tick 4, wherever chunks begin, and after a chunk without ticks."""
+    from causal_logs.plans.frontier import MalformedClocks
+
+    def log(known):
+        own = [(k, "n0", 0, [tick, c], 1000 + tick, k, k) for k, (tick, c) in enumerate(known)]
+        other = [(10 + k, "n1", 1, [0, k], 900 + k, k, 100 + k) for k in range(1, 4)]
+        return spark.createDataFrame(own + other, "event_id int, node_id string, node_idx int, vc array<bigint>, ts_ms bigint, seq bigint, pos bigint")
+
+    for known in ([(1, 0), (2, 2), (3, 3), (4, 1), (5, 3)], [(1, 0), (2, 3), (3, 3), (40, 2)]):
+        for use in (lambda: order.order_audit(log(known), 2, rows=rows), lambda: order.causal_order(log(known).drop("pos"), 2, rows=rows)):
+            with pytest.raises(MalformedClocks, match="knowledge falls: 1 entries"):
+                use().count()
+    assert order.causal_order(log([(1, 0), (2, 2), (3, 3), (4, 3)]).drop("pos"), 2, rows=rows).count() == 7
+
+
 def test_replay_refuses_gaps_and_unknown_events(spark):
     from causal_logs.operators import replay
 
