@@ -56,12 +56,9 @@ def train(labelled: DataFrame, vocabulary_path: str, sample_rows: int = SAMPLE_R
                 if not len(cut.which):
                     continue
                 edges = pieces.lattice(vocabulary, cut.data, cut.starts)
-                weight = prior[edges.id]
-                before, after = pieces.forward(edges, weight[None])[0], pieces.backward(edges, weight[None])[0]
-                share = before[edges.start] * weight * after[edges.end]
                 nodes = np.diff(edges.first)
-                times = np.bincount(cut.which, minlength=len(nodes)) / after[edges.first[:-1]]
-                share *= np.repeat(times, nodes)[edges.start]
+                times = np.bincount(cut.which, minlength=len(nodes))
+                share = pieces.expected(edges, prior[edges.id]) * np.repeat(times, nodes)[edges.start]
                 totals[name] = totals.get(name, 0) + np.bincount(edges.id, share, minlength=vocabulary.size)
         for name, total in totals.items():
             used = np.flatnonzero(total)
@@ -115,8 +112,7 @@ class _Scorer:
             own = np.concatenate([[0], np.cumsum(size)])
             data = cut.data[np.arange(own[-1]) + np.repeat(cut.starts[new] - own[:-1], size)]
             edges = pieces.lattice(self.model.vocabulary, data, own)
-            sums = pieces.forward(edges, self.model.probability[:, edges.id])
-            out[new] = np.log(np.maximum(sums[:, edges.first[1:] - 1], 1e-300)).T
+            out[new] = pieces.log_totals(edges, self.model.probability[:, edges.id]).T
             if len(self.known) > KEPT_PARTS:
                 self.known, self.values = self.known[:0], self.values[:0]
             known = np.concatenate([self.known, cut.hash[new]])

@@ -1,10 +1,11 @@
 """Segmentation lattices over a fixed SentencePiece vocabulary, for many texts at once.
 
 A text is read as SentencePiece reads it (a space is put before it and spaces belong
-to the piece on their right) and cut into parts before every space, so a piece with a
-space has it in front; longer parts are cut every ``PART`` bytes, between characters. A
+to the piece on their right) and cut into parts before every space that follows another
+character: no piece crosses such a place, as pieces have spaces in front only (or are runs of them). A
 lattice edge is a piece standing at some place of a part; characters that are no
-pieces are spelled with byte pieces. Equal parts of a batch share one lattice.
+pieces are spelled with byte pieces. Equal parts of a batch share one lattice. Parts of any
+length are whole; sums over those of more than ``PART`` bytes are kept as logarithms.
 """
 
 from typing import NamedTuple
@@ -14,7 +15,6 @@ import numpy as np
 from .words import hashed, stream
 
 PART = 48
-MAX_PIECE_BYTES = 16
 _EMPTY = -1
 
 
@@ -28,6 +28,7 @@ class Vocabulary(NamedTuple):
     rank: np.ndarray  # by id: place among the pieces, best first
     bytes: np.ndarray  # all pieces end to end
     starts: np.ndarray
+    longest: int  # bytes of the longest piece
 
     @property
     def size(self) -> int:
@@ -35,7 +36,7 @@ class Vocabulary(NamedTuple):
 
 
 def load(path: str) -> Vocabulary:
-    """The pieces of a SentencePiece model of at most ``MAX_PIECE_BYTES`` bytes; it must have byte pieces."""
+    """The pieces of a SentencePiece model; it must have byte pieces, and no piece with a space after another character."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -43,23 +44,25 @@ def load(path: str) -> Vocabulary:
     if not any(model.is_byte(i) for i in ids):
         raise ValueError("the vocabulary needs byte pieces")
     first_byte = next(i for i in ids if model.is_byte(i))
-    texts, edges, piece, scores = [], {}, [-1], np.zeros(len(ids))
+    texts, edges, piece, scores, longest = [], {}, [-1], np.zeros(len(ids)), 1
     for i in ids:
         text = b""
         if model.is_byte(i):
             text = bytes([i - first_byte])
         elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
             text = model.id_to_piece(i).replace("▁", " ").encode()
-            if len(text) <= MAX_PIECE_BYTES and b" " not in text[1:]:
-                node = 0
-                for byte in text:
-                    key = node * 256 + byte
-                    if key not in edges:
-                        edges[key] = len(piece)
-                        piece.append(-1)
-                    node = edges[key]
-                if piece[node] < 0:
-                    piece[node] = i
+            if b" " in text.lstrip(b" "):
+                raise ValueError(f"piece {i} has a space after another character")
+            node = 0
+            for byte in text:
+                key = node * 256 + byte
+                if key not in edges:
+                    edges[key] = len(piece)
+                    piece.append(-1)
+                node = edges[key]
+            if text and piece[node] < 0:
+                piece[node] = i
+            longest = max(longest, len(text))
         texts.append(text)
         scores[i] = model.get_score(i)
     rank = np.empty(len(ids), np.int64)
@@ -77,7 +80,7 @@ def load(path: str) -> Vocabulary:
         left[placed] = False
         todo, targets, slot = todo[left], targets[left], (slot[left] + 1) & ((1 << bits) - 1)
     starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    return Vocabulary(keys, nodes, np.array(piece, np.int32), first_byte, rank, np.frombuffer(b"".join(texts), np.uint8), starts)
+    return Vocabulary(keys, nodes, np.array(piece, np.int32), first_byte, rank, np.frombuffer(b"".join(texts), np.uint8), starts, longest)
 
 
 def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -116,13 +119,8 @@ def parts(data: np.ndarray, starts: np.ndarray) -> Parts:
     places = np.insert(data, starts[:-1][full], 0x20)
     begins = starts[:-1] + np.cumsum(np.diff(starts) > 0) - (np.diff(starts) > 0)
     cut = places == 0x20
-    at = np.flatnonzero(cut)
-    size = np.diff(np.append(at, len(places)))
-    for k in np.flatnonzero(size > PART):
-        more = np.arange(at[k] + PART, at[k] + size[k], PART)
-        for _ in range(3):
-            more = more - ((places[more] & 0xC0) == 0x80)
-        cut[more] = True
+    cut[1:] &= ~cut[:-1]
+    cut[begins[np.diff(starts) > 0]] = True
     at = np.flatnonzero(cut)
     end = np.append(at, len(places))[1:]
     value, one, which = np.unique(hashed(places, at, end), return_index=True, return_inverse=True)
@@ -153,7 +151,7 @@ def lattice(vocabulary: Vocabulary, data: np.ndarray, starts: np.ndarray) -> Lat
     end_of = np.repeat(starts[1:], size)
     at, node = np.arange(n), np.zeros(n, np.int64)
     edges = []
-    for length in range(1, MAX_PIECE_BYTES + 1):
+    for length in range(1, vocabulary.longest + 1):
         inside = at + length <= end_of[at]
         at, node = at[inside], node[inside]
         node = _child(vocabulary, node * 256 + data[at + length - 1]).astype(np.int64)
@@ -183,25 +181,32 @@ def lattice(vocabulary: Vocabulary, data: np.ndarray, starts: np.ndarray) -> Lat
     return Lattice(start + of, start + of + length[order], ids[order], place, first)
 
 
-def _sums(edges: Lattice, weight: np.ndarray, source: np.ndarray, target: np.ndarray, ends: np.ndarray, step: int) -> np.ndarray:
-    """Sums over paths from ``ends``; edges are taken by their target's place in the part, ``step`` giving the direction."""
-    place = edges.place[target].astype(np.int8)
+def _sums(edges: Lattice, weight: np.ndarray, source: np.ndarray, target: np.ndarray, ends: np.ndarray, step: int, logs: bool = False) -> np.ndarray:
+    """Sums over paths from ``ends``; edges are taken by their target's place in the part, ``step`` giving the direction.
+
+    With ``logs``, ``weight`` and the sums are logarithms.
+    """
+    place = edges.place[target]
+    place = place.astype(np.int8) if place.max(initial=0) <= 127 else place
     order = np.argsort(target, kind="stable") if step > 0 else np.arange(len(target))
     order = order[np.argsort(place[order], kind="stable")]
     source, target, weight = source[order], target[order], weight[:, order]
     cuts = np.searchsorted(place[order], np.arange(int(place.max(initial=-1)) + 2))
-    sums = np.zeros((len(weight), len(edges.place)))
-    sums[:, ends] = 1.0
+    sums = np.full((len(weight), len(edges.place)), -np.inf if logs else 0.0)
+    sums[:, ends] = 0.0 if logs else 1.0
     for a, b in list(zip(cuts[:-1], cuts[1:], strict=True))[::step]:
         if a < b:
-            value = weight[:, a:b] * sums[:, source[a:b]]
+            value = weight[:, a:b] + sums[:, source[a:b]] if logs else weight[:, a:b] * sums[:, source[a:b]]
             group = np.flatnonzero(np.append(True, target[a + 1 : b] != target[a : b - 1]))
-            sums[:, target[a:b][group]] = np.add.reduceat(value, group, axis=1)
+            sums[:, target[a:b][group]] = (np.logaddexp if logs else np.add).reduceat(value, group, axis=1)
     return sums
 
 
 def forward(edges: Lattice, weight: np.ndarray) -> np.ndarray:
-    """For each model and node, the sum over all segmentations up to it of the product of edge weights (models by edges)."""
+    """For each model and node, the sum over all segmentations up to it of the product of edge weights (models by edges).
+
+    For parts of up to ``PART`` bytes; sums of much longer ones are too small for a float.
+    """
     return _sums(edges, weight, edges.start, edges.end, edges.first[:-1], 1)
 
 
@@ -210,6 +215,60 @@ def backward(edges: Lattice, weight: np.ndarray) -> np.ndarray:
     return _sums(edges, weight, edges.end, edges.start, edges.first[1:] - 1, -1)
 
 
+def _long(edges: Lattice) -> tuple[np.ndarray, np.ndarray, Lattice, Lattice]:
+    """Parts of more than ``PART`` bytes, their edges, and the lattices of the edges of the others and of these."""
+    size = np.diff(edges.first)
+    long = size > PART + 1
+    own = np.repeat(long, size)[edges.start] if long.any() else np.zeros(len(edges.start), bool)
+    if not own.any():
+        return long, own, edges, edges
+    of = lambda keep: edges._replace(start=edges.start[keep], end=edges.end[keep], id=edges.id[keep])
+    return long, own, of(~own), of(own)
+
+
+def _log_sums(part: Lattice, weight: np.ndarray, step: int) -> np.ndarray:
+    source, target, ends = (part.start, part.end, part.first[:-1]) if step > 0 else (part.end, part.start, part.first[1:] - 1)
+    return _sums(part, np.log(weight), source, target, ends, step, logs=True)
+
+
+def log_totals(edges: Lattice, weight: np.ndarray) -> np.ndarray:
+    """For each model and part, the logarithm of the sum over all its segmentations."""
+    long, own, short, rest = _long(edges)
+    last = edges.first[1:] - 1
+    out = np.log(np.maximum(forward(short, weight[:, ~own] if own.any() else weight)[:, last], 1e-300))
+    if own.any():
+        out[:, long] = _log_sums(rest, weight[:, own], 1)[:, last[long]]
+    return out
+
+
+def shares(edges: Lattice, weight: np.ndarray) -> np.ndarray:
+    """The share of each edge among all segmentations from its start on (one model)."""
+    long, own, short, rest = _long(edges)
+    after = backward(short, (weight[~own] if own.any() else weight)[None])[0]
+    share = np.empty(len(weight))
+    share[~own] = weight[~own] * after[short.end] / after[short.start]
+    if own.any():
+        after = _log_sums(rest, weight[own][None], -1)[0]
+        share[own] = np.exp(np.log(weight[own]) + after[rest.end] - after[rest.start])
+    return share
+
+
+def expected(edges: Lattice, weight: np.ndarray) -> np.ndarray:
+    """The chance of each edge to be in a segmentation of its part (one model)."""
+    long, own, short, rest = _long(edges)
+    used = (weight[~own] if own.any() else weight)[None]
+    before, after = forward(short, used)[0], backward(short, used)[0]
+    nodes = np.diff(edges.first)
+    total = np.repeat(after[edges.first[:-1]], nodes)
+    share = np.empty(len(weight))
+    share[~own] = before[short.start] * weight[~own] * after[short.end] / total[short.start]
+    if own.any():
+        before, after = _log_sums(rest, weight[own][None], 1)[0], _log_sums(rest, weight[own][None], -1)[0]
+        total = np.repeat(after[edges.first[:-1]], nodes)
+        share[own] = np.exp(before[rest.start] + np.log(weight[own]) + after[rest.end] - total[rest.start])
+    return share
+
+
 def decoded(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
     """The text of a sequence of piece ids, without the space that encoding puts in front."""
     size = np.diff(vocabulary.starts)[ids]

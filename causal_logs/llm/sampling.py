@@ -64,9 +64,7 @@ class Walks:
     def __init__(self, cut: pieces.Parts, vocabulary: pieces.Vocabulary, probability: np.ndarray):
         self.cut = cut
         self.edges = edges = pieces.lattice(vocabulary, cut.data, cut.starts)
-        weight = probability[edges.id]
-        after = pieces.backward(edges, weight[None])[0]
-        self.share = weight * after[edges.end] / after[edges.start]
+        self.share = pieces.shares(edges, probability[edges.id])
         self.log_share = np.log(self.share)
         nodes = int(edges.first[-1])
         self.out = np.searchsorted(edges.start, np.arange(nodes + 1))

@@ -115,6 +115,34 @@ def test_forward_sums_all_segmentations(vocabulary):
         assert np.allclose(sums, plain) and np.allclose(back, plain)
 
 
+@pytest.mark.parametrize("text", ["语言模型把所有的切分加起来" * 12, "a" + " " * 9 + "b" + " " * 40 + "c  d", "государственного " * 2 + "правительства" * 9, "https://example.com/" + "Zm9vYmFy" * 30, "one\ttwo\n" * 200, "the cat"])
+def test_whole_lattice_of_long_parts_and_spaces(vocabulary, text):
+    """Sums over all pieces at all places, by a plain loop in logarithms."""
+    data = b" " + text.encode()
+    model = language.Model(vocabulary, ["a", "b"], np.random.default_rng(1).random((2, vocabulary.size)) / 100 + 1e-6)
+    known = {bytes(vocabulary.bytes[a:b]): i for i, (a, b) in reversed(list(enumerate(zip(vocabulary.starts[:-1], vocabulary.starts[1:], strict=True)))) if b > a and i >= 259}
+    edges, at = [], 0
+    while at < len(data):
+        width = len(data[at : at + 4].decode("utf-8", "ignore")[0].encode())
+        ends = [(n, known[data[at : at + n]]) for n in range(1, max(map(len, known)) + 1) if at + n <= len(data) and data[at : at + n] in known]
+        edges += [(at, at + n, i) for n, i in ends]
+        if not any(n == width for n, _ in ends):
+            edges += [(at + k, at + k + 1, vocabulary.first_byte + data[at + k]) for k in range(width)]
+        at += width
+    want = np.full((2, len(data) + 1), -np.inf)
+    want[:, 0] = 0
+    for a, b, i in sorted(edges):
+        want[:, b] = np.logaddexp(want[:, b], want[:, a] + np.log(model.probability[:, i]))
+    raw = np.frombuffer(data[1:], np.uint8)
+    cut = pieces.parts(raw, np.array([0, len(raw)]))
+    assert np.allclose(language._Scorer(model)(cut)[cut.which].sum(axis=0), want[:, -1])
+    lattice = pieces.lattice(vocabulary, cut.data, cut.starts)
+    share, chance = pieces.shares(lattice, model.probability[0, lattice.id]), pieces.expected(lattice, model.probability[0, lattice.id])
+    out = np.bincount(lattice.start, share)
+    assert np.allclose(out[out > 0], 1) and np.allclose(np.bincount(lattice.start, chance)[lattice.first[:-1]], 1)
+    assert len(lattice.id) <= len(edges) and set(lattice.id.tolist()) == {i for _, _, i in edges}
+
+
 def test_language_edges(spark):
     model = queries.language_model(documents(spark))
     assert model.languages == ["de", "en"]
