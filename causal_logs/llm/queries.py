@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import decontaminate, jaccard, language, licenses, quality, repeats, rows, sampling, toxicity, urls, warc
+from . import codes, decontaminate, jaccard, language, licenses, quality, repair, repeats, rows, sampling, simhash, toxicity, urls, warc
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -106,3 +106,22 @@ def op2_toxicity(spark, sf_dir):
     labels = _table(spark, sf_dir, "labels").where(~rows.held_out(F.col("doc_id"))).select("doc_id", "toxic")
     model = toxicity.train(docs, labels)
     return toxicity.scored(docs, model).select("doc_id", rows.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@_query
+def op11_vector_codes(spark, sf_dir):
+    """Product codes of every vector."""
+    return codes.coded(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+@_query
+def op12_conversation_repair(spark, sf_dir):
+    """The cheapest repair of every conversation, after damage."""
+    turns = repair.damaged(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return repair.repaired(turns).withColumnRenamed("conv", "conv_id")
+
+
+@_query
+def op13_simhash_groups(spark, sf_dir):
+    """Groups of documents with similar fingerprints."""
+    return simhash.near_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"))
