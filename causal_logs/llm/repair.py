@@ -335,10 +335,8 @@ def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     closed: list = []
     current: list = []
-    opened = True
-
-    def size(held: list) -> bool:
-        return sum(b.num_rows for b in held) >= BLOCK_ROWS or sum(b.get_total_buffer_size() if b.num_rows > 1 << 12 else b.nbytes for b in held) >= BLOCK_BYTES
+    # Shares of a block that these take up, and whether the current conversation may have begun elsewhere.
+    full, grown, opened = 0.0, 0.0, True
 
     def out(held: list, piece: bool) -> pa.RecordBatch:
         nonlocal number
@@ -356,27 +354,49 @@ def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def end() -> Iterator[pa.RecordBatch]:
         """The current conversation is over."""
-        nonlocal opened
+        nonlocal opened, full, grown
         if opened and current:
             yield out(current, True)
         elif current:
             closed.extend(current)
-            if size(closed):
+            full += grown
+            if full >= 1:
                 yield out(closed, False)
                 closed.clear()
+                full = 0.0
         current.clear()
-        opened = False
+        grown, opened = 0.0, False
 
     for batch in batches:
-        edges = _edges(batch.column("conv"))
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            if current and _edges(pa.concat_arrays([current[-1].column("conv")[-1:], batch.column("conv")[a : a + 1]])) != [0, 2]:
+        if not batch.num_rows:
+            continue
+        conv = batch.column("conv")
+        edges = _edges(conv)
+        lengths = pc.add(pc.binary_length(batch.column("text")), pc.binary_length(batch.column("role")))
+        ends = np.concatenate([[0], np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))])
+        share = lambda a, b: (b - a) / BLOCK_ROWS + int(ends[b] - ends[a]) / BLOCK_BYTES  # noqa: E731, B023
+        if current and len(_edges(pa.concat_arrays([current[-1].column("conv")[-1:], conv[:1]]))) == 3:
+            yield from end()
+        for a, b in ((0, edges[1]), (edges[-2], edges[-1]))[: len(edges) - 1]:
+            if a:
+                # The first conversation of the batch is over, and so are all others but the last one.
                 yield from end()
+                at = edges[1]
+                for e in edges[2:-1]:
+                    if full + share(at, e) >= 1:
+                        closed.append(batch.slice(at, e - at))
+                        yield out(closed, False)
+                        closed.clear()
+                        at, full = e, 0.0
+                if at < a:
+                    closed.append(batch.slice(at, a - at))
+                    full += share(at, a)
             current.append(batch.slice(a, b - a))
-            if size(current):
+            grown += share(a, b)
+            if grown >= 1:
                 yield out(current, True)
                 current.clear()
-                opened = True
+                grown, opened = 0.0, True
     # The last conversation of a task may go on in the next one.
     if current:
         yield out(current, True)

@@ -147,7 +147,7 @@ def _links(lists: DataFrame, bits: int) -> DataFrame:
             group = np.cumsum(fresh)
             # The last list may go on in the next batch.
             upto = len(rows) if all_ else int(np.searchsorted(group, group[-1]))
-            pairs = _joined(group[:upto], np.ascontiguousarray(rows[:upto, 3]).view(np.uint64), rows[:upto, 4], bits)
+            pairs = _joined(group[:upto], np.ascontiguousarray(rows[:upto, 3]).view(np.uint64), rows[:upto, 4], bits) if upto else []
             out = [np.concatenate([p[k] for p in pairs]) if pairs else np.zeros(0, np.uint64) for k in range(2)]
             return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in out], names=["a", "b"]), rows[upto:]
 

@@ -108,9 +108,12 @@ def test_one_conversation_over_many_pieces(spark, monkeypatch):
     rows = _rows(4, 12)
     for turn in range(150):
         rows.append((500, turn * 2 if turn % 9 else None, rng.choice(["user", "assistant", "system", "u"]), rng.choice(["Again.", f"Say {turn}.", "cut", f"cut {turn}", " "])))
-    got = _check(spark, rows, parts=5, texts=True)
-    for r in got:
-        assert hashlib.sha256(r.repaired.encode()).hexdigest() == r.repaired_sha256
+    for records in ("10000", "5"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+        got = _check(spark, rows, parts=5, texts=True)
+        for r in got:
+            assert hashlib.sha256(r.repaired.encode()).hexdigest() == r.repaired_sha256
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_no_turns_and_empty_tables(spark):
