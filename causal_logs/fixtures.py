@@ -91,6 +91,14 @@ def restamped_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return causal_log(spark, sf_dir).withColumn("vc", clock)
 
 
+def incomplete_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The causal log where node 2 forgets a hundred entries of node 1 at times, and node 0 leaves out what it heard of node 3 on some days."""
+    forgets = "if(event_id % 40 = 6, greatest(vc[1] - 100, 0L), vc[1])"
+    deaf = "if(day(log_date) % 3 = 0, 0L, vc[3])"
+    vc = f"case node_idx when 2 then array(vc[0], {forgets}, vc[2], vc[3]) when 0 then array(vc[0], vc[1], vc[2], {deaf}) else vc end"
+    return settled(causal_log(spark, sf_dir).withColumn("vc", F.expr(vc)), ["vc"])
+
+
 def unlisted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The causal log with the last node unknown, and with every fiftieth clock cut short."""
     log = causal_log(spark, sf_dir)

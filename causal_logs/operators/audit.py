@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clocks
+from ..plans.frontier import components, knowledge
 from ..plans.scan import CHUNK_ROWS, chunk_of, with_previous
+from ..session import written
 
 
 def _own(log: DataFrame) -> DataFrame:
@@ -24,11 +26,19 @@ def clock_audit(
     ``not_rising`` (entries whose tick does not exceed that of the entry before
     in ``seq``); ``above_owner`` (entries that know more of a node than that node
     ever wrote); ``bad_size`` (clock missing, too long, or not of
-    ``node_count``). Nothing but zeros in the last five: the clocks are well
-    formed as far as one node can tell.
+    ``node_count``); ``knowledge_falls`` (entries that know less of another node than the
+    stored tick before); ``knowledge_incomplete`` (entries that have just heard of a
+    node up to some tick, without what its last stored entry up to there knew). Several
+    clocks of one tick are merged for the last two. Nothing but zeros in the last seven: what
+    is stored is what nodes write that tick their own component and pass on all they know.
+
+    The log is read twice: folded to its distinct clocks, and in the order of ``seq``.
     """
+    names = components(node_count)
     owned = _own(log)
-    per_tick = owned.groupBy("node_idx", "tick").agg(F.count(F.lit(1)).alias("copies"))
+    kinds = written(owned.groupBy("node_idx", "tick", "vc").agg(F.count(F.lit(1)).alias("copies")), "clocks")
+    merged = [F.max(clocks.component("vc", j)).alias(c) for j, c in enumerate(names)]
+    per_tick = written(kinds.groupBy(F.col("node_idx").cast("int").alias("node_idx"), "tick").agg(F.sum("copies").alias("copies"), *merged), "ticks")
     real = F.col("tick") > 0
     ticked = per_tick.groupBy("node_idx").agg(
         F.sum("copies").alias("entries"),
@@ -41,15 +51,20 @@ def clock_audit(
     rising = in_turn.groupBy("node_idx").agg(F.count_if(F.col("tick") <= F.col("prev_tick")).alias("not_rising"))
 
     own_max = [F.coalesce(F.max(F.when(F.col("node_idx") == j, F.col("tick"))), F.lit(0)).alias(f"m{j}") for j in range(node_count)]
-    tops = owned.agg(F.struct(*own_max).alias("tops")).scalar()
+    tops = per_tick.agg(F.struct(*own_max).alias("tops")).scalar()
     above = reduce(
         lambda x, y: x | y, [clocks.component("vc", j) > F.col("_tops")[f"m{j}"] for j in range(node_count)]
     )
     sized = clocks.is_valid("vc") & (F.size("vc") == node_count)
-    known = owned.withColumn("_tops", tops).groupBy("node_idx").agg(
-        F.count_if(above).alias("above_owner"), F.count_if(~sized).alias("bad_size")
+    counted = lambda flag: F.sum(F.when(flag, F.col("copies")).otherwise(0))
+    known = kinds.withColumn("_tops", tops).groupBy("node_idx").agg(
+        counted(above).alias("above_owner"), counted(~sized).alias("bad_size")
+    )
+    told = knowledge(per_tick.where(real & F.col("node_idx").isNotNull()), node_count, rows).groupBy("node_idx").agg(
+        counted(F.col("falls")).alias("knowledge_falls"), counted(F.col("incomplete")).alias("knowledge_incomplete")
     )
-    return _beside(_beside(ticked, rising), known)
+    whole = _beside(_beside(ticked, rising), known).join(told, "node_idx", "left")
+    return whole.fillna(0, ["knowledge_falls", "knowledge_incomplete"])
 
 
 def _beside(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clocks
-from ..plans import frontier
+from ..plans import dominance, frontier
 from ..plans.scan import CHUNK_ROWS, rank_rows
 
 
@@ -63,13 +63,17 @@ def time_order(log: DataFrame, tie_break: str = "event_id") -> DataFrame:
 
 
 def order_audit(
-    ordered: DataFrame, node_count: int, pos: str = "pos", rows: int = CHUNK_ROWS
+    ordered: DataFrame, node_count: int, pos: str = "pos", rows: int = CHUNK_ROWS, well_formed: bool = True
 ) -> DataFrame:
     """Rows that ``pos`` places before something in their causal past.
 
     ``latest_past_pos`` is the last position among the row's past. No rows
-    means the order is causal. Clocks that are not well formed raise ``MalformedClocks``.
+    means the order is causal. Clocks that are not well formed raise ``MalformedClocks``; with
+    ``well_formed=False`` the past is told by whole clocks, whatever they hold.
     """
+    if not well_formed:
+        found = dominance.of_clocks(ordered, node_count, pos).withColumnRenamed("best", "latest_past_pos")
+        return found.where(F.col("latest_past_pos") > F.col(pos)).select(*ordered.columns, "latest_past_pos")
     ticks = frontier.tick_table(ordered, node_count, {"_pos": F.max(pos)}, rows)
     past = frontier.past_max(ticks, "_pos", "latest_past_pos", rows).drop("_pos")
     checked = frontier.attach(_ordered_columns(ordered), ticks, past)

@@ -37,12 +37,14 @@ def write_index(
 
     The number of buckets follows from the postings written, and is stored beside them. With
     ``day``, a column of ``postings`` (see ``keep``), it follows from each day's postings, there are folders per
-    day, and writing the same day again replaces it. Otherwise postings are appended, each only
+    day (one for postings without a day), and writing the same day again replaces it. Otherwise postings are appended, each only
     once. The files of a bucket split its postings by event, so frequent tokens are spread.
     """
     folders = [day] if day else []
-    sizes = postings.groupBy(*folders).agg(F.ceil(F.count(F.lit(1)) / bucket_rows).cast("int").alias("buckets"))
-    sized = postings.join(sizes, folders) if day else postings.withColumn("buckets", F.lit(sizes.first()[0] or 1))
+    # As a struct, a missing day is equal to itself in the join.
+    placed = postings.withColumn("_day", F.struct(F.col(day))) if day else postings
+    sizes = placed.groupBy(*["_day"] * bool(day)).agg(F.ceil(F.count(F.lit(1)) / bucket_rows).cast("int").alias("buckets"))
+    sized = placed.join(sizes, "_day").drop("_day") if day else postings.withColumn("buckets", F.lit(sizes.first()[0] or 1))
     spread = F.least(F.lit(SPREAD), F.col("buckets"))
     (
         sized.withColumn("bucket", bucket_of("token", F.col("buckets")))

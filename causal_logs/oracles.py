@@ -137,9 +137,21 @@ WHERE NOT EXISTS (
 
 
 def _clock_audit(log, bad="0"):
+    falls = " OR ".join(f"(node_idx <> {j} AND v{j} < p{j})" for j in range(4))
+    lacks = " UNION ".join(
+        f"""SELECT b.node_idx, b.tick, b.copies FROM news b ASOF JOIN (SELECT * FROM per_tick WHERE node_idx = {j}) s ON b.v{j} >= s.tick
+        WHERE b.node_idx <> {j} AND b.v{j} > coalesce(b.p{j}, 0) AND NOT {_le("s", "b")}"""
+        for j in range(4)
+    )
     return f""",
 top AS (SELECT node_idx, max(own) AS m FROM {log} GROUP BY 1),
-stepped AS (SELECT *, lag(own) OVER (PARTITION BY node_idx ORDER BY seq, event_id) AS p FROM {log})
+stepped AS (SELECT *, lag(own) OVER (PARTITION BY node_idx ORDER BY seq, event_id) AS p FROM {log}),
+per_tick AS (
+  SELECT node_idx, own AS tick, count(*) AS copies, max(v0) AS v0, max(v1) AS v1, max(v2) AS v2, max(v3) AS v3
+  FROM {log} WHERE node_idx IS NOT NULL AND own > 0 GROUP BY ALL),
+news AS (SELECT *, lag(v0) OVER w AS p0, lag(v1) OVER w AS p1, lag(v2) OVER w AS p2, lag(v3) OVER w AS p3
+  FROM per_tick WINDOW w AS (PARTITION BY node_idx ORDER BY tick)),
+lacking AS ({lacks})
 SELECT node_idx, CAST(count(*) AS BIGINT) AS entries, CAST(max(own) AS BIGINT) AS max_tick,
        CAST(max(own) - count(DISTINCT CASE WHEN own > 0 THEN own END) AS BIGINT) AS missing_ticks,
        CAST(count(CASE WHEN own > 0 THEN 1 END) - count(DISTINCT CASE WHEN own > 0 THEN own END) AS BIGINT) AS duplicate_ticks,
@@ -147,10 +159,25 @@ SELECT node_idx, CAST(count(*) AS BIGINT) AS entries, CAST(max(own) AS BIGINT) A
        CAST(count(CASE WHEN v0 > (SELECT m FROM top WHERE node_idx = 0) OR v1 > (SELECT m FROM top WHERE node_idx = 1)
                 OR v2 > (SELECT m FROM top WHERE node_idx = 2) OR v3 > coalesce((SELECT m FROM top WHERE node_idx = 3), 0)
                 THEN 1 END) AS BIGINT) AS above_owner,
-       CAST({bad} AS BIGINT) AS bad_size
+       CAST({bad} AS BIGINT) AS bad_size,
+       CAST(coalesce((SELECT sum(copies) FROM news n WHERE n.node_idx = stepped.node_idx AND ({falls})), 0) AS BIGINT) AS knowledge_falls,
+       CAST(coalesce((SELECT sum(copies) FROM lacking l WHERE l.node_idx = stepped.node_idx), 0) AS BIGINT) AS knowledge_incomplete
 FROM stepped GROUP BY node_idx"""
 
 
+def _ranges(log):
+    """Bounds by looking at all entries of a node, counts by comparing all pairs."""
+    of = lambda row, node: f"CASE {node} " + " ".join(f"WHEN {j} THEN {row}.v{j}" for j in range(4)) + " END"
+    return f"""
+SELECT b.event_id AS target_id, b.node_idx AS target_node, a.node_idx,
+       any_value(CASE WHEN a.node_idx = b.node_idx THEN b.tick - 1 ELSE {of("b", "a.node_idx")} END) AS known_upto,
+       min(CASE WHEN a.node_idx = b.node_idx THEN b.tick + 1 WHEN {of("a", "b.node_idx")} >= b.tick THEN a.tick END) AS first_knowing,
+       CAST(count(*) FILTER ({_before("a", "b")}) AS BIGINT) AS n_before,
+       CAST(count(*) FILTER (NOT {_le("a", "b")} AND NOT {_le("b", "a")}) AS BIGINT) AS n_concurrent,
+       CAST(count(*) FILTER ({_before("b", "a")}) AS BIGINT) AS n_after
+FROM {log} a, target b GROUP BY b.event_id, b.node_idx, a.node_idx"""
+
+
 _RESTAMPED = _LOG + """,
 restamped AS (
   SELECT event_id, node_id, node_idx, seq, ts_ms, CASE WHEN node_idx = 0 THEN tick ELSE 0 END AS own,
@@ -162,6 +189,12 @@ unlisted AS (
          CASE WHEN node_idx < 3 THEN tick ELSE 0 END AS own, v0, v1, v2, CASE WHEN event_id % 50 = 7 THEN 0 ELSE v3 END AS v3
   FROM log)"""
 
+_INCOMPLETE = _LOG + """,
+incomplete AS (
+  SELECT event_id, node_id, node_idx, seq, ts_ms, tick AS own, v0,
+         CASE WHEN node_idx = 2 AND event_id % 40 = 6 THEN greatest(v1 - 100, 0) ELSE v1 END AS v1, v2,
+         CASE WHEN node_idx = 0 AND day(log_date) % 3 = 0 THEN 0 ELSE v3 END AS v3 FROM log)"""
+
 _TRACE = """
 turns AS (
   SELECT conv_id * 1000 + turn AS event, CAST((conv_id + 3 * turn) % 8 AS INTEGER) AS node_idx, conv_id, turn
@@ -218,6 +251,12 @@ ORACLES = {
                '[' || array_to_string(list_transform([0, 1, 2, 3], lambda i: CASE WHEN i = node_idx THEN t ELSE 0 END), ', ') || ']' AS vc,
                CASE WHEN shape = 4 THEN 'INFO' ELSE level END AS level, text AS message
         FROM s""",
+    "stream_to_store": f"""WITH {_RAW},
+        s AS (SELECT *, row_number() OVER (PARTITION BY node_idx ORDER BY event_id) AS t FROM raw)
+        SELECT node_id, CAST(t - 1 AS BIGINT) AS seq,
+               '[' || array_to_string(list_transform([0, 1, 2, 3], lambda i: CASE WHEN i = node_idx THEN t ELSE 0 END), ', ') || ']' AS vc,
+               CASE WHEN shape = 4 THEN 'INFO' ELSE level END AS level, text AS message
+        FROM s""",
     "ingest_jsonl": f"""WITH {_JSON}
         SELECT event_id, node_id, {_VC} AS vc, ts_ms,
                CASE WHEN hit AND kind = 7 THEN 'INFO' ELSE level END AS level, message,
@@ -267,6 +306,17 @@ ORACLES = {
             WHERE level = 'ERROR' AND tick >= m GROUP BY l.node_idx))
         SELECT b.event_id AS target_id, a.event_id, {_RELATION} AS relation
         FROM log a, target b WHERE a.event_id <> b.event_id""",
+    "causal_ranges": f"""WITH {_LOG},
+        middle AS (SELECT node_idx, max(tick) // 2 AS m FROM log GROUP BY 1),
+        target AS (
+          SELECT * FROM log WHERE (node_idx, tick) IN (
+            SELECT (l.node_idx, min(tick)) FROM log l JOIN middle USING (node_idx)
+            WHERE level = 'ERROR' AND tick >= m GROUP BY l.node_idx)){_ranges("log")}""",
+    "causal_ranges_lossy": f"WITH {_LOSSY}, target AS (SELECT * FROM lossy WHERE event_id % 100 = 0){_ranges('lossy')}",
+    "causal_slice_restamped": f"""WITH {_RESTAMPED}
+        SELECT b.event_id AS target_id, a.event_id, {_RELATION} AS relation
+        FROM restamped a, restamped b WHERE b.event_id % 500 = 0 AND a.event_id <> b.event_id
+          AND {_RELATION} IN ('HAPPENS_BEFORE', 'HAPPENS_AFTER')""",
     "merge_clocks": f"""WITH {_LOG}
         SELECT level, log_date, {_show("max(v0)", "max(v1)", "max(v2)", "max(v3)")} AS merged, count(*) AS n
         FROM log GROUP BY level, log_date""",
@@ -298,6 +348,13 @@ ORACLES = {
         SELECT event_id, CAST(count(DISTINCT token) AS BIGINT) AS matched, CAST(count(*) AS BIGINT) AS tf
         FROM tokens WHERE token IN ('value', '1', 'error') GROUP BY event_id HAVING count(DISTINCT token) = 3""",
     "clock_audit_restamped": f"WITH {_RESTAMPED}{_clock_audit('restamped')}",
+    "clock_audit_incomplete": f"WITH {_INCOMPLETE}{_clock_audit('incomplete')}",
+    "relation_counts_restamped": f"WITH {_RESTAMPED}{_counts('restamped')}",
+    "relation_counts_incomplete": f"WITH {_INCOMPLETE}{_counts('incomplete')}",
+    "order_audit_restamped": f"""WITH {_RESTAMPED},
+        timed AS (SELECT *, row_number() OVER (ORDER BY ts_ms, node_id, event_id) AS pos FROM restamped){_audit('timed')}""",
+    "order_audit_incomplete": f"""WITH {_INCOMPLETE},
+        timed AS (SELECT *, row_number() OVER (ORDER BY ts_ms, node_id, event_id) AS pos FROM incomplete){_audit('timed')}""",
     "missing_ticks": f"""WITH {_LOSSY},
         stepped AS (SELECT node_idx, tick, coalesce(lag(tick) OVER (PARTITION BY node_idx ORDER BY tick), 0) AS p FROM lossy)
         SELECT node_idx, p + 1 AS first_missing, tick - 1 AS last_missing FROM stepped WHERE tick - p > 1""",

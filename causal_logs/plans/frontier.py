@@ -95,6 +95,33 @@ def _falls_between(ticks: DataFrame, names: list[str], rows: int) -> int:
     return paired.where(f"first.fault is null and _was is not null and ({falls})").agg(F.sum("first.copies")).first()[0] or 0
 
 
+def knowledge(ticks: DataFrame, node_count: int, rows: int = CHUNK_ROWS) -> DataFrame:
+    """``(node_idx, tick, copies, falls, incomplete)`` of any table ``(node_idx, tick, copies, c0..)`` with a row per tick.
+
+    ``falls``: some component is less than at the node's stored tick before. ``incomplete``: of a node that the row has
+    just heard of up to tick k, the last stored clock up to k knows more than the row does. Needs no premise.
+    """
+    names = components(node_count)
+    clock = f"struct({', '.join(names)})"
+    chunked = ticks.withColumn("_chunk", chunk_of("tick", rows))
+    tops = chunked.groupBy("node_idx", "_chunk").agg(F.expr(f"max_by({clock}, tick) as _top"))
+    carry = tops.selectExpr("node_idx", "_chunk", "lag(_top) over (partition by node_idx order by _chunk) as _carry")
+    before = f"lag({clock}) over (partition by node_idx, _chunk order by tick)"
+    stepped = chunked.withColumn("_in", F.expr(before)).join(carry, ["node_idx", "_chunk"]).selectExpr(
+        "node_idx", "tick", "copies", *names, "coalesce(_in, _carry) as _was"
+    )
+    falls = " or ".join(f"(node_idx <> {j} and {c} < _was.{c})" for j, c in enumerate(names))
+    news = [f"if(node_idx <> {j} and {c} > coalesce(_was.{c}, 0L), named_struct('j', {j}, 'k', {c}), null)" for j, c in enumerate(names)]
+    stored = written(stepped.selectExpr(
+        "node_idx", "tick", "copies", f"{clock} as clock", f"coalesce({falls}, false) as falls", f"array_compact(array({', '.join(news)})) as news"
+    ), "knowledge")
+    asks = stored.selectExpr("node_idx as to_node", "tick as to_tick", "clock as own", "inline(news)").selectExpr("j as node_idx", "k as tick", "to_node", "to_tick", "own")
+    told = as_of(stored.selectExpr("node_idx", "tick", "struct(tick, clock) as sent"), asks, "sent", F.max, rows)
+    more = " or ".join(f"sent.clock.{c} > own.{c}" for c in names)
+    lacking = told.where(more).groupBy(F.col("to_node").alias("node_idx"), F.col("to_tick").alias("tick")).agg(F.lit(True).alias("_lacks"))
+    return stored.join(lacking, ["node_idx", "tick"], "left").select("node_idx", "tick", "copies", "falls", F.coalesce("_lacks", F.lit(False)).alias("incomplete"))
+
+
 class MalformedClocks(ValueError):
     """The clocks are not those of nodes that tick their own component and pass on what they know."""
 

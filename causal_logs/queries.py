@@ -68,6 +68,19 @@ def stream_ingest(spark, sf_dir):
     return stamped.select("node_id", "seq", clocks.to_text("vc").alias("vc"), "level", "message")
 
 
+@_query
+def stream_to_store(spark, sf_dir):
+    """The raw lines as landing files, streamed as stamped records into the daily store, and read from there."""
+    raw = fixtures.raw_lines(spark, sf_dir)
+    landing, out, stored = new_path(spark, "landing"), new_path(spark, "intake"), new_path(spark, "store")
+    ordered = raw.repartitionByRange(8, "line_no").sortWithinPartitions("node_id", "line_no")
+    ordered.select("node_id", "line").write.partitionBy("node_id").text(landing)
+    nodes = fixtures.node_dimension(spark, sf_dir)
+    streaming.start_intake(streaming.read_landing(spark, landing, max_files=16), out, stored, nodes, NODES).awaitTermination()
+    log = ingest.typed_log(store.read_store(spark, stored), nodes)
+    return log.select("node_id", "seq", clocks.to_text("vc").alias("vc"), "level", "message")
+
+
 @_query
 def ingest_jsonl(spark, sf_dir):
     rows = jsonl.ingest_jsonl(fixtures.jsonl(spark, sf_dir))
@@ -149,6 +162,20 @@ def order_audit_causal(spark, sf_dir):
     return order.order_audit(ordered, NODES).select("event_id", "pos", "latest_past_pos")
 
 
+@_query
+def order_audit_restamped(spark, sf_dir):
+    """What wall-clock order gets wrong by clocks that are not well formed."""
+    ordered = order.time_order(fixtures.restamped_log(spark, sf_dir).select(*_KEYS))
+    return order.order_audit(ordered, NODES, well_formed=False).select("event_id", "pos", "latest_past_pos")
+
+
+@_query
+def order_audit_incomplete(spark, sf_dir):
+    """The same by clocks that fall and leave out what others knew."""
+    ordered = order.time_order(fixtures.incomplete_log(spark, sf_dir).select(*_KEYS))
+    return order.order_audit(ordered, NODES, well_formed=False).select("event_id", "pos", "latest_past_pos")
+
+
 def _stored_log(spark, sf_dir):
     """The causal log written to a store, read back and placed."""
     path = new_path(spark, "store")
@@ -206,6 +233,53 @@ def causal_slice(spark, sf_dir):
     return relation.causal_slice(log, targets, NODES, (HAPPENS_BEFORE, HAPPENS_AFTER, CONCURRENT))
 
 
+_COUNTS = ("event_id", "n_before", "n_after", "n_equal", "n_concurrent")
+
+
+@_query
+def relation_counts_restamped(spark, sf_dir):
+    """Counts by whole clocks where all nodes tick one component."""
+    log = fixtures.restamped_log(spark, sf_dir).select("event_id", "node_idx", "vc")
+    return relation.relation_counts(log, NODES, well_formed=False).select(*_COUNTS)
+
+
+@_query
+def relation_counts_incomplete(spark, sf_dir):
+    """Counts by whole clocks where knowledge falls and is passed on in part."""
+    log = fixtures.incomplete_log(spark, sf_dir).select("event_id", "node_idx", "vc")
+    return relation.relation_counts(log, NODES, well_formed=False).select(*_COUNTS)
+
+
+def _targets(log):
+    """One ERROR entry of each node, half way through its history."""
+    tick = clocks.own_tick()
+    half = log.groupBy("node_idx").agg(F.expr("max(get(vc, node_idx)) div 2 as half"))
+    late = log.where(F.col("level") == "ERROR").join(half, "node_idx").where(tick >= F.col("half"))
+    first = late.groupBy("node_idx").agg(F.min_by(F.struct("event_id", "vc"), tick).alias("t"))
+    return first.select("node_idx", "t.event_id", "t.vc")
+
+
+@_query
+def causal_ranges(spark, sf_dir):
+    """Past, future and what lies between, for one ERROR entry of each node, as ranges of ticks."""
+    log = _log(spark, sf_dir).select("event_id", "node_idx", "vc", "level")
+    return relation.causal_ranges(log, _targets(log), NODES)
+
+
+@_query
+def causal_ranges_lossy(spark, sf_dir):
+    """The same where entries are lost: every hundredth entry is asked about."""
+    log = fixtures.lossy_log(spark, sf_dir).select("event_id", "node_idx", "vc")
+    return relation.causal_ranges(log, log.where(F.col("event_id") % 100 == 0), NODES)
+
+
+@_query
+def causal_slice_restamped(spark, sf_dir):
+    """Clocks that are not well formed, compared in full: the past and future of every five-hundredth entry."""
+    log = fixtures.restamped_log(spark, sf_dir).select("event_id", "node_idx", "vc")
+    return relation.causal_slice(log, log.where(F.col("event_id") % 500 == 0), NODES, well_formed=False)
+
+
 @_query
 def merge_clocks(spark, sf_dir):
     merged = merge.merge_clocks(_log(spark, sf_dir), ["level", "log_date"], NODES)
@@ -269,6 +343,12 @@ def clock_audit_unlisted(spark, sf_dir):
     return audit.clock_audit(log, NODES)
 
 
+@_query
+def clock_audit_incomplete(spark, sf_dir):
+    """One node forgets at times, and one hears of some entries without what they knew."""
+    return audit.clock_audit(fixtures.incomplete_log(spark, sf_dir).select(*_KEYS), NODES)
+
+
 @_query
 def missing_ticks(spark, sf_dir):
     return audit.missing_ticks(fixtures.lossy_log(spark, sf_dir))

@@ -15,6 +15,12 @@ every line exactly once:
 ``read_stamped`` puts both together: first number of the block plus place within.
 One task reads a block and writes its entries in order, so the place is the row
 index in the stored Parquet file.
+
+``start_intake`` does all of it in one query, and appends the stamped records to the daily store. A batch
+parses its files, numbers its blocks from the counters that the batch before left, and writes its records to
+``log_date=YYYY-MM-DD/batch=<n>``. Nothing but one counter per node outlives a batch. The files of a batch are fixed
+by the query's checkpoint, and a batch that is run again, after a failure, replaces what it wrote; so the
+store holds every line once, and reading it needs no join.
 """
 
 import pandas as pd
@@ -24,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.ingest import checked_nodes, fresh_clock, ingest_stats, parse_lines
+from ..plans.folders import numbered, remove
 from ..sources import jsonl, store
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -157,6 +164,76 @@ def ingest_available(
     start_ticking(spark, path).awaitTermination()
 
 
+def _numbered_blocks(rows: DataFrame, counters: DataFrame) -> DataFrame:
+    """Blocks of a batch with their first sequence number and the mark of their first row."""
+    blocks = rows.groupBy(*_BLOCK).agg(F.count(F.lit(1)).alias("n"), F.min("mark").alias("first_mark"))
+    # One row per block of a file, whatever the block holds.
+    before = Window.partitionBy("node_id").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("n").over(before), F.lit(0))
+    known = F.broadcast(counters.select("node_id", "following"))
+    return blocks.withColumn("_inside", inside).join(known, "node_id", "left").select(
+        *_BLOCK, "n", "first_mark", (F.col("_inside") + F.coalesce("following", F.lit(0))).alias("first_seq")
+    )
+
+
+def start_intake(
+    raw: DataFrame,
+    path: str,
+    store_path: str,
+    nodes: DataFrame,
+    node_count: int,
+    grammar: str = "documented",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Landing lines (``read_landing``) to stamped records in the daily store at ``store_path``.
+
+    ``path`` keeps the checkpoint, the counters and, under ``rejects``, the lines with an impossible date. ``nodes`` and
+    ``node_count`` fix the clocks; nodes not listed get zero clocks, as in ``stamp_clocks``. The store is read with
+    ``store.read_store``; no other query writes to it.
+    """
+    listed = checked_nodes(nodes)
+
+    def take(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        now, work = F.col("ingest_ts"), f"{path}/work/batch={number}"
+        bad = parse_lines(batch, now, grammar, F.col("ts_ms").isNull())
+        bad.select("node_id", "file", "block", "line", "log_date", F.lit("bad_timestamp").alias("reason")).write.mode("overwrite").parquet(
+            f"{path}/rejects/batch={number}"
+        )
+        # A task reads a block in order, so rows of a block have rising marks without gaps.
+        parsed = parse_lines(batch, now, grammar, F.col("ts_ms").isNotNull()).withColumn("mark", F.monotonically_increasing_id())
+        parsed.select(*_BLOCK, "level", "ts_ms", "message", "log_date", "mark").write.mode("overwrite").parquet(f"{work}/rows")
+        rows = spark.read.schema(f"{_PARSED}, mark bigint").parquet(f"{work}/rows")
+
+        earlier = [n for n in numbered(spark, f"{path}/counters", "batch") if n < number]
+        counters = spark.createDataFrame([], "node_id string, following bigint")
+        if earlier:
+            counters = spark.read.schema("node_id string, following bigint").parquet(f"{path}/counters/batch={max(earlier)}")
+        _numbered_blocks(rows, counters).write.mode("overwrite").parquet(f"{work}/blocks")
+        blocks = spark.read.parquet(f"{work}/blocks")
+        counted = blocks.groupBy("node_id").agg(F.sum("n").alias("following")).unionByName(counters)
+        # At most a row per node.
+        counted.groupBy("node_id").agg(F.sum("following").alias("following")).coalesce(1).write.mode("overwrite").parquet(f"{path}/counters/batch={number}")
+
+        seq = F.col("first_seq") + F.col("mark") - F.col("first_mark")
+        stamped = rows.join(blocks.drop("n"), _BLOCK).withColumn("seq", seq).join(listed, "node_id", "left")
+        stamped = stamped.withColumn("vc", fresh_clock(node_count, F.col("node_idx"), F.col("seq") + 1))
+        records = store.export_jsonl(stamped.withColumn("metadata", F.lit(None).cast("map<string,string>")))
+        (
+            records.select("log_date", F.lit(number).alias("batch"), F.col("line").alias("value"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("log_date", "batch").text(store_path)
+        )
+        # Only this batch can be run again, and that needs the counters before it.
+        remove(spark, [work, *[f"{path}/counters/batch={n}" for n in earlier if n < max(earlier)]])
+
+    return (
+        raw.writeStream.foreachBatch(take)
+        .option("checkpointLocation", f"{path}/_checkpoints/intake")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def read_records(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Stream of JSON-Lines records as text, with their day of arrival."""
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")

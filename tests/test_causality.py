@@ -165,8 +165,8 @@ def test_audit_of_gaps_and_copies(spark):
     ]
     log = spark.createDataFrame(rows, SCHEMA)
     got = {r.node_idx: tuple(r)[1:] for r in audit.clock_audit(log, 2, rows=2).collect()}
-    # entries, max tick, missing, duplicates, not rising, above owner, bad size
-    assert got == {0: (4, 6, 3, 1, 1, 1, 0), 1: (4, 4, 1, 0, 2, 0, 2)}
+    # entries, max tick, missing, duplicates, not rising, above owner, bad size, knowledge falls, knowledge incomplete
+    assert got == {0: (4, 6, 3, 1, 1, 1, 0, 0, 0), 1: (4, 4, 1, 0, 2, 0, 2, 0, 0)}
     ranges = sorted(map(tuple, audit.missing_ticks(log, rows=2).collect()))
     assert ranges == [(0, 3, 5), (1, 1, 1)]
 
@@ -240,3 +240,138 @@ def test_replay_refuses_gaps_and_unknown_events(spark):
         replay.replay_clocks(events, none, 2)
     with pytest.raises(ValueError, match="unknown"):
         replay.replay_clocks(events.where("seq = 0"), spark.createDataFrame([(1, 9)], "send_event int, recv_event int"), 2)
+
+
+def _audited(rows, n):
+    """(falls, incomplete) per node, by looking at every row and every sender."""
+    ticks = {}
+    for _, _, node, vc, _, _ in rows:
+        if vc[node] > 0:
+            known = ticks.setdefault((node, vc[node]), [0, [0] * n])
+            ticks[node, vc[node]] = [known[0] + 1, [max(x, y) for x, y in zip(known[1], vc)]]
+    out = {}
+    for (node, tick), (copies, vc) in ticks.items():
+        before = [0] * n
+        for (j, k), (_, clock) in sorted(ticks.items()):
+            if j == node and k < tick:
+                before = clock
+        falls = any(vc[j] < before[j] for j in range(n) if j != node)
+        lacks = False
+        for j in range(n):
+            if j != node and vc[j] > before[j]:
+                sent = [clock for (i, k), (_, clock) in sorted(ticks.items()) if i == j and k <= vc[j]]
+                lacks |= bool(sent) and any(a > b for a, b in zip(sent[-1], vc))
+        a, b = out.get(node, (0, 0))
+        out[node] = (a + copies * falls, b + copies * lacks)
+    return out
+
+
+@pytest.mark.parametrize("rows", [2, 5, 1 << 16])
+def test_audit_of_knowledge(spark, rows):
+    import random
+
+    rng = random.Random(rows)
+    whole = random_log(11, nodes=3, events=80, lost=0.1, copies=0.1)
+    hurt = [(i, n, k, [c if j == k or rng.random() < 0.9 else rng.randint(0, c) for j, c in enumerate(vc)], t, s) for i, n, k, vc, t, s in whole]
+    for log in (whole, hurt):
+        got = {r.node_idx: (r.knowledge_falls, r.knowledge_incomplete) for r in audit.clock_audit(spark.createDataFrame(log, SCHEMA), 3, rows=rows).collect()}
+        assert got == _audited(log, 3)
+    assert any(sum(x) for x in _audited(hurt, 3).values()) and not any(sum(x) for x in _audited(whole, 3).values())
+
+
+def test_audit_names_what_the_order_refuses(spark):
+    """A node that forgets: every job that rests on the premise refuses it, and the audit says why."""
+    rows = [(0, "n0", 0, [1, 1], 1, 0), (1, "n0", 0, [2, 0], 2, 1), (2, "n1", 1, [0, 1], 0, 0)]
+    got = {r.node_idx: r.knowledge_falls for r in audit.clock_audit(spark.createDataFrame(rows, SCHEMA), 2).collect()}
+    assert got == {0: 1, 1: 0}
+
+
+@pytest.mark.parametrize("rows", [3, 1 << 16])
+def test_ranges(case, rows):
+    entries, log, n = case
+    targets = log.where(F.pmod("event_id", F.lit(5)) == 0)
+    ranges = relation.causal_ranges(log, targets, n, rows=rows)
+    got = {(r.target_id, r.node_idx): r for r in ranges.collect()}
+    chosen = [t for t in entries if t[0] % 5 == 0]
+    assert set(got) == {(t[0], j) for t in chosen for j in range(n)}
+    for t in chosen:
+        for j in range(n):
+            r = got[t[0], j]
+            kinds = [rel(e[3], t[3]) for e in entries if e[2] == j]
+            assert (r.n_before, r.n_concurrent, r.n_after) == tuple(kinds.count(k) for k in ("HAPPENS_BEFORE", "CONCURRENT", "HAPPENS_AFTER"))
+            for e in entries:
+                if e[2] == j:
+                    tick, kind = e[3][j], rel(e[3], t[3])
+                    assert (kind == "HAPPENS_BEFORE") == (tick <= r.known_upto)
+                    assert (kind == "HAPPENS_AFTER") == (r.first_knowing is not None and tick >= r.first_knowing)
+    kinds = ("HAPPENS_BEFORE", "HAPPENS_AFTER", "CONCURRENT")
+    for asked in (kinds, kinds[:1], kinds[2:]):
+        listed = {(r.target_id, r.event_id): r.relation for r in relation.in_ranges(log, ranges, asked, rows=rows).collect()}
+        assert listed == {(t[0], e[0]): rel(e[3], t[3]) for t in chosen for e in entries if rel(e[3], t[3]) in asked}
+
+
+def _shapeless(seed, n, events=70):
+    """Clocks of all kinds: whole, fallen, all ticking component 0, short, all zero, missing, repeated."""
+    import random
+
+    rng = random.Random(seed)
+    rows = random_log(seed, nodes=n, events=events, copies=0.1)
+    out = []
+    for i, node, k, vc, t, s in rows:
+        kind = rng.random()
+        if kind < 0.2:
+            vc = [rng.randint(0, 12) for _ in range(n)]
+        elif kind < 0.3:
+            vc = [s + 1] + [0] * (n - 1)
+        elif kind < 0.35:
+            vc = vc[: n - 1]
+        elif kind < 0.4:
+            vc = [0] * n if kind < 0.38 else None
+        out.append((i, node, k, vc, t, s))
+    return out
+
+
+@pytest.mark.parametrize("seed,n,chunk,portion", [(1, 3, 7, 1000), (2, 4, 1, 5), (3, 5, 64, 3), (4, 3, 8192, 1 << 17)])
+def test_any_clocks(spark, seed, n, chunk, portion, monkeypatch):
+    from causal_logs.plans import dominance
+
+    monkeypatch.setattr(dominance, "CHUNK_CLOCKS", chunk)
+    monkeypatch.setattr(dominance, "PORTION_RUNS", portion)
+    rows = _shapeless(seed, n, 24 if chunk == 1 else 70)
+    log = spark.createDataFrame(rows, SCHEMA)
+    got = {r.event_id: (r.n_before, r.n_after, r.n_equal, r.n_concurrent) for r in relation.relation_counts(log, n, well_formed=False).collect()}
+    for x in rows:
+        kinds = [rel(y[3], x[3]) for y in rows if y[0] != x[0]]
+        assert got[x[0]] == tuple(kinds.count(k) for k in ("HAPPENS_BEFORE", "HAPPENS_AFTER", "EQUAL", "CONCURRENT"))
+    timed = order.time_order(log)
+    pos = {r.event_id: r.pos for r in timed.collect()}
+    want = {}
+    for a, b in _violations(rows, pos):
+        want[b] = max(want.get(b, 0), pos[a])
+    assert {r.event_id: r.latest_past_pos for r in order.order_audit(timed, n, well_formed=False).collect()} == want
+    targets = log.where(F.pmod("event_id", F.lit(6)) == 0)
+    for cells in (200_000, n):
+        monkeypatch.setattr(relation, "MAX_BROADCAST_CELLS", cells)
+        kinds = ("HAPPENS_BEFORE", "HAPPENS_AFTER", "CONCURRENT", "EQUAL")
+        listed = {(r.target_id, r.event_id): r.relation for r in relation.causal_slice(log, targets, n, kinds, well_formed=False).collect()}
+        assert listed == {(t[0], e[0]): rel(e[3], t[3]) for t in rows if t[0] % 6 == 0 for e in rows if e[0] != t[0]}
+
+
+def test_no_clocks_at_all(spark):
+    log = spark.createDataFrame([(1, "a", 0, None, 1, 0), (2, "b", 1, None, 2, 0)], SCHEMA)
+    got = sorted((r.event_id, r.n_before, r.n_after, r.n_equal, r.n_concurrent) for r in relation.relation_counts(log, 2, well_formed=False).collect())
+    assert got == [(1, 0, 0, 0, 1), (2, 0, 0, 0, 1)]
+    assert order.order_audit(order.time_order(log), 2, well_formed=False).collect() == []
+
+
+def test_slices_refuse_clocks_that_tick_one_component(spark):
+    from causal_logs.plans.frontier import MalformedClocks
+
+    rows = [(0, "n0", 0, [1, 0], 1, 0), (1, "n0", 0, [2, 0], 2, 1), (2, "n1", 1, [1, 0], 3, 0), (3, "n1", 1, [3, 0], 4, 1)]
+    log = spark.createDataFrame(rows, SCHEMA)
+    target = log.where("event_id = 1")
+    for use in (relation.causal_slice, relation.causal_ranges):
+        with pytest.raises(MalformedClocks, match="own component not ticked"):
+            use(log, target, 2).count()
+    got = {r.event_id: r.relation for r in relation.causal_slice(log, target, 2, well_formed=False).collect()}
+    assert got == {0: "HAPPENS_BEFORE", 2: "HAPPENS_BEFORE", 3: "HAPPENS_AFTER"}

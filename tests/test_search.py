@@ -62,3 +62,14 @@ def test_metadata_pairs_and_groups(spark):
     log = spark.createDataFrame(rows, "event_id long, node_idx int, vc array<bigint>, ts_ms long, metadata map<string,string>")
     assert sorted(map(tuple, query.metadata_pairs(log).collect())) == [(1, "t", "x"), (1, "u", "y"), (2, "t", "x")]
     assert [tuple(r) for r in query.metadata_groups(log, "t", 2).collect()] == [("x", 2, 5, 7, [1, 1])]
+
+
+def test_postings_without_a_day_are_kept(spark, tmp_path):
+    day = datetime.date(2024, 1, 2)
+    log = spark.createDataFrame([(1, "disk full", day), (2, "disk ok", None)], "event_id long, message string, log_date date")
+    postings, path = search.build_inverted_index(log, keep=("log_date",)), str(tmp_path / "index")
+    for _ in range(2):
+        search.write_index(postings, path, day="log_date")
+    index = search.read_index(spark, path)
+    assert index.count() == 4
+    assert _ids(search.keyword_search(log, index, ["disk"])) == [1, 2]

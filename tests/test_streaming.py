@@ -104,3 +104,56 @@ def test_stream_store_and_stats(spark, tmp_path):
     counting.awaitTermination()
     got = {r.node_id: (r.received, r.stored, r.errors) for r in spark.table("intake_stats").collect()}
     assert got == {"n1": (1, 1, 0), "n2": (1, 1, 0), None: (1, 0, 1)}
+
+
+def _intake(spark, landing, path, out, nodes, max_files=None):
+    raw_lines = stream.read_landing(spark, str(landing), max_files=max_files)
+    stream.start_intake(raw_lines, path, out, nodes, 3).awaitTermination()
+
+
+def _records(spark, out):
+    return sorted((str(r.log_date), r.value) for r in spark.read.text(out).collect())
+
+
+def test_stream_into_the_daily_store(spark, tmp_path):
+    landing, path, out = tmp_path / "landing", str(tmp_path / "intake"), str(tmp_path / "store")
+    nodes = spark.createDataFrame([("a", 0), ("b", 1)], "node_id string, node_idx int")
+    for node in "abc":
+        for part in range(3):
+            _land(landing, node, f"{part:03d}.log", _lines(node, part, 10 + part))
+    _intake(spark, landing, path, out, nodes, max_files=2)
+    first = _records(spark, out)
+    # Another run without new files, then new files, one of them with a line that cannot be.
+    _intake(spark, landing, path, out, nodes)
+    assert _records(spark, out) == first
+    _land(landing, "a", "003.log", [*_lines("a", 3, 25), "2024-13-01 10:00:00 INFO no such month"])
+    _land(landing, "b", "003.log", _lines("b", 3, 5))
+    _intake(spark, landing, path, out, nodes)
+    second = _records(spark, out)
+    assert set(first) < set(second)
+    assert [(r.node_id, r.line) for r in spark.read.parquet(f"{path}/rejects").collect()] == [("a", "2024-13-01 10:00:00 INFO no such month")]
+
+    batch = ingest.stamp_clocks(ingest.ingest_raw_lines(raw.read_raw_lines(spark, str(landing / "*"))), nodes, 3)
+    stored = jsonl.ingest_jsonl(jsonl.read_jsonl(spark, out))
+    show = lambda df: sorted((r.node_id, tuple(r.vc), r.level, r.message) for r in df.collect())
+    assert show(stored) == show(batch)
+    assert not list((tmp_path / "intake" / "work").glob("*")) and len(list((tmp_path / "intake" / "counters").glob("batch=*"))) <= 2
+
+
+def test_a_batch_that_is_run_again_replaces_itself(spark, tmp_path):
+    landing, path, out = tmp_path / "landing", str(tmp_path / "intake"), str(tmp_path / "store")
+    nodes = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "node_id string, node_idx int")
+    for part in range(4):
+        for node in "abc":
+            _land(landing, node, f"{part:03d}.log", _lines(node, part, 8))
+    _intake(spark, landing, path, out, nodes, max_files=4)
+    whole = _records(spark, out)
+    commits = sorted((tmp_path / "intake" / "_checkpoints" / "intake" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    assert len(commits) == 3
+    # As after a crash between the last batch's writes and its commit.
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    _land(landing, "a", "009.log", ["INFO: after the crash"])
+    _intake(spark, landing, path, out, nodes, max_files=4)
+    again = _records(spark, out)
+    assert set(whole) < set(again) and len(again) == len(whole) + 1
