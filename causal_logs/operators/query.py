@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import entries, levels
 from ..plans.frontier import components
 from ..schema import LEVELS
-from .order import causal_order
+from .order import causal_first, causal_order
 
 
 def log_query(
@@ -27,23 +27,26 @@ def log_query(
 
     ``order`` is ``"time"`` or ``"causal"`` (adds ``pos``, the place in the whole
     log). With ``limit`` only the first entries in that order are kept, by a
-    partial sort in every task. Conditions on level, node, time and day are plain column
+    partial sort in every task; the causal order then ranks only entries that can come before them (``order.causal_first``). Conditions on level, node, time and day are plain column
     predicates, so they reach the scan; ``dates`` prunes the folders of a stored log. Metadata
     is looked up in the rows that pass.
     """
-    found = causal_order(log, node_count, tie_break) if order == "causal" else log
+    wanted = F.lit(True)
     if dates is not None:
-        found = found.where(F.col("log_date").between(F.lit(dates[0]).cast("date"), F.lit(dates[1]).cast("date")))
+        wanted &= F.col("log_date").between(F.lit(dates[0]).cast("date"), F.lit(dates[1]).cast("date"))
     if min_level is not None:
-        found = found.where(F.col("level").isin(*LEVELS[LEVELS.index(min_level.upper()):]))
+        wanted &= F.col("level").isin(*LEVELS[LEVELS.index(min_level.upper()):])
     if nodes is not None:
-        found = found.where(F.col("node_id").isin(*nodes))
+        wanted &= F.col("node_id").isin(*nodes)
     if since_ms is not None:
-        found = found.where(F.col("ts_ms") >= since_ms)
+        wanted &= F.col("ts_ms") >= since_ms
     if until_ms is not None:
-        found = found.where(F.col("ts_ms") < until_ms)
+        wanted &= F.col("ts_ms") < until_ms
     for key, value in (metadata or {}).items():
-        found = found.where(entries.get_metadata("metadata", key) == value)
+        wanted &= entries.get_metadata("metadata", key) == value
+    if order == "causal" and limit is not None:
+        return causal_first(log, node_count, limit, wanted, tie_break)
+    found = (causal_order(log, node_count, tie_break) if order == "causal" else log).where(wanted)
     if order is not None:
         keys = ["pos"] if order == "causal" else ["ts_ms", "node_id", tie_break]
         found = found.orderBy(*keys)

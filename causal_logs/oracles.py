@@ -296,6 +296,14 @@ ORACLES = {
                     WHEN a_ts < b_ts THEN -1 WHEN a_ts > b_ts THEN 1
                     WHEN a_node < b_node THEN -1 WHEN a_node > b_node THEN 1 ELSE 0 END AS sign
         FROM related""",
+    "pairs_within": f"""WITH {_LOG},
+        related AS (
+          SELECT a.event_id AS a_event_id, b.event_id AS b_event_id, b.ts_ms - a.ts_ms AS gap_ms, {_RELATION} AS relation, a.node_id AS a_node, b.node_id AS b_node
+          FROM log a JOIN log b ON b.ts_ms BETWEEN a.ts_ms AND a.ts_ms + 600000 AND a.node_id <> b.node_id
+            AND (a.ts_ms < b.ts_ms OR a.event_id < b.event_id))
+        SELECT a_event_id, b_event_id, gap_ms, relation,
+               CASE WHEN relation = 'HAPPENS_BEFORE' THEN -1 WHEN relation = 'HAPPENS_AFTER' THEN 1 WHEN gap_ms > 0 THEN -1
+                    WHEN a_node < b_node THEN -1 ELSE 1 END AS sign FROM related""",
     "relation_counts": f"WITH {_LOG}{_counts('log')}",
     "relation_counts_lossy": f"WITH {_LOSSY}{_counts('lossy')}",
     "causal_slice": f"""WITH {_LOG},
@@ -331,6 +339,13 @@ ORACLES = {
                {_show(*[f"coalesce(max(c.tick) FILTER (c.node_idx = {i}), 0)" for i in range(8)])} AS vc
         FROM placed p JOIN reach r ON r.event = p.event JOIN placed c ON c.event = r.cause
         GROUP BY p.event, p.node_idx, p.tick""",
+    "replay_clocks_lossy": f"""WITH RECURSIVE {_TRACE.replace("placed AS (", "all_placed AS (", 1).replace(
+        "step AS (", "placed AS (SELECT * FROM all_placed WHERE event % 7 <> 3 AND NOT (event % 1000 = 1 AND event // 1000 % 10 = 0)),\nstep AS (", 1
+    ).replace("FROM turns a JOIN turns b", "FROM placed a JOIN placed b", 1)}
+        SELECT p.event, p.node_idx, CAST(p.tick - 1 AS BIGINT) AS seq,
+               {_show(*[f"coalesce(max(c.tick) FILTER (c.node_idx = {i}), 0)" for i in range(8)])} AS vc
+        FROM placed p JOIN reach r ON r.event = p.event JOIN placed c ON c.event = r.cause
+        GROUP BY p.event, p.node_idx, p.tick""",
     "causal_graph": f"WITH {_LOG}{_graph('log')}",
     "causal_graph_lossy": f"WITH {_LOSSY}{_graph('lossy')}",
     "clock_audit_lossy": f"WITH {_LOSSY}, checked AS (SELECT *, tick AS own FROM lossy){_clock_audit('checked')}",
@@ -369,6 +384,8 @@ ORACLES = {
         ORDER BY ts_ms, node_id, event_id LIMIT 100""",
     "log_query_causal": f"""WITH {_LOG}{_causal_order('log')}
         SELECT event_id, pos FROM ordered WHERE level = 'ERROR' AND node_id = 'node-1'""",
+    "log_query_causal_first": f"""WITH {_LOG}{_causal_order('log')}
+        SELECT event_id, eff_ts, pos FROM ordered WHERE level = 'ERROR' AND node_id = 'node-1' ORDER BY pos LIMIT 50""",
     "metadata_lookup": f"""WITH {_LOG}
         SELECT event_id, CAST(user_id AS VARCHAR) AS meta_trace_id, k AS meta_k, level AS meta_level,
                CAST(NULL AS VARCHAR) AS meta_nonexistent FROM log""",

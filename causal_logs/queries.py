@@ -206,6 +206,12 @@ def clock_relation(spark, sf_dir):
     return relation.clock_relation(_log(spark, sf_dir), "level", ["ts_ms", "event_id"], width=NODES)
 
 
+@_query
+def pairs_within(spark, sf_dir):
+    """All pairs of entries of different nodes within ten minutes of each other."""
+    return relation.pairs_within(_log(spark, sf_dir), 600_000, width=NODES, across_nodes=True)
+
+
 @_query
 def relation_counts(spark, sf_dir):
     counted = relation.relation_counts(_log(spark, sf_dir).select("event_id", "node_idx", "vc"), NODES)
@@ -313,6 +319,14 @@ def replay_clocks(spark, sf_dir):
     return replayed.select("event", "node_idx", "seq", clocks.to_text("vc").alias("vc"))
 
 
+@_query
+def replay_clocks_lossy(spark, sf_dir):
+    """Clocks of the events that are left after every tenth conversation's second turn and every seventh event were lost."""
+    events = fixtures.message_events(spark, sf_dir).where("event % 7 <> 3 and not (event % 1000 = 1 and event div 1000 % 10 = 0)")
+    replayed = replay.replay_clocks(events, fixtures.messages(spark, sf_dir), fixtures.TRACE_NODES, lost=True)
+    return replayed.select("event", "node_idx", "seq", clocks.to_text("vc").alias("vc"))
+
+
 # --- graph and audit --------------------------------------------------------
 
 
@@ -382,6 +396,14 @@ def log_query_causal(spark, sf_dir):
     return found.select("event_id", "pos")
 
 
+@_query
+def log_query_causal_first(spark, sf_dir):
+    """The first fifty errors of one node in causal order, with their place in the whole log."""
+    log = _log(spark, sf_dir).select(*_KEYS, "level")
+    found = query.log_query(log, min_level="ERROR", nodes=["node-1"], order="causal", node_count=NODES, limit=50)
+    return found.select("event_id", "eff_ts", "pos")
+
+
 @_query
 def log_query_stored(spark, sf_dir):
     """The same kind of query on the stored table, which is pruned by day."""

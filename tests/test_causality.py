@@ -375,3 +375,78 @@ def test_slices_refuse_clocks_that_tick_one_component(spark):
             use(log, target, 2).count()
     got = {r.event_id: r.relation for r in relation.causal_slice(log, target, 2, well_formed=False).collect()}
     assert got == {0: "HAPPENS_BEFORE", 2: "HAPPENS_BEFORE", 3: "HAPPENS_AFTER"}
+
+
+@pytest.mark.parametrize("entries", [20_000, 4, 1])
+def test_pairs_within(case, entries, monkeypatch):
+    rows, log, n = case
+    rows = [*rows, (900, "node-0", 0, None, 1_000_100, 0), (901, "node-1", 1, None, 1_000_100, 0), (902, "x", None, [1], None, 0), (903, None, None, [1], -3, 0), (904, "x", None, [1], 3, 0)]
+    log = log.unionByName(log.sparkSession.createDataFrame(rows[-5:], SCHEMA))
+    for within, across in ((0, False), (7, False), (150, True), (100_000, False)):
+        want = {}
+        for a in rows:
+            for b in rows:
+                if None in (a[4], b[4]) or not 0 <= b[4] - a[4] <= within or not (a[4], a[0]) < (b[4], b[0]) or (across and a[1] == b[1]):
+                    continue
+                kind = rel(a[3], b[3])
+                place = -1 if a[4] < b[4] else 0 if None in (a[1], b[1]) else (a[1] > b[1]) - (a[1] < b[1])
+                want[a[0], b[0]] = (b[4] - a[4], kind, {"HAPPENS_BEFORE": -1, "HAPPENS_AFTER": 1}.get(kind, place))
+        got = relation.pairs_within(log, within, across_nodes=across, entries=entries).collect()
+        assert len(got) == len(want)
+        assert {(r.a_event_id, r.b_event_id): (r.gap_ms, r.relation, r.sign) for r in got} == want
+        monkeypatch.setattr(relation, "MAX_HOT_BUCKETS", 0)
+
+
+def test_first_in_causal_order(case):
+    rows, log, n = case
+    extra = [(800, "node-0", 0, None, 5, 90), (801, "node-1", None, None, None, 91), (802, "node-1", 1, None, 999_999_999, 92)]
+    log = log.unionByName(log.sparkSession.createDataFrame(extra, SCHEMA))
+    whole = [(r.event_id, r.eff_ts, r.pos) for r in order.causal_order(log, n, rows=3).orderBy("pos").collect()]
+    wanted = F.col("event_id") % 3 == 0
+    for limit in (1, 4, 1000):
+        got = order.causal_first(log, n, limit, wanted, rows=3).collect()
+        assert [(r.event_id, r.eff_ts, r.pos) for r in got] == [w for w in whole if w[0] % 3 == 0][:limit]
+    assert order.causal_first(log, n, 5, F.lit(False)).collect() == []
+
+
+def test_first_in_causal_order_ranks_few_rows(spark, monkeypatch):
+    rows = [(i, f"node-{i % 2}", i % 2, [i // 2 + 1 if j == i % 2 else 0 for j in range(2)], 1000 + i, i // 2) for i in range(200)]
+    log, ranked = spark.createDataFrame(rows, SCHEMA), []
+    rank = order.rank_rows
+    monkeypatch.setattr(order, "rank_rows", lambda df, *a: (ranked.append(df.count()), rank(df, *a))[1])
+    got = order.causal_first(log, 2, 3, F.col("event_id") % 5 == 0).collect()
+    assert [r.event_id for r in got] == [0, 5, 10] and ranked == [11]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_replay_with_lost_events(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    nodes, events, sent = 4, [], []
+    counts, messages = [0] * nodes, []
+    for i in range(90):
+        node = rng.randrange(nodes)
+        events.append((i, node, counts[node]))
+        counts[node] += 1
+        if i and rng.random() < 0.5:
+            messages.append((rng.randrange(i), i))
+    kept = [e for e in events if rng.random() < 0.6]
+    ids, last, past = {e[0] for e in kept}, {}, {}
+    senders = {}
+    for a, b in messages:
+        senders.setdefault(b, []).append(a)
+    for i, node, seq in kept:
+        past[i] = {(node, seq + 1)}
+        for cause in [last.get(node), *senders.get(i, [])]:
+            if cause in ids:
+                past[i] |= past[cause]
+        last[node] = i
+    want = {i: [max([t for n, t in known if n == j], default=0) for j in range(nodes)] for i, known in past.items()}
+    given = spark.createDataFrame(kept, "event long, node_idx int, seq long").repartition(3)
+    told = spark.createDataFrame(messages, "send_event long, recv_event long")
+    for rows in (2, 5, 1 << 16):
+        got = replay.replay_clocks(given, told, nodes, rows=rows, lost=True).collect()
+        assert {r.event: r.vc for r in got} == want and {(r.event, r.node_idx, r.seq) for r in got} == set(kept)
+    with pytest.raises(ValueError, match="repeat"):
+        replay.replay_clocks(given.union(given.limit(1)), told, nodes, lost=True)
