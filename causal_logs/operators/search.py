@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from ..plans.folders import escaped, remove
 
 # Postings in a bucket of a stored index; a search opens the buckets of its keywords.
 BUCKET_ROWS = 4_000_000
@@ -45,13 +46,16 @@ def write_index(
     placed = postings.withColumn("_day", F.struct(F.col(day))) if day else postings
     sizes = placed.groupBy(*["_day"] * bool(day)).agg(F.ceil(F.count(F.lit(1)) / bucket_rows).cast("int").alias("buckets"))
     sized = placed.join(sizes, "_day").drop("_day") if day else postings.withColumn("buckets", F.lit(sizes.first()[0] or 1))
+    if day:
+        # A day's folders may be others than before, so all of them go first. At most a row per day.
+        days = [r[0] for r in sizes.select(F.col("_day")[day].cast("string")).collect()]
+        remove(postings.sparkSession, [f"{path}/{day}={escaped(postings.sparkSession, d)}" for d in days])
     spread = F.least(F.lit(SPREAD), F.col("buckets"))
     (
         sized.withColumn("bucket", bucket_of("token", F.col("buckets")))
         .repartition(*folders, "bucket", F.pmod(F.xxhash64(event_id), spread))
         .sortWithinPartitions(*folders, "bucket", "token")
-        .write.mode("overwrite" if day else "append").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*folders, "buckets", "bucket").parquet(path)
+        .write.mode("append").partitionBy(*folders, "buckets", "bucket").parquet(path)
     )
 
 

@@ -404,3 +404,5 @@ ORACLES = {
     "keyword_scan": f"""WITH {_WORDS}{_hits(('und', 'die', 'la'), 1)}
         SELECT event_id, CAST(length(text) AS INTEGER) AS n_chars FROM hits JOIN documents ON doc_id = event_id""",
 }
+ORACLES["keyword_blocks"] = ORACLES["keyword_search_stored"]
+ORACLES["keyword_blocks_any"] = ORACLES["keyword_hits_any"]

@@ -22,3 +22,10 @@ def remove(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         place, files = _at(spark, path)
         files.delete(place, True)
+
+
+def escaped(spark: SparkSession, value: str | None) -> str:
+    """A value as it stands in the name of a partition's folder."""
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)

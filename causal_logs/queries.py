@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import fixtures
 from .functions import clocks, entries
-from .operators import audit, graph, ingest, merge, order, query, relation, replay, search
+from .operators import audit, blocks, graph, ingest, merge, order, query, relation, replay, search
 from .schema import CONCURRENT, HAPPENS_AFTER, HAPPENS_BEFORE
 from .session import new_path, written
 from .sources import jsonl, store
@@ -476,3 +476,21 @@ def keyword_search_stored(spark, sf_dir):
     again = postings.where(F.col("log_date") == F.lit("2024-01-05").cast("date"))
     search.write_index(again, path, day="log_date")
     return search.keyword_hits(search.read_index(spark, path), ["Value=1", "error"], "and")
+
+
+@_query
+def keyword_blocks(spark, sf_dir):
+    """Blocks of postings written by week, three weeks merged, then searched."""
+    week = F.concat(F.lit("week-"), F.weekofyear("log_date").cast("string"))
+    log = written(_log(spark, sf_dir).select("event_id", "message", week.alias("week")), "messages")
+    path = new_path(spark, "blocks")
+    blocks.write_blocks(search.build_inverted_index(log, keep=("week",)), path, "week")
+    blocks.merge_parts(spark, path, ["week-1", "week-2", "week-3"], "weeks-1-3")
+    return blocks.block_hits(blocks.read_blocks(spark, path), ["Value=1", "error"], "and")
+
+
+@_query
+def keyword_blocks_any(spark, sf_dir):
+    """Documents with any of three words, by blocks of postings."""
+    index = search.build_inverted_index(fixtures.search_docs(spark, sf_dir))
+    return blocks.block_hits(blocks.packed(index), _WORDS, "or")

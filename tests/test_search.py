@@ -2,7 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from causal_logs.operators import query, search
+from causal_logs.operators import blocks, query, search
 
 TEXTS = [
     (1, "Disk full on node-7; disk replaced"), (2, "disk ok"), (3, "Straße DISK größer"), (4, ""), (5, "diskette full"),
@@ -73,3 +73,52 @@ def test_postings_without_a_day_are_kept(spark, tmp_path):
     index = search.read_index(spark, path)
     assert index.count() == 4
     assert _ids(search.keyword_search(log, index, ["disk"])) == [1, 2]
+    # Fewer postings in fewer buckets: nothing of the day's older folders is left.
+    search.write_index(postings, path, day="log_date", bucket_rows=1)
+    search.write_index(postings.where("token <> 'full'"), path, day="log_date")
+    index = search.read_index(spark, path)
+    assert sorted((r.token, r.event_id) for r in index.collect()) == [("disk", 1), ("disk", 2), ("ok", 2)]
+
+
+def test_blocks_like_the_scan(spark, tmp_path, monkeypatch):
+    import random
+
+    monkeypatch.setattr(blocks, "SPAN", 16)
+    rng = random.Random(5)
+    words = ["disk", "full", "ok", "red", "blue"]
+    rows = [(i * rng.randint(1, 3) + 200 * i, " ".join(rng.choices(words, weights=[9, 3, 3, 1, 1], k=rng.randint(0, 5))), f"d{i % 4}" if i % 9 else None) for i in range(-20, 120)]
+    log = spark.createDataFrame(rows, "event_id long, message string, day string")
+    postings, path = search.build_inverted_index(log, keep=("day",)), str(tmp_path / "blocks")
+    tfs = {(r.token, r.event_id): r.tf for r in postings.collect()}
+
+    def check():
+        index = blocks.read_blocks(spark, path)
+        for asked in (["disk"], ["disk", "full"], ["red", "blue", "ok"], ["none", "disk"], ["Disk/full"]):
+            want = [t for k in asked for t in k.lower().replace("/", " ").split()]
+            for mode, least in (("and", len(want)), ("or", 1)):
+                got = {r.event_id: (r.matched, r.tf) for r in blocks.block_hits(index, asked, mode).collect()}
+                found = {i: [tfs[w, i] for w in want if (w, i) in tfs] for i, _, _ in rows}
+                assert got == {i: (len(t), sum(t)) for i, t in found.items() if len(t) >= least}
+
+    blocks.write_blocks(postings, path, "day", bucket_rows=40)
+    check()
+    blocks.write_blocks(postings.where("day = 'd1'"), path, "day")
+    check()
+    blocks.merge_parts(spark, path, ["d0", "d1", "none"], "old", bucket_rows=60)
+    check()
+    assert sorted({r.part for r in blocks.read_blocks(spark, path).select("part").collect()}) == ["d2", "d3", "old"]
+    index = blocks.read_blocks(spark, path)
+    assert index.where("part = 'old'").groupBy("token", "span").count().where("count > 1").count() == 0
+    plan = blocks.block_hits(index, ["disk"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(token,disk)" in plan
+
+
+def test_blocks_are_smaller_than_postings(spark, tmp_path):
+    log = spark.range(60_000).selectExpr("id as event_id", "concat('all of ', if(id % 3 = 0, 'third', 'rest'), ' n', id % 100) as message")
+    postings = search.build_inverted_index(log).withColumn("day", F.lit("d")).cache()
+    rows, packed = tmp_path / "rows", tmp_path / "blocks"
+    search.write_index(postings.drop("day"), str(rows))
+    blocks.write_blocks(postings, str(packed), "day")
+    size = lambda p: sum(f.stat().st_size for f in p.rglob("*.parquet"))
+    assert size(packed) * 2 < size(rows)
+    postings.unpersist()
