@@ -15,7 +15,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import new_path
 from . import rows
 
 BATCH_BYTES = 1 << 21
@@ -89,6 +88,9 @@ def batches(docs: DataFrame, id: str, text: str, name: str, carry: list[str] | N
         if held:
             yield block()
 
+    # Not a global of this module, which travels to the executors: they do not have that part of the library.
+    from ..session import new_path
+
     own = [F.struct(*carry).alias("own")] if carry else []
     slim = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"), *own)
     spark, path = docs.sparkSession, new_path(docs.sparkSession, name)
