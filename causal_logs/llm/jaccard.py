@@ -7,6 +7,11 @@ overlap a set of n tokens can have with a similar one. The first shared token is
 rare, and indexed alone, or all shared ones are frequent; then the combination of
 the first two is indexed. So a frequent token alone never makes a candidate.
 
+Sets are indexed by class of size as well. A class is as wide as similar sets can differ, so these are in one class
+or in neighbouring ones: a set stands in the lists of its own class and of the next, and two sets meet in the list of the larger
+one's class. What counts as frequent depends on that class, so both sides agree: with p tokens in a prefix there are p(p - 1) / 2
+combinations, which pays only for tokens in so many more documents. Prefixes of over ``COMBINED`` tokens are never combined.
+
 Equal sets are one node, and keys of the same nodes one list. Nodes are first compared with
 one head of each of their lists only; what is linked then needs no more comparing
 within its component. Pairs of nodes that share a list but no component are all verified.
@@ -30,8 +35,10 @@ from .words import LOWER, SPACES, mixed, shingled, stream, words
 
 SHINGLE = 5
 PERCENT = 80
-# A token in more documents than this is frequent.
+# A token in more documents than this is frequent, times half the tokens of a prefix of the class.
 FREQUENT = 256
+# Longest prefix whose tokens are combined.
+COMBINED = 512
 # Times that lists are compared with a head, before all pairs left are.
 ROUNDS = 2
 _INSIDE = ~SPACES
@@ -68,6 +75,20 @@ def _signatures(tokens: np.ndarray, first: np.ndarray) -> list[bytes | None]:
     return [sums[i].tobytes() if n else None for i, n in enumerate(size.tolist())]
 
 
+def _classes(n: np.ndarray, percent: int) -> np.ndarray:
+    """Class of each set's size; those of similar sets differ by one at most."""
+    step = np.log(100 / percent) * (1 + 1e-9) if percent < 100 else np.log(2)
+    return np.floor(np.log(np.maximum(n, 1)) / step).astype(np.int64)
+
+
+def _limits(classes: np.ndarray, percent: int, frequent: int) -> np.ndarray:
+    """Code of document counts beyond which a token is frequent in the lists of a class."""
+    size = (100 / percent if percent < 100 else 2.0) ** classes
+    prefix = (100 - percent) / 100 * size + 2
+    limit = _code(frequent * np.maximum(1, prefix / 2))
+    return np.where(prefix > COMBINED, 255, limit)
+
+
 def _postings(tokens: np.ndarray, code: np.ndarray, first: np.ndarray, percent: int, frequent: int):
     """(text, key, rest) of the index keys; ``rest`` counts the tokens from the key's first one on."""
     n = np.diff(first)
@@ -76,17 +97,21 @@ def _postings(tokens: np.ndarray, code: np.ndarray, first: np.ndarray, percent:
     tokens, code = tokens[order], code[order]
     place = np.arange(len(tokens)) - np.repeat(first[:-1], n)
     spare = (n + (-percent * n // 100))[text]
-    common = code > _code(np.array([frequent]))[0]
-    rare = np.flatnonzero((place <= spare) & (code > 0) & ~common)
-    found = [(text[rare], tokens[rare], (n[text] - place)[rare])]
-    often = np.flatnonzero((place <= spare + 1) & common)
-    edges = np.flatnonzero(np.append(True, text[often][1:] != text[often][:-1])) if len(often) else []
-    for group in np.split(often, edges[1:]) if len(often) else []:
-        a, b = np.triu_indices(len(group), 1)
-        a, b = group[a], group[b]
-        key = mixed(tokens[a] * np.uint64(3) + mixed(tokens[b]))
-        keep = place[a] <= spare[a]
-        found.append((text[a][keep], key[keep], (n[text[a]] - place[a])[keep]))
+    rest, found = n[text] - place, []
+    for more in (0, 1):
+        classes = _classes(n, percent) + more
+        salt = mixed(classes.astype(np.uint64) * np.uint64(2) + np.uint64(1))[text]
+        common = code > _limits(classes, percent, frequent)[text]
+        rare = np.flatnonzero((place <= spare) & (code > 0) & ~common)
+        found.append((text[rare], mixed(tokens[rare] ^ salt[rare]), rest[rare]))
+        often = np.flatnonzero((place <= spare + 1) & common)
+        edges = np.flatnonzero(np.append(True, text[often][1:] != text[often][:-1])) if len(often) else []
+        for group in np.split(often, edges[1:]) if len(often) else []:
+            a, b = np.triu_indices(len(group), 1)
+            a, b = group[a], group[b]
+            keep = place[a] <= spare[a]
+            a, b = a[keep], b[keep]
+            found.append((text[a], mixed(tokens[a] * np.uint64(3) + mixed(tokens[b] ^ salt[b])), rest[a]))
     return [np.concatenate(x) for x in zip(*found, strict=True)]
 
 

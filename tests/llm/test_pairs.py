@@ -177,3 +177,38 @@ def test_components(spark):
     found = components.components(spark.createDataFrame(pairs, "a int, b int"))
     assert {r.node: r.component for r in found.collect()} == {**{i: 0 for i in range(51)}, 200: 0, 100: 100, 101: 100, 105: 100}
     assert components.components(spark.createDataFrame([], "a int, b int")).count() == 0
+
+
+# --- keys of the similarity join --------------------------------------------
+
+
+@given(st.integers(1, 1 << 40), st.integers(50, 99), st.floats(0, 1))
+def test_similar_sizes_are_in_neighbouring_classes(n, percent, share):
+    most = 100 * n // percent
+    m = n + int(share * (most - n))
+    low, high = jaccard._classes(np.array([n, m]), percent)
+    assert low <= high <= low + 1
+
+
+def test_long_prefixes_are_not_combined():
+    """A text of 20,000 frequent shingles has a key or two for each token of its prefix, not for each pair of them."""
+    n = 20_000
+    tokens = np.sort(np.random.default_rng(1).integers(0, 1 << 62, n).astype(np.uint64))
+    for count in (300, 5_000, 10**6):
+        code = np.full(n, jaccard._code(np.array([count]))[0])
+        owner, key, rest = jaccard._postings(tokens, code, np.array([0, n]), 80, 256)
+        assert len(key) <= 2 * (n // 5 + 1) and len(np.unique(key)) == len(key)
+    short = np.array([0, 100])
+    pairs = jaccard._postings(tokens[:100], np.full(100, jaccard._code(np.array([10**6]))[0]), short, 80, 256)
+    assert len(pairs[0]) == 2 * (22 * 21 // 2)
+
+
+def test_similar_long_texts(spark):
+    """Long texts made of shingles that many texts have, in several sizes, and texts that share most of them without being similar."""
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(words[: 3000 - 7 * i])) for i in range(40)] + [(100 + i, " ".join(words[1500 + 3 * i :])) for i in range(40)]
+    rows += [(200 + i, " ".join(words[i * 30 : i * 30 + 60])) for i in range(90)] + [(300 + i, " ".join(words[i * 30 : i * 30 + 64])) for i in range(90)]
+    want = _plain_components(rows)
+    for frequent in (256, 2, 1):
+        found = jaccard.similar(documents(spark, rows), frequent=frequent).select("doc", "n_shingles", "component")
+        assert {r[0]: tuple(r)[1:] for r in found.collect()} == want
