@@ -1,13 +1,16 @@
 """Session defaults and the shared folder for intermediate tables."""
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
-# Paths handed out so far, by application.
-_PATHS: dict[str, list[str]] = {}
+# Where ``collected`` keeps the paths handed out, by thread of control.
+_COLLECTED: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("collected", default=())
 
 
 def local_session(cores: int | str = "*", app: str = "causal_logs", **conf) -> SparkSession:
@@ -48,10 +51,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _PATHS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    for paths in _COLLECTED.get():
+        paths.append(path)
     return path
 
 
+@contextlib.contextmanager
+def collected() -> Iterator[list[str]]:
+    """The paths that ``new_path`` hands out inside, in order; for ``release``."""
+    paths: list[str] = []
+    token = _COLLECTED.set((*_COLLECTED.get(), paths))
+    try:
+        yield paths
+    finally:
+        _COLLECTED.reset(token)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the stored table.
 
@@ -65,13 +80,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def tables(spark: SparkSession) -> list[str]:
-    """Paths handed out by ``new_path`` in this application so far, in order."""
-    return list(_PATHS.get(spark.sparkContext.applicationId, []))
-
-
 def release(spark: SparkSession, paths: list[str], *keep: DataFrame) -> None:
-    """Remove what lies at ``paths`` of ``tables``, but for what ``keep`` reads.
+    """Remove what lies at ``paths`` (see ``collected``), but for what ``keep`` reads.
 
     For use once the results that rest on it are stored elsewhere or no longer wanted.
     """
