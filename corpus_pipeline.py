@@ -1,13 +1,11 @@
 """From raw documents to sampled token ids: language, near copies, repeated passages, benchmark passages, pieces."""
 
-from functools import wraps
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from causal_logs.llm import decontaminate, jaccard, language, repeats, sampling
 from causal_logs.llm.queries import VOCABULARY, language_model
-from causal_logs.session import release, tables, written
+from causal_logs.session import collected, release, written
 
 # A document goes if no language, or none with this posterior, is found.
 LEAST_SCORE = 0.5
@@ -18,39 +16,23 @@ SAMPLES = 2
 ORACLE_SQL = None
 
 
-# What the stage before has stored on its way to its result.
-_HELD: list[str] = []
-
-
-def _stage(fn):
-    """A stage's input is stored, so what the stage before needed to make it is removed first."""
-
-    @wraps(fn)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release(spark, _HELD, docs)
-        before = len(tables(spark))
-        out = fn(spark, docs, sf_dir)
-        _HELD[:] = tables(spark)[before:]
-        return out
-
-    return run_stage
-
-
-@_stage
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learnt from the labelled ones. Null texts and texts without letters go."""
-    found = language.predict(docs.withColumnsRenamed({c: f"own_{c}" for c in ("lang_pred", "score") if c in docs.columns}), language_model(docs))
+    own = {c: f"own_{c}" for c in docs.columns if c.lower() in ("lang_pred", "score")}
+    found = language.predict(docs.withColumnsRenamed(own), language_model(docs))
     kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.drop("lang_pred", "score").withColumnsRenamed({f"own_{c}": c for c in ("lang_pred", "score") if c in docs.columns}).select(*docs.columns)
+    return kept.drop("lang_pred", "score").withColumnsRenamed({new: c for c, new in own.items()}).select(*docs.columns)
 
 
-@_stage
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: that with the smallest id."""
-    return jaccard.deduplicated(docs)
+    with collected() as used:
+        kept = jaccard.deduplicated(docs)
+    # The index is done with; what the result reads stays.
+    release(spark, used, kept)
+    return kept
 
 
-@_stage
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that an earlier document has too; a document of which nothing is left goes."""
     # The other columns come along with each text: ids may be missing or repeated, so rows are not found again by id.
@@ -61,13 +43,11 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return found.select(*[new[c].alias(c) if c in new else F.col("own")[c].alias(c) for c in docs.columns])
 
 
-@_stage
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
     return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-@_stage
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of the documents, as piece ids."""
     return sampling.segmentations(docs, VOCABULARY, k=SAMPLES)
@@ -83,8 +63,17 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents in ``sf_dir``; each one's result is stored and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents in ``sf_dir``; each one's result is stored and read again.
+
+    A stage removes nothing that its result reads. Here, once a stage's result is stored, what it had stored on the way goes, and so does its input if
+    that was the result of the stage before.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with collected() as used:
+            found = stage(spark, docs, sf_dir)
+            with collected() as result:
+                docs = written(found, name.replace(" ", "-"))
+        release(spark, [*before, *(p for p in used if p not in result)])
+        before = result
     return docs
