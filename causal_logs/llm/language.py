@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 
 from . import pieces, rows
 
-# Labelled texts used for training: about so many, chosen by the hash of their id.
+# Labelled texts used for training: about so many, as many of each language, chosen by the hash of their text.
 SAMPLE_ROWS = 6000
 MAX_LANGUAGES = 500
-# Likelihoods of parts of words that a task keeps for its next texts.
-KEPT_PARTS = 400_000
+# Bytes of text whose lattice is held at a time, for up to four languages; less for more.
+LATTICE_BYTES = 1 << 19
+# Bytes of likelihoods of parts that a task keeps for its next texts.
+KEPT_BYTES = 1 << 24
 UNKNOWN = "und"
 _FLOOR = 1e-6
 
@@ -39,14 +41,14 @@ def _prior(vocabulary: pieces.Vocabulary) -> np.ndarray:
 
 
 def train(labelled: DataFrame, vocabulary_path: str, sample_rows: int = SAMPLE_ROWS, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """Piece probabilities from about ``sample_rows`` of the rows with a text and a language."""
+    """Piece probabilities from about ``sample_rows`` of the rows with a text and a language; of a rare language, from all of its rows."""
     vocabulary = pieces.load(vocabulary_path)
     known = labelled.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).dropna(subset=["text", "lang"])
     prior = _prior(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        for part in rows.texts(batches, "text"):
+        for part in rows.texts(batches, "text", LATTICE_BYTES):
             langs = np.array(part.column("lang").to_pylist(), object)
             for name in sorted(set(langs.tolist())):
                 chosen = np.flatnonzero(langs == name)
@@ -67,12 +69,10 @@ def train(labelled: DataFrame, vocabulary_path: str, sample_rows: int = SAMPLE_R
                 names=["lang", "piece", "n"],
             )
 
-    counted = rows.sampled(known, "id", sample_rows).mapInArrow(count, "lang string, piece int, n double")
+    counted = rows.sampled_by(known, "text", "lang", sample_rows, MAX_LANGUAGES).mapInArrow(count, "lang string, piece int, n double")
     # At most languages x pieces rows.
     found = counted.groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r.lang for r in found})
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; {MAX_LANGUAGES} at most")
     counts = np.zeros((vocabulary.size, len(languages)))
     for r in found:
         counts[r.piece, languages.index(r.lang)] = r.n
@@ -92,11 +92,18 @@ def _letters(part: rows.Texts) -> np.ndarray:
     return some
 
 
+def _lattice_bytes(languages: int) -> int:
+    """Sums are kept for each language, so that more of them leave room for less text."""
+    return max(1 << 14, 4 * LATTICE_BYTES // max(4, languages))
+
+
 class _Scorer:
     """Log-likelihoods of parts, those of the latest parts kept by their hash."""
 
     def __init__(self, model: Model):
         self.model = model
+        self.room = _lattice_bytes(len(model.languages))
+        self.most = KEPT_BYTES // (8 * (1 + len(model.languages)))
         self.known, self.values = np.zeros(0, np.uint64), np.zeros((0, len(model.languages)))
 
     def __call__(self, cut: pieces.Parts) -> np.ndarray:
@@ -108,12 +115,15 @@ class _Scorer:
         out[old] = self.values[at[old]]
         new = np.flatnonzero(~old)
         if len(new):
-            size = np.diff(cut.starts)[new]
-            own = np.concatenate([[0], np.cumsum(size)])
-            data = cut.data[np.arange(own[-1]) + np.repeat(cut.starts[new] - own[:-1], size)]
-            edges = pieces.lattice(self.model.vocabulary, data, own)
-            out[new] = pieces.log_totals(edges, self.model.probability[:, edges.id]).T
-            if len(self.known) > KEPT_PARTS:
+            # A few parts at a time, also of one very long text.
+            block = np.cumsum(np.diff(cut.starts)[new]) // self.room
+            for some in np.split(new, np.flatnonzero(np.diff(block)) + 1):
+                size = np.diff(cut.starts)[some]
+                own = np.concatenate([[0], np.cumsum(size)])
+                data = cut.data[np.arange(own[-1]) + np.repeat(cut.starts[some] - own[:-1], size)]
+                edges = pieces.lattice(self.model.vocabulary, data, own)
+                out[some] = pieces.log_totals(edges, self.model.probability[:, edges.id]).T
+            if len(self.known) > self.most:
                 self.known, self.values = self.known[:0], self.values[:0]
             known = np.concatenate([self.known, cut.hash[new]])
             order = np.argsort(known)
@@ -133,7 +143,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(model)
-        for part in rows.texts(batches, text):
+        for part in rows.texts(batches, text, scorer.room):
             total = np.zeros((len(part), many))
             cut = pieces.parts(part.data, part.starts)
             if many and len(cut.which):

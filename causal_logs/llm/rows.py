@@ -74,3 +74,16 @@ def sampled(df: DataFrame, key: str, most: int) -> DataFrame:
         return df
     share = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30))
     return df.where(share < int(most / rows * (1 << 30)))
+
+
+def sampled_by(df: DataFrame, key: str, group: str, most: int, groups: int) -> DataFrame:
+    """About ``most`` rows of ``df``, evenly from its groups (a group with fewer gives all), chosen by the hash of ``key``. More than ``groups`` groups are an error."""
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n")).limit(groups + 1).collect()
+    if len(counts) > groups:
+        raise ValueError(f"more than {groups} different values of {group}")
+    each = max(1, most // max(1, len(counts)))
+    shares = {r[0]: min(1 << 30, int(each / r["n"] * (1 << 30))) for r in counts}
+    if all(s == 1 << 30 for s in shares.values()):
+        return df
+    bound = F.create_map(*[F.lit(x) for name, share in shares.items() for x in (name, share)])[F.col(group)]
+    return df.where(F.pmod(F.xxhash64(F.lit(group), F.col(key)), F.lit(1 << 30)) < bound)
