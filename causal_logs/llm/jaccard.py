@@ -233,11 +233,11 @@ def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def similar(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: str = "text", **index) -> DataFrame:
-    """A row for each row of ``docs``: ``doc, n_shingles, n_links, component``.
+    """A row for each row of ``docs``: ``doc, n_shingles, n_verified, component``.
 
-    ``component`` is the smallest id that links lead to, the own one included; ``n_links``
-    counts the verified links of the row's set to different sets (one to a representative, and all those
-    that join components). A text with fewer than ``shingle`` words is one shingle; one
+    ``component`` is the smallest id that links lead to, the own one included; ``n_verified``
+    counts the row's links that were verified: to heads of its lists, and to sets of other components. Sets that one
+    link has brought into a component are not compared further, so a set may be similar to more. A text with fewer than ``shingle`` words is one shingle; one
     without words, or null, has none and no links. Equal rows are linked. A row
     without an id counts as having the largest one; alone, its component is null.
     """
@@ -245,13 +245,13 @@ def similar(docs: DataFrame, percent: int = PERCENT, id: str = "doc_id", text: s
     out = rows.select("doc", "node", "n").join(classes.drop("component"), "node", "left")
     known = lambda c: F.when(c != F.lit(int(exchange.NO_ID)), c)
     return out.select(
-        known(F.col("doc")).alias("doc"), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        known(F.col("doc")).alias("doc"), F.col("n").alias("n_shingles"), F.coalesce("n_verified", F.lit(0)).cast("bigint").alias("n_verified"),
         known(F.coalesce("smallest", "doc")).alias("component"),
     )
 
 
 def _grouped(docs: DataFrame, percent: int, id: str, text: str, **index) -> tuple[DataFrame, DataFrame]:
-    """The indexed rows, and ``node, component, smallest, n_links`` of the nodes that are not alone (``component`` is a node, ``smallest`` an id)."""
+    """The indexed rows, and ``node, component, smallest, n_verified`` of the nodes that are not alone (``component`` is a node, ``smallest`` an id)."""
     rows = indexed(docs, percent=percent, id=id, text=text, **index)
     reps = written(rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("rows")), "nodes")
     held = rows.where("tokens IS NOT NULL").join(reps.select("node", "doc"), ["node", "doc"], "left_semi")
@@ -272,12 +272,12 @@ def _grouped(docs: DataFrame, percent: int, id: str, text: str, **index) -> tupl
     pairs = across.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
     links = written(links.union(_alike(pairs, nodes, percent)).distinct(), "links")
     found = components(links)
-    counted = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    counted = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_verified"))
     classes = reps.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = classes.groupBy("component").agg(F.min("doc").alias("smallest"))
-    classes = classes.join(smallest, "component").join(counted, "node", "left").select("node", "component", "smallest", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    classes = classes.join(smallest, "component").join(counted, "node", "left").select("node", "component", "smallest", F.coalesce("n_verified", F.lit(0)).alias("n_verified"))
     # Alone, a row is its own component; only other nodes have to meet their rows.
-    classes = written(classes.join(reps.select("node", "doc", "rows"), "node").where("rows > 1 OR smallest < doc OR n_links > 0").drop("doc", "rows"), "classes")
+    classes = written(classes.join(reps.select("node", "doc", "rows"), "node").where("rows > 1 OR smallest < doc OR n_verified > 0").drop("doc", "rows"), "classes")
     return rows, classes
 
 

@@ -96,7 +96,7 @@ def op7_repeated_bytes(spark, sf_dir):
 @_query
 def op1_sentencepiece_sampling(spark, sf_dir):
     """Three distinct sampled segmentations of every document, decoded again."""
-    return sampling.segmentations(_table(spark, sf_dir, "documents"), VOCABULARY, ids=False)
+    return sampling.segmentations(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
 @_query

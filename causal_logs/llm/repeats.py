@@ -3,19 +3,21 @@
 Only windows of ``width`` bytes that can occur in two documents are sorted. Each window
 has an anchor, the smallest hash of the ``ANCHOR``-byte strings in it, so equal windows
 have equal anchors. Runs of windows with one anchor are its contexts. Anchors met in one
-document only are done with; where all contexts of an anchor are one string, that
-string's first document is known as well. The contexts of the other anchors are sent to
-buckets by anchor, so equal windows meet in one bucket.
+document only are done with. The contexts of the others are sent to buckets by anchor, so
+equal windows meet in one bucket; where all contexts of an anchor are one string, the batch that has
+it first sends the string, and others its hash only.
 
 In a bucket, the contexts of a batch of documents are a shard: a text with its
 suffix order and its transform (the two bytes before each suffix). The shards'
 transforms are merged by refining their interleave: starting from the shards one after
 the other, each round deals the current order stably by the preceding symbols, so
 after k rounds it is the order by the first 2k bytes. No suffix of one shard is compared
-with one of another. The round in which two neighbours part is their common prefix;
-neighbours never parted within ``width`` bytes form the repeated intervals, each with its smallest document.
+with one of another. A suffix parted from both its neighbours has its place: after a few rounds only the others
+are dealt, block by block, in the order of the suffixes that follow the bytes compared so far, which doubles these. The
+round in which two neighbours part bounds their common prefix; neighbours never parted within
+``width`` bytes form the repeated intervals, each with its smallest document.
 
-Contexts of an anchor with very many different ones are sent by window instead.
+Contexts of an anchor with very many bytes of different ones are sent by window instead.
 """
 
 from collections.abc import Iterator
@@ -31,9 +33,10 @@ from . import exchange
 from .words import BYTES, mixed, stream
 
 WIDTH = 50
-ANCHOR = 24
-# An anchor whose contexts differ in more batches than this is spread over buckets by window.
-SPREAD_BATCHES = 1024
+ANCHOR = 16
+# An anchor with more bytes of contexts than this is spread over buckets by window, if they differ.
+SPREAD_BYTES = 1 << 24
+_STEP = 128
 # At most so many windows of a run are one context: then its first and last window cover it.
 _RUN = 48
 _B = stream(3, 1)[0]
@@ -104,22 +107,54 @@ class _Contexts:
         self.whole = whole
 
 
+def _open(parted: np.ndarray) -> np.ndarray:
+    """Places not parted from a neighbour; ``parted`` tells of each place if a block begins there."""
+    return np.flatnonzero(~(parted & np.append(parted[1:], True)))
+
+
+def _refined(at: np.ndarray, parted: np.ndarray, block: np.ndarray, place: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Order the blocks of several suffixes by what follows each of them; the places where blocks were parted anew.
+
+    ``at`` lists suffixes in order, ``place`` is its inverse, ``block`` the first place of each place's block, ``after`` the
+    suffix whose order decides. All are changed in place.
+    """
+    open_ = _open(parted)
+    if not len(open_):
+        return open_
+    own, inside = at[open_], block[open_]
+    follows = place[after[own]]
+    key = inside.astype(np.uint64) << np.uint64(32) | follows.astype(np.uint64)
+    order = np.argsort(key)
+    own, follows = own[order], block[follows[order]]
+    fresh = np.append(True, (inside[1:] != inside[:-1]) | (follows[1:] != follows[:-1]))
+    at[open_], place[own] = own, open_
+    begins = open_[fresh]
+    block[open_] = np.repeat(begins.astype(np.int32), np.diff(np.append(np.flatnonzero(fresh), len(open_))))
+    new = begins[~parted[begins]]
+    parted[begins] = True
+    return new
+
+
+def _blocks(parted: np.ndarray) -> np.ndarray:
+    begins = np.flatnonzero(parted)
+    return np.repeat(begins.astype(np.int32), np.diff(np.append(begins, len(parted))))
+
+
 def _suffix_order(data: np.ndarray, width: int) -> np.ndarray:
     """Places of a text in the order of their next ``width`` bytes or more, the text being a circle."""
     n, have = len(data), 8
     key = np.zeros(n, np.uint64)
     for k in range(have):
         key = key << np.uint64(8) | np.roll(data, -k)
-    order = np.argsort(key)
-    while True:
-        fresh = np.append(True, key[order][1:] != key[order][:-1])
-        if have >= width or fresh.all():
-            return order
-        rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(fresh).astype(np.uint64)
-        key = rank << np.uint64(32) | np.roll(rank, -have)
-        order = np.argsort(key)
+    order = np.argsort(key).astype(np.int32)
+    sorted_ = key[order]
+    parted = np.append(True, sorted_[1:] != sorted_[:-1])
+    block, place = _blocks(parted), np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
+    while have < width and not parted.all():
+        _refined(order, parted, block, place, np.roll(np.arange(n, dtype=np.int32), -have))
         have *= 2
+    return order
 
 
 class Shard:
@@ -131,20 +166,31 @@ class Shard:
         before = np.roll(data, 1)
         self.before = (np.roll(data, 2).astype(np.uint16) << 8 | before)[self.order]
 
+    def after(self, many: int) -> np.ndarray:
+        """Of each suffix in order, the number of the one that begins so many bytes later."""
+        number = np.empty(len(self.order), np.int32)
+        number[self.order] = np.arange(len(self.order), dtype=np.int32)
+        return np.roll(number, -many)[self.order]
+
+
+# Rounds in which all suffixes are dealt.
+_WHOLE_ROUNDS = 4
+
 
 def merged(shards: list[Shard], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The merged suffix order of all shards: shard and place of each suffix, and for each the
-    length of its common prefix with the one before, in steps of two bytes (``width`` rounded up: that long or longer)."""
+    """The merged suffix order of all shards: shard and place of each suffix, and for each how many bytes it has in common
+    with the one before: a length up to which they were compared and found equal (``width`` or more: that long or longer)."""
     sizes = [len(s.order) for s in shards]
     total = sum(sizes)
     symbols = np.concatenate([s.before for s in shards])
     kind = np.uint16 if len(shards) <= 1 << 16 else np.uint32
-    source = np.repeat(np.arange(len(shards), dtype=kind), sizes)
+    whose = np.repeat(np.arange(len(shards), dtype=kind), sizes)
+    source = whose
     block, common = np.zeros(total, np.int32), np.full(total, -1, np.int32)
     common[:1] = 0
     rounds = -(-width // 2)
     slots = np.arange(total)
-    for k in range(rounds):
+    for k in range(min(rounds, _WHOLE_ROUNDS)):
         symbol = np.empty(total, np.uint16)
         symbol[slots] = symbols
         order = np.argsort(symbol, kind="stable")
@@ -153,10 +199,18 @@ def merged(shards: list[Shard], width: int) -> tuple[np.ndarray, np.ndarray, np.
         common[parted & (common < 0)] = 2 * k
         block = np.cumsum(parted, dtype=np.int32)
         slots = np.argsort(source, kind="stable")
+    slots, at = slots.astype(np.int32), np.empty(total, np.int32)
+    at[slots] = np.arange(total, dtype=np.int32)
+    have, whole = 2 * min(rounds, _WHOLE_ROUNDS), 2 * rounds
+    if have < whole:
+        block, bases = _blocks(parted), np.cumsum([0, *sizes[:-1]])
+        while have < whole and not parted.all():
+            more = min(have, whole - have)
+            after = np.concatenate([s.after(more) + np.int32(base) for s, base in zip(shards, bases, strict=True)])
+            common[_refined(at, parted, block, slots, after)] = have
+            have += more
     common[common < 0] = 2 * rounds
-    place = np.empty(total, np.int64)
-    place[slots] = np.concatenate([s.order for s in shards])
-    return source, place, common
+    return whose[at], np.concatenate([s.order for s in shards])[at].astype(np.int64), common
 
 
 def first_documents(contexts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], width: int) -> list[np.ndarray]:
@@ -183,22 +237,22 @@ def first_documents(contexts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], w
     return np.split(out, base[1:-1])
 
 
-# What a bucket says of an anchor: in one document only, contexts all alike, to be merged, to be merged by window.
+# What a bucket says of an anchor: in one document only; to be merged, its contexts being all alike; to be merged; to be merged by window.
 _ALONE, _ALIKE, _MERGE, _SPREAD = range(4)
 
 
-def _counted(group: pa.Table, spread_batches: int) -> pa.Table:
+def _counted(group: pa.Table, spread_bytes: int) -> pa.Table:
     """Answer the anchors of a bucket: what to do with each, and the first document where contexts are all alike."""
     held = [exchange.unpacked(b.as_py()) for b in group.column("block")]
-    low, doc, several, small, large = (np.concatenate(x) for x in zip(*held, strict=True))
+    low, doc, several, small, large, size = (np.concatenate(x) for x in zip(*held, strict=True))
     order = np.argsort(low, kind="stable")
     fresh = np.append(True, low[order][1:] != low[order][:-1])
     at = np.flatnonzero(fresh)
-    times = np.diff(np.append(at, len(low)))
     first, last = np.minimum.reduceat(doc[order], at), np.maximum.reduceat(doc[order], at)
     repeated = (first < last) | np.maximum.reduceat(several[order], at)
     alike = np.minimum.reduceat(small[order], at) == np.maximum.reduceat(large[order], at)
-    say = np.where(~repeated, _ALONE, np.where(alike, _ALIKE, np.where(times > spread_batches, _SPREAD, _MERGE))).astype(np.uint8)
+    total = np.add.reduceat(size[order].astype(np.int64), at) * _STEP
+    say = np.where(~repeated, _ALONE, np.where(alike, _ALIKE, np.where(total > spread_bytes, _SPREAD, _MERGE))).astype(np.uint8)
     which = np.empty(len(low), np.int64)
     which[order] = np.cumsum(fresh) - 1
     answers, start = [], 0
@@ -231,9 +285,11 @@ class _Batch:
         small, large = np.minimum.reduceat(value, self.at), np.maximum.reduceat(value, self.at)
         # Where the contexts are alike, the second hash compresses to nothing.
         low, several, other = self.anchors.astype(np.uint32), first < last, small != large
+        # Bytes of its contexts here, in steps that most anchors do not reach.
+        size = np.minimum(np.add.reduceat(self.found.n[self.order] + self.width - 1, self.at) // _STEP, 255).astype(np.uint8)
         out = []
         for b, i, j in self.cuts:
-            out.append((b, exchange.packed(low[i:j], first[i:j], several[i:j], small[i:j], np.where(other[i:j], large[i:j], small[i:j]))))
+            out.append((b, exchange.packed(low[i:j], first[i:j], several[i:j], small[i:j], np.where(other[i:j], large[i:j], small[i:j]), size[i:j])))
         return out
 
     def told(self, answers: list[dict]) -> None:
@@ -245,16 +301,16 @@ class _Batch:
             first.append(doc)
         by_anchor = np.concatenate(say)
         number = np.repeat(np.arange(len(self.at)), np.diff(np.append(self.at, len(self.order))))
-        self.say = np.empty(len(self.order), np.uint8)
-        self.say[self.order] = by_anchor[number]
+        said = np.empty(len(self.order), np.uint8)
+        said[self.order] = by_anchor[number]
         known = np.full(len(by_anchor), exchange.NO_ID)
         known[by_anchor == _ALIKE] = np.concatenate(first)
-        self.first = np.empty(len(self.order), np.int64)
-        self.first[self.order] = known[number]
-        # Strings to be merged: the distinct contexts of one kind, the distinct windows of the other.
+        earliest = np.empty(len(self.order), np.int64)
+        earliest[self.order] = known[number]
+        # Strings to be merged: the distinct contexts of most anchors, the distinct windows of those that are spread.
         found = self.found
-        whole = np.flatnonzero(self.say == _MERGE)
-        wide = np.flatnonzero(self.say == _SPREAD)
+        whole = np.flatnonzero((said == _MERGE) | (said == _ALIKE))
+        wide = np.flatnonzero(said == _SPREAD)
         many = found.n[wide]
         step = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
         window = np.repeat(found.start[wide], many) + step
@@ -263,15 +319,18 @@ class _Batch:
         n = np.concatenate([found.n[whole], np.ones(len(window), np.int64)])
         to = np.concatenate([found.anchor[whole], key[len(whole) :]])
         doc = np.concatenate([self.doc[whole], np.repeat(self.doc[wide], many)])
+        # The smallest document that has the string, where that is known: whoever has that document sends the string.
+        sender = np.concatenate([np.where(said[whole] == _ALIKE, earliest[whole], -1), np.full(len(window), -1)])
         order = np.argsort(key, kind="stable")
         fresh = np.append(True, key[order][1:] != key[order][:-1]) if len(key) else np.zeros(0, bool)
         at = np.flatnonzero(fresh)
         one = order[at]
         bucket = exchange.bucket_of(to[one], self.buckets)
         by = np.argsort(bucket, kind="stable")
-        # Of the distinct strings, in the order they are sent: place, windows, first document, bucket, hash.
+        # Of the distinct strings, in the order they are sent: place, windows, first document, bucket, hash, whether it goes itself.
         self.sent_place, self.sent_n, self.sent_bucket, self.sent_key = place[one][by], n[one][by], bucket[by], key[one][by]
         self.sent_doc = np.minimum.reduceat(doc[order], at)[by] if len(at) else doc
+        self.sent_self = (sender[one][by] < 0) | (sender[one][by] == self.sent_doc)
         back = np.empty(len(by), np.int64)
         back[by] = np.arange(len(by))
         self.which = np.empty(len(key), np.int64)
@@ -281,19 +340,15 @@ class _Batch:
     def strings_sent(self) -> list[tuple[int, bytes]]:
         out = []
         for b, i, j in exchange.cuts(self.sent_bucket, self.buckets):
-            size = self.sent_n[i:j] + self.width - 1
+            size = np.where(self.sent_self[i:j], self.sent_n[i:j] + self.width - 1, 0)
             ends = np.cumsum(size)
             at = np.arange(int(ends[-1])) + np.repeat(self.sent_place[i:j] - ends + size, size)
-            out.append((b, exchange.packed(self.data[at], ends, self.sent_doc[i:j], self.sent_key[i:j])))
+            out.append((b, exchange.packed(self.data[at], size.astype(np.uint16), self.sent_n[i:j].astype(np.uint8), self.sent_doc[i:j], self.sent_key[i:j])))
         return out
 
     def covered(self, answers: list[dict]) -> np.ndarray:
         """Bytes covered by windows that an earlier document has too."""
         first = np.full(len(self.data), exchange.NO_ID)
-        known = np.flatnonzero(self.say == _ALIKE)
-        n = self.found.n[known]
-        window = np.repeat(self.found.start[known] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        first[window] = np.repeat(self.first[known], n)
         docs = np.concatenate([np.zeros(0, np.int64), *[exchange.unpacked(a["block"])[0] for a in sorted(answers, key=lambda a: a["bucket"])]])
         begin = np.cumsum(self.sent_n) - self.sent_n
         step = np.arange(int(self.n.sum())) - np.repeat(np.cumsum(self.n) - self.n, self.n)
@@ -307,21 +362,25 @@ class _Batch:
 def _answered(group: pa.Table, width: int) -> pa.Table:
     """Answer the strings of a bucket with the smallest document of each of their windows."""
     held = [exchange.unpacked(b.as_py()) for b in group.column("block")]
-    keys = np.concatenate([h[3] for h in held])
-    _, one, which = np.unique(keys, return_index=True, return_inverse=True)
+    sizes, windows, docs, keys = (np.concatenate(x) for x in list(zip(*held, strict=True))[1:])
+    sizes, windows = sizes.astype(np.int64), windows.astype(np.int64)
+    # A string that several batches know stands in one shard only, one that has it whole.
+    order = np.lexsort((sizes == 0, keys))
+    fresh = np.append(True, keys[order][1:] != keys[order][:-1])
+    one = order[fresh]
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(fresh) - 1
     doc = np.full(len(one), exchange.NO_ID)
-    np.minimum.at(doc, which, np.concatenate([h[2] for h in held]))
-    # A string that several batches sent stands in the first one's shard only.
+    np.minimum.at(doc, which, docs)
     own = np.zeros(len(keys), bool)
     own[one] = True
-    windows = np.concatenate([np.diff(np.concatenate([[0], h[1]])) for h in held]) - width + 1
     shards, at = [], 0
-    for data, ends, docs, _ in held:
-        mine, kinds = own[at : at + len(docs)], which[at : at + len(docs)]
-        size = np.diff(np.concatenate([[0], ends]))
+    for data, size, *_ in held:
+        mine, kinds = own[at : at + len(size)], which[at : at + len(size)]
         if mine.any():
+            size = size.astype(np.int64)
             shards.append((data[np.repeat(mine, size)], np.cumsum(size[mine]), doc[kinds[mine]]))
-        at += len(docs)
+        at += len(size)
     found = []
     for (data, ends, _), first in zip(shards, first_documents(shards, width), strict=True):
         found.append(first[np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(len(data)) >= width])
@@ -338,7 +397,7 @@ def _answered(group: pa.Table, width: int) -> pa.Table:
     return pa.Table.from_batches([exchange.blocks(rows_)])
 
 
-def repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str = "text", kept: bool = False, carry: list[str] | None = None, spread_batches: int = SPREAD_BATCHES, bucket_bytes: int = exchange.BUCKET_BYTES) -> DataFrame:
+def repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str = "text", kept: bool = False, carry: list[str] | None = None, spread_bytes: int = SPREAD_BYTES, bucket_bytes: int = exchange.BUCKET_BYTES) -> DataFrame:
     """A row for each row of ``docs``: ``doc, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for, ``kept``,
     the remaining text (a character of which a byte is gone is left out; the digest is that of all remaining bytes).
     With ``carry``, each row also has these columns of its own row of ``docs`` as the struct ``own``, and ``none``, whether its text is null.
@@ -392,7 +451,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str =
 
     texts = table.select("batch", "block")
     anchors = texts.mapInArrow(send, exchange.BLOCKS)
-    said = written(anchors.groupBy("bucket").applyInArrow(lambda group: _counted(group, spread_batches), exchange.BLOCKS), "anchors")
+    said = written(anchors.groupBy("bucket").applyInArrow(lambda group: _counted(group, spread_bytes), exchange.BLOCKS), "anchors")
     asked = exchange.answered(table.drop("bytes"), said)
     strings = asked.mapInArrow(send_strings, exchange.BLOCKS)
     merged_ = strings.groupBy("bucket").applyInArrow(lambda group: _answered(group, width), exchange.BLOCKS)

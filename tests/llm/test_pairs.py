@@ -88,11 +88,24 @@ def test_repeats(spark):
     rows = [(i, t) for i, t in texts() if i not in (106, 107)] + [(200, "be " * 300), (201, "be " * 90), (202, "a" * 50), (203, "a" * 49), (150, "a" * 400)]
     want = _plain_repeats([(i, (t or "").encode()) for i, t in rows])
     docs = documents(spark, rows).repartition(6)
-    for options in ({}, {"spread_batches": 1}, {"spread_batches": 1, "bucket_bytes": 2000}):
+    for options in ({}, {"spread_bytes": 1}, {"spread_bytes": 1, "bucket_bytes": 2000}, {"spread_bytes": 3000, "bucket_bytes": 2000}):
         assert {r[0]: tuple(r[1:]) for r in repeats.repeats(docs, **options).collect()} == want
     assert sum(w[1] for w in want.values()) > 1000
 
 
+def test_repeats_behind_one_hot_anchor(spark):
+    """Forty shared bytes in front of tails that differ, in copies too."""
+    rng = np.random.default_rng(6)
+    head = "the same forty bytes stand before a tail"
+    tail = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 60))
+    tails = [tail() for _ in range(40)]
+    rows = [(i, "".join(head + tails[int(k)] for k in rng.integers(0, 40, 6)) + tail()) for i in range(40)]
+    want = _plain_repeats([(i, t.encode()) for i, t in rows])
+    docs = documents(spark, rows).repartition(8)
+    for options in ({}, {"spread_bytes": 500, "bucket_bytes": 2000}):
+        assert {r[0]: tuple(r[1:]) for r in repeats.repeats(docs, **options).collect()} == want
+
+
 def test_repeats_edges(spark):
     assert repeats.repeats(documents(spark, [])).count() == 0
     found = repeats.repeats(odd(spark), kept=True).collect()

@@ -46,6 +46,32 @@ def test_rows_without_an_id_or_with_the_same_one(spark, tmp_path):
         assert order(decontaminate.decontaminated(docs, table, pass_bytes=pass_bytes)) == sorted([r for r in clean if r[1] != words(2, 30)], key=repr)
 
 
+def test_two_stages_on_one_table(spark, tmp_path):
+    """A stage leaves alone what other results read; columns may be named like its own in any case."""
+    rows = [(i, t) for i, t in texts() if t is None or len(t) < 5000]
+    docs = documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").selectExpr("*", "'x' as Score", "1 as LANG_PRED")
+    first = corpus_pipeline.without_near_copies(spark, docs, str(tmp_path))
+    second = corpus_pipeline.without_repeats(spark, docs, str(tmp_path))
+    third = corpus_pipeline.identified(spark, docs, str(tmp_path))
+    for found in (first, second, third):
+        assert found.columns == docs.columns and found.count() > 0
+    assert {r.Score for r in third.collect()} == {"x"} and {r.LANG_PRED for r in third.collect()} == {1}
+
+
+def test_a_run_leaves_only_its_result(spark, tmp_path):
+    from causal_logs.session import collected
+
+    documents(spark).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(ITEMS, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    with collected() as paths:
+        one = corpus_pipeline.run(spark, str(tmp_path))
+        two = corpus_pipeline.run(spark, str(tmp_path))
+    assert one.count() == two.count() > 0
+    place = spark._jvm.org.apache.hadoop.fs.Path(paths[0])
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert sum(files.exists(spark._jvm.org.apache.hadoop.fs.Path(p)) for p in paths) == 2
+
+
 def test_stages(spark, tmp_path):
     rows = [(i, t) for i, t in texts() if t is None or len(t) < 5000]
     rows += [(400, f"Before it. {ITEMS[0][1].upper()}! After it."), (401, rows[9][1] + " " + ITEMS[0][1]), (402, "12 34 ... 56")]
