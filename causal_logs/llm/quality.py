@@ -69,27 +69,32 @@ def metrics(docs: DataFrame, text: str = "text", stop_words: dict[str, str] = ST
     none = F.array().cast("array<int>")
     total = lambda values: F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
     lines = F.filter(F.split(whole, "\n"), lambda x: F.regexp_like(x, F.lit("[^\\x20\\x09-\\x0D]")))
-    df = docs.withColumns({"_words": _words(whole), "_lines": lines, "_symbols": F.regexp_count(whole, F.lit(SYMBOLS))})
-    df = df.withColumn("_windows", _windows(F.col("_words"), 3))
+    # Names that no column of ``docs`` has, whatever its case.
+    mark = "_"
+    while any(c.lower().startswith(mark) for c in docs.columns):
+        mark += "_"
+    words_, lines_, symbols_, windows_, twice_, starts_ = (f"{mark}{n}" for n in ("words", "lines", "symbols", "windows", "twice", "starts"))
+    df = docs.withColumns({words_: _words(whole), lines_: lines, symbols_: F.regexp_count(whole, F.lit(SYMBOLS))})
+    df = df.withColumn(windows_, _windows(F.col(words_), 3))
     # Only texts with a repeated window need them sorted.
-    repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
-    pairs = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    df = df.withColumn("_sorted", F.when(repeats, pairs))
+    repeats = F.size(F.array_distinct(windows_)) < F.size(windows_)
+    pairs = F.sort_array(F.transform(windows_, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    df = df.withColumn(twice_, F.when(repeats, pairs))
     twins = F.filter(
-        "_sorted",
-        lambda p, k: F.get("_sorted", k - 1).h.eqNullSafe(p.h) | F.get("_sorted", k + 1).h.eqNullSafe(p.h),
+        twice_,
+        lambda p, k: F.get(twice_, k - 1).h.eqNullSafe(p.h) | F.get(twice_, k + 1).h.eqNullSafe(p.h),
     )
-    df = df.withColumn("_starts", F.coalesce(F.sort_array(F.transform(twins, lambda p: p.i)), none))
+    df = df.withColumn(starts_, F.coalesce(F.sort_array(F.transform(twins, lambda p: p.i)), none))
     # A window covers its three words, or those up to the next one.
-    covers = F.transform("_starts", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("_starts", k + 1) - p, F.lit(3))))
+    covers = F.transform(starts_, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(starts_, k + 1) - p, F.lit(3))))
     counts = {
-        "n_words": F.size("_words"),
-        "word_chars": F.length(F.array_join("_words", "")),
-        "n_symbols": F.col("_symbols"),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
+        "n_words": F.size(words_),
+        "word_chars": F.length(F.array_join(words_, "")),
+        "n_symbols": F.col(symbols_),
+        "n_dup_lines": F.size(lines_) - F.size(F.array_distinct(lines_)),
         "n_repeat_words": total(covers),
-        "n_stop": F.size(F.filter("_words", lambda w: w.isin(stops))),
-        "n_lines": F.size("_lines"),
+        "n_stop": F.size(F.filter(words_, lambda w: w.isin(stops))),
+        "n_lines": F.size(lines_),
     }
     df = df.select(*docs.columns, *[c.cast("bigint").alias(name) for name, c in counts.items()])
     # Filters on the verdict must not bring all this into the filter once more.

@@ -141,20 +141,20 @@ def judged(df: DataFrame, rules: list[Rule], url: str = "url", labelled: DataFra
     rest. Null and empty URLs are judged as empty ones. Repeated rows are judged alike;
     columns of ``df`` with the names given are replaced.
     """
-    made = {"host", "path", "rule", "verdict", "score", "blocked", "seen"}
-    made |= {*FEATURES, "_suffix", "_x", "_p", "_y", "_r"}
-    rows = ruled(df.select(*[c for c in df.columns if c.lower() not in made]), rules, url)
+    own = [c for c in df.columns if c.lower() not in ("host", "path", "rule", "verdict", "score")]
+    # The other columns travel in one, so that no name of theirs is also one made here.
+    rows = ruled(df.select(F.struct(*own).alias("_own"), F.col(url).cast("string").alias("_url")), rules, "_url")
     if labelled is None:
-        known = rows.where("verdict IS NOT NULL").select(url, "host", "path", "verdict")
+        known = rows.where("verdict IS NOT NULL").select("_url", "host", "path", "verdict")
     else:
-        known = ruled(labelled.select(url, F.col("verdict").alias("label")), [], url).drop("verdict").withColumnRenamed("label", "verdict")
+        known = ruled(labelled.select(F.col(url).alias("_url"), F.col("verdict").alias("label")), [], "_url").drop("verdict").withColumnRenamed("label", "verdict")
     suffixes = written(suffix_counts(known), "suffixes")
-    model = train(known, suffixes, url=url, **training)
-    own = [c for c in rows.columns if c != "verdict"]
+    model = train(known, suffixes, url="_url", **training)
+    kept = [*[F.col("_own")[c].alias(c) for c in own], "host", "path", "rule"]
     if isinstance(model, str):
-        return rows.select(*own, F.coalesce("verdict", F.lit(model)).alias("verdict"), F.lit(float(model == "block")).alias("score"))
-    table = VectorAssembler(inputCols=list(FEATURES), outputCol="_x").transform(features(rows, suffixes, url))
+        return rows.select(*kept, F.coalesce("verdict", F.lit(model)).alias("verdict"), F.lit(float(model == "block")).alias("score"))
+    table = VectorAssembler(inputCols=list(FEATURES), outputCol="_x").transform(features(rows, suffixes, "_url"))
     model.setFeaturesCol("_x").setProbabilityCol("_p").setPredictionCol("_y").setRawPredictionCol("_r")
     scored = model.transform(table).withColumn("score", vector_to_array("_p")[1])
     verdict = F.coalesce("verdict", F.when(F.col("score") >= 0.5, "block").otherwise("allow"))
-    return scored.select(*own, verdict.alias("verdict"), "score")
+    return scored.select(*kept, verdict.alias("verdict"), "score")

@@ -163,3 +163,47 @@ def test_segmentations(spark):
     again = sampling.segmentations(documents(spark).repartition(7).where("doc_id = 3"), queries.VOCABULARY, k=3).collect()
     assert {r.ids_sha256 for r in again} == {r.ids_sha256 for r in by[3]}
     assert sampling.segmentations(documents(spark, []), queries.VOCABULARY).count() == 0
+
+
+# --- archives of other writers ----------------------------------------------
+
+
+def _foreign(*lines, block=b"", ends="\r\n"):
+    return ends.join(["WARC/1.0", *lines]).encode() + (ends * 2).encode() + block + (ends * 2).encode()
+
+
+def test_foreign_records():
+    http = b"HTTP/1.0 200 OK\r\nServer: x\r\n\r\nhello"
+    one = _foreign("warc-type:response", "WARC-RECORD-ID: <urn:uuid:a-1>", "Content-Type:application/http; msgtype=response", f"content-length: {len(http)}", "X-Long: a", "  b", block=http)
+    two = _foreign("WARC-Type: revisit", "WARC-Record-ID: <urn:uuid:a-2>", "WARC-Refers-To: <urn:uuid:a-1>", "WARC-Payload-Digest: sha1:ABC", "Content-Length: 0")
+    three = _foreign("WARC-Type: resource", "WARC-Target-URI: http://x/", "Content-Length: 9", block=b"a\r\n\r\nb\r\nc", ends="\n")[: -len("\n\n")]
+    got = list(warc.records(one + two + three))
+    assert [(r["id"], r["record_type"], r["refers_to"], r["payload_bytes"], r["fault"]) for r in got] == [
+        ("urn:uuid:a-1", "response", None, 5, None), ("urn:uuid:a-2", "revisit", "urn:uuid:a-1", None, None), (None, "resource", None, 9, None),
+    ]
+    assert got[0]["payload"] == b"hello" and got[1]["payload_digest"] == "ABC" and got[2]["payload"] == b"a\r\n\r\nb\r\nc" and got[2]["url"] == "http://x/"
+    assert [r["fault"] for r in warc.records(_foreign("WARC-Type: metadata", block=b"x"))] == ["no length"]
+    assert [r["fault"] for r in warc.records(_foreign("Content-Length: 100", block=b"x"))] == ["cut off"]
+    assert [r["fault"] for r in warc.records(two + b"rubbish")] == [None, "no record"]
+
+
+@pytest.mark.parametrize("split", [1 << 24, 700])
+def test_foreign_archives(spark, tmp_path, split):
+    """Several records in a member, a member that is cut off, rubbish between members."""
+    import gzip
+
+    record = lambda k, n: _foreign("warc-type: resource", f"warc-record-id: <urn:uuid:{k}>", f"content-length:{n}", block=random.Random(k).randbytes(n))
+    packed = gzip.compress(record(1, 500) + record(2, 0) + record(3, 900)) + b"\x1f\x8b\x08 no member" + gzip.compress(record(4, 300)) + gzip.compress(record(5, 4000))[:-600]
+    (tmp_path / "a.warc.gz").write_bytes(packed)
+    files = spark.createDataFrame([(f"file://{tmp_path}/a.warc.gz", len(packed))], "path string, bytes bigint")
+    got = sorted((r.id, r.payload_bytes, r.fault) for r in warc.read_warc(files, split_bytes=split).collect())
+    assert got[:4] == [("urn:uuid:1", 500, None), ("urn:uuid:2", 0, None), ("urn:uuid:3", 900, None), ("urn:uuid:4", 300, None)]
+    assert len(got) == 5 and got[4][0] == "urn:uuid:5" and got[4][2] == "cut off"
+
+
+def test_columns_named_like_those_of_the_trees(spark):
+    rows = [(i, f"http://{'bad.net' if i % 2 else 'good.org'}/fr/{i}", "a", "b", "c", "d") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, blocked string, Seen string, f_length string, _suffix string")
+    got = urls.judged(pages, queries.URL_RULES)
+    assert got.columns[:6] == pages.columns
+    assert {(r.blocked, r.Seen, r.f_length, r["_suffix"]) for r in got.collect()} == {("a", "b", "c", "d")}

@@ -43,6 +43,9 @@ def test_quality_rules(spark):
     assert by[100].failed[0] == "too_short" and by[101].base_failed and not by[102].kept
     assert by[106].n_words == len(LONG.split()) and by[106].base_failed and by[106]["component"] == "x"
     assert quality.quality(documents(spark, [])).count() == 0
+    # Columns named like those it uses itself come back as they are.
+    named = documents(spark).selectExpr("doc_id", "text", "'x' as _words", "'y' as _Lines", "'z' as __starts", "1 as symbols")
+    assert {(r["_words"], r["_Lines"], r["__starts"], r.symbols) for r in quality.quality(named).collect()} == {("x", "y", "z", 1)}
     own = quality.quality(documents(spark), (quality.Rule("few", "n_words", low=3),))
     assert {r.doc_id for r in own.where("NOT kept").collect()} == {100, 101, 102, 103, 108}
 
