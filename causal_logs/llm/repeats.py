@@ -7,7 +7,7 @@ document only are done with. The contexts of the others are sent to buckets by a
 equal windows meet in one bucket; where all contexts of an anchor are one string, the batch that has
 it first sends the string, and others its hash only.
 
-In a bucket, the contexts of a batch of documents are a shard: a text with its
+In a bucket, the contexts of some batches of documents are a shard: a text with its
 suffix order and its transform (the two bytes before each suffix). The shards'
 transforms are merged by refining their interleave: starting from the shards one after
 the other, each round deals the current order stably by the preceding symbols, so
@@ -37,6 +37,9 @@ ANCHOR = 16
 # An anchor with more bytes of contexts than this is spread over buckets by window, if they differ.
 SPREAD_BYTES = 1 << 24
 _STEP = 128
+# Bytes of a shard's strings, and parts of a bucket that are merged one after the other.
+SHARD_BYTES = 1 << 16
+PARTS = 16
 # At most so many windows of a run are one context: then its first and last window cover it.
 _RUN = 48
 _B = stream(3, 1)[0]
@@ -112,13 +115,16 @@ def _open(parted: np.ndarray) -> np.ndarray:
     return np.flatnonzero(~(parted & np.append(parted[1:], True)))
 
 
-def _refined(at: np.ndarray, parted: np.ndarray, block: np.ndarray, place: np.ndarray, after: np.ndarray) -> np.ndarray:
+def _refined(at: np.ndarray, parted: np.ndarray, block: np.ndarray, place: np.ndarray, after: np.ndarray, wanted: np.ndarray | None = None) -> np.ndarray:
     """Order the blocks of several suffixes by what follows each of them; the places where blocks were parted anew.
 
     ``at`` lists suffixes in order, ``place`` is its inverse, ``block`` the first place of each place's block, ``after`` the
-    suffix whose order decides. All are changed in place.
+    suffix whose order decides. All are changed in place. With ``wanted``, only those suffixes are ordered, in the places that
+    they have in their blocks; others between them say nothing from then on.
     """
     open_ = _open(parted)
+    if wanted is not None:
+        open_ = open_[wanted[at[open_]]]
     if not len(open_):
         return open_
     own, inside = at[open_], block[open_]
@@ -177,9 +183,12 @@ class Shard:
 _WHOLE_ROUNDS = 4
 
 
-def merged(shards: list[Shard], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def merged(shards: list[Shard], width: int, windows: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The merged suffix order of all shards: shard and place of each suffix, and for each how many bytes it has in common
-    with the one before: a length up to which they were compared and found equal (``width`` or more: that long or longer)."""
+    with the one before: a length up to which they were compared and found equal (``width`` or more: that long or longer).
+
+    ``windows`` marks the places of each shard that matter; others are ordered as far as those need it.
+    """
     sizes = [len(s.order) for s in shards]
     total = sum(sizes)
     symbols = np.concatenate([s.before for s in shards])
@@ -204,11 +213,19 @@ def merged(shards: list[Shard], width: int) -> tuple[np.ndarray, np.ndarray, np.
     have, whole = 2 * min(rounds, _WHOLE_ROUNDS), 2 * rounds
     if have < whole:
         block, bases = _blocks(parted), np.cumsum([0, *sizes[:-1]])
-        while have < whole and not parted.all():
-            more = min(have, whole - have)
+        steps = []
+        while have < whole:
+            steps.append((have, min(have, whole - have)))
+            have += steps[-1][1]
+        # Whose order a round needs: the windows in the last one; before, also what follows those.
+        needs, own = [], windows
+        for _, more in reversed(steps):
+            needs.append(own)
+            own = own and [w | np.roll(w, more) for w in own]
+        for (have, more), own in zip(steps, reversed(needs), strict=True):
             after = np.concatenate([s.after(more) + np.int32(base) for s, base in zip(shards, bases, strict=True)])
-            common[_refined(at, parted, block, slots, after)] = have
-            have += more
+            wanted = own and np.concatenate([w[s.order] for w, s in zip(own, shards, strict=True)])
+            common[_refined(at, parted, block, slots, after, wanted)] = have
     common[common < 0] = 2 * rounds
     return whose[at], np.concatenate([s.order for s in shards])[at].astype(np.int64), common
 
@@ -218,13 +235,13 @@ def first_documents(contexts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], w
 
     Places whose window leaves its context get ``NO_ID``.
     """
-    shards = [Shard(data, width) for data, _, _ in contexts]
-    source, place, common = merged(shards, width)
     own, inside = [], []
     for data, ends, docs in contexts:
         sizes = np.diff(np.concatenate([[0], ends]))
         own.append(np.repeat(docs, sizes))
         inside.append(np.repeat(ends, sizes) - np.arange(len(data)) >= width)
+    shards = [Shard(data, width) for data, _, _ in contexts]
+    source, place, common = merged(shards, width, inside)
     base = np.cumsum([0, *[len(x) for x in own]])
     at = base[source] + place
     own, inside = np.concatenate(own), np.concatenate(inside)
@@ -330,6 +347,7 @@ class _Batch:
         # Of the distinct strings, in the order they are sent: place, windows, first document, bucket, hash, whether it goes itself.
         self.sent_place, self.sent_n, self.sent_bucket, self.sent_key = place[one][by], n[one][by], bucket[by], key[one][by]
         self.sent_doc = np.minimum.reduceat(doc[order], at)[by] if len(at) else doc
+        self.sent_part = (to[one][by] & np.uint64(PARTS - 1)).astype(np.uint8)
         self.sent_self = (sender[one][by] < 0) | (sender[one][by] == self.sent_doc)
         back = np.empty(len(by), np.int64)
         back[by] = np.arange(len(by))
@@ -343,7 +361,7 @@ class _Batch:
             size = np.where(self.sent_self[i:j], self.sent_n[i:j] + self.width - 1, 0)
             ends = np.cumsum(size)
             at = np.arange(int(ends[-1])) + np.repeat(self.sent_place[i:j] - ends + size, size)
-            out.append((b, exchange.packed(self.data[at], size.astype(np.uint16), self.sent_n[i:j].astype(np.uint8), self.sent_doc[i:j], self.sent_key[i:j])))
+            out.append((b, exchange.packed(self.data[at], size.astype(np.uint16), self.sent_n[i:j].astype(np.uint8), self.sent_doc[i:j], self.sent_key[i:j], self.sent_part[i:j])))
         return out
 
     def covered(self, answers: list[dict]) -> np.ndarray:
@@ -359,12 +377,18 @@ class _Batch:
         return count > 0
 
 
+def _ranges(start: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, so many of them."""
+    return np.arange(int(many.sum())) + np.repeat(start - np.cumsum(many) + many, many)
+
+
 def _answered(group: pa.Table, width: int) -> pa.Table:
     """Answer the strings of a bucket with the smallest document of each of their windows."""
     held = [exchange.unpacked(b.as_py()) for b in group.column("block")]
-    sizes, windows, docs, keys = (np.concatenate(x) for x in list(zip(*held, strict=True))[1:])
+    data, sizes, windows, docs, keys, parts = (np.concatenate(x) for x in zip(*held, strict=True))
     sizes, windows = sizes.astype(np.int64), windows.astype(np.int64)
-    # A string that several batches know stands in one shard only, one that has it whole.
+    starts = np.cumsum(sizes) - sizes
+    # A string that several batches know stands in one shard only, from one that sent it whole.
     order = np.lexsort((sizes == 0, keys))
     fresh = np.append(True, keys[order][1:] != keys[order][:-1])
     one = order[fresh]
@@ -374,24 +398,25 @@ def _answered(group: pa.Table, width: int) -> pa.Table:
     np.minimum.at(doc, which, docs)
     own = np.zeros(len(keys), bool)
     own[one] = True
-    shards, at = [], 0
-    for data, size, *_ in held:
-        mine, kinds = own[at : at + len(size)], which[at : at + len(size)]
-        if mine.any():
-            size = size.astype(np.int64)
-            shards.append((data[np.repeat(mine, size)], np.cumsum(size[mine]), doc[kinds[mine]]))
-        at += len(size)
-    found = []
-    for (data, ends, _), first in zip(shards, first_documents(shards, width), strict=True):
-        found.append(first[np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(len(data)) >= width])
-    found = np.concatenate(found)
+    sent = np.flatnonzero(own)
+    found = np.empty(int(windows[sent].sum()), np.int64)
+    at = np.zeros(len(keys), np.int64)
+    at[sent] = np.cumsum(windows[sent]) - windows[sent]
+    # A part of the bucket at a time: what is equal is in one part, and a small merge stays in the processor's cache.
+    for part in np.unique(parts[sent]).tolist():
+        mine = sent[parts[sent] == part]
+        full = (np.cumsum(sizes[mine]) - 1) // SHARD_BYTES
+        shards = []
+        for some in np.split(mine, np.flatnonzero(np.diff(full)) + 1):
+            shards.append((data[_ranges(starts[some], sizes[some])], np.cumsum(sizes[some]), doc[which[some]]))
+        firsts = first_documents(shards, width)
+        inside = [np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(len(text)) >= width for text, ends, _ in shards]
+        found[_ranges(at[mine], windows[mine])] = np.concatenate([f[i] for f, i in zip(firsts, inside, strict=True)])
     # Where the windows of each distinct string lie in ``found``, which follows the order of sending.
     begin = np.zeros(len(one), np.int64)
-    sent = np.flatnonzero(own)
-    begin[which[sent]] = np.cumsum(windows[sent]) - windows[sent]
-    step = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
-    replies = found[np.repeat(begin[which], windows) + step]
-    cuts = np.cumsum(windows)[np.cumsum([len(h[2]) for h in held]) - 1]
+    begin[which[sent]] = at[sent]
+    replies = found[_ranges(begin[which], windows)]
+    cuts = np.cumsum(windows)[np.cumsum([len(h[1]) for h in held]) - 1]
     answers = [exchange.packed(r) for r in np.split(replies, cuts[:-1])]
     rows_ = list(zip(group.column("bucket").to_pylist(), group.column("batch").to_pylist(), answers, strict=True))
     return pa.Table.from_batches([exchange.blocks(rows_)])
