@@ -20,15 +20,17 @@ from . import rows
 BATCH_BYTES = 1 << 21
 # Bytes of blocks that a bucket is meant to hold.
 BUCKET_BYTES = 1 << 23
+# Compression of stored texts.
+_TEXT_LEVEL = 6
 # Stands for a missing id: larger than every other.
 NO_ID = np.iinfo(np.int64).max
 
 
-def packed(*arrays: np.ndarray) -> bytes:
+def packed(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Arrays as one compressed block; ``unpacked`` gives them back."""
     head = b"".join(f"{a.dtype.str}:{len(a)};".encode() for a in arrays) + b"\n"
     whole = head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
-    return len(whole).to_bytes(8, "little") + pa.compress(whole, "zstd", asbytes=True)
+    return len(whole).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(whole, asbytes=True)
 
 
 def unpacked(block: bytes) -> list[np.ndarray]:
@@ -71,7 +73,8 @@ def batches(docs: DataFrame, id: str, text: str, name: str, carry: list[str] | N
         def block():
             sizes = np.concatenate([h[1] for h in held])
             data = np.concatenate([h[2] for h in held])
-            own = packed(np.concatenate([h[0] for h in held]), np.cumsum(sizes), data)
+            # Texts are stored for longer than other blocks.
+            own = packed(np.concatenate([h[0] for h in held]), np.cumsum(sizes), data, level=_TEXT_LEVEL)
             columns = [pa.array([number], pa.int64()), pa.array([own], pa.binary()), pa.array([len(data)], pa.int64())]
             if carry:
                 others = ipc([pa.concat_arrays([h[3] for h in held]), pa.array(np.concatenate([h[4] for h in held]))], ["own", "none"])
