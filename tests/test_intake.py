@@ -12,11 +12,11 @@ AT = 1719655201000  # 2024-06-29 10:00:01 UTC
 
 # line, documented (level, ts, message), observed (level, ts, message)
 LINES = [
-    ("2024-06-29 10:00:01 INFO  Application started", ("INFO", AT, "Application started"), ("INFO", NOW, "00:01 INFO  Application started")),
-    ("2024-06-29 10:00:01 WARN  Slow query detected (150ms)", ("WARN", AT, "Slow query detected (150ms)"), ("INFO", NOW, "00:01 WARN  Slow query detected (150ms)")),
+    ("2024-06-29 10:00:01 INFO  Worker seven is ready", ("INFO", AT, "Worker seven is ready"), ("INFO", NOW, "00:01 INFO  Worker seven is ready")),
+    ("2024-06-29 10:00:01 WARN  Disk almost full (93%)", ("WARN", AT, "Disk almost full (93%)"), ("INFO", NOW, "00:01 WARN  Disk almost full (93%)")),
     ("2024-06-29 10:00:01 ERROR Failed: timeout", ("ERROR", AT, "Failed: timeout"), ("INFO", NOW, "00:01 ERROR Failed: timeout")),
-    ("2024-06-29 10:00:01 INFO New log entry ", ("INFO", AT, "New log entry "), ("INFO", NOW, "00:01 INFO New log entry ")),
-    ('   echo "2024-06-29 10:01:00 INFO New log entry" ',) + (("INFO", NOW, '   echo "2024-06-29 10:01:00 INFO New log entry" '),) * 2,
+    ("2024-06-29 10:00:01 INFO Lamp switched on ", ("INFO", AT, "Lamp switched on "), ("INFO", NOW, "00:01 INFO Lamp switched on ")),
+    ('   say "2024-06-29 10:01:00 INFO Lamp switched on" ',) + (("INFO", NOW, '   say "2024-06-29 10:01:00 INFO Lamp switched on" '),) * 2,
     ("2024-06-29 10:00:01.123 ERROR Something failed",) + (("ERROR", AT + 123, "Something failed"),) * 2,
     ("2024-06-29 10:00:01.5 warn", ("WARN", AT + 500, ""), ("WARN", AT + 5, "")),
     ("2024-06-29 10:00:01.123", ("INFO", NOW, "2024-06-29 10:00:01.123"), ("INFO", NOW, "00:01.123")),
