@@ -10,7 +10,9 @@ SAMPLE = [
     "ingest_raw_lines", "ingest_raw_lines_observed", "stamp_clocks", "ingest_jsonl", "ingest_jsonl_rejects",
     "ingest_stats", "export_jsonl", "export_jsonl_ascii", "causal_order", "order_audit_time", "clock_relation",
     "relation_counts_lossy", "causal_slice", "merge_clocks", "causal_graph_lossy", "clock_audit_restamped",
-    "missing_ticks", "log_query", "metadata_groups", "build_inverted_index", "keyword_search",
+    "missing_ticks", "log_query", "metadata_groups", "build_inverted_index", "keyword_search", "clock_audit_incomplete",
+    "causal_ranges_lossy", "causal_slice_restamped", "relation_counts_incomplete", "order_audit_restamped", "pairs_within",
+    "log_query_causal_first", "replay_clocks_lossy", "keyword_blocks", "stream_to_store",
 ]
 
 
