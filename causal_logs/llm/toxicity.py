@@ -175,6 +175,8 @@ class Restorer:
     """Plain words of texts; the last tokens' restored forms are kept."""
 
     KEPT = 50_000
+    # Longer runs of spaced letters are not kept.
+    KEPT_CHARS = 200
 
     def __init__(self, channel: Channel):
         self.channel, self.known = channel, {}
@@ -182,10 +184,15 @@ class Restorer:
     def _restored(self, token: str) -> list[str]:
         found = self.known.get(token)
         if found is None:
+            found = restore(token, self.channel).split()
+            self._keep(token, found)
+        return found
+
+    def _keep(self, token: str, found: list[str] | set[str]) -> None:
+        if len(token) <= self.KEPT_CHARS:
             if len(self.known) >= self.KEPT:
                 self.known.clear()
-            found = self.known[token] = restore(token, self.channel).split()
-        return found
+            self.known[token] = found
 
     def _parted(self, spaced: str) -> set[str]:
         """Words of all readings of spaced letters, and of them as one word."""
@@ -195,7 +202,7 @@ class Restorer:
             whole = gaps.replace(" ", "")
             found = {whole, *self._restored(whole)} if whole.isalpha() else set(self._restored(whole))
             found.update(*(r.split() for r in readings(gaps, self.channel)))
-            self.known[gaps] = found
+            self._keep(gaps, found)
         return found
 
     def words(self, text: str) -> set[str]:

@@ -1,5 +1,6 @@
 """Language, toxicity, licenses and quality: single texts."""
 
+import itertools
 import re
 
 import numpy as np
@@ -87,6 +88,26 @@ def test_fuzzy_search_finds_what_a_full_scan_finds():
             assert plain == any(known[f[2]].label == n.label for f in licenses._fuzzy(line, known, automaton))
 
 
+def _plain_licenses(text, phrases):
+    """Phrases word by word."""
+    words = _ALNUM.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
+    found = [(i, label) for phrase, label in phrases.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+    places = [i for i, _ in found]
+    return len(words), len(found), min(places, default=None), max(places, default=None), sorted({label for _, label in found})
+
+
+def test_license_phrases_like_a_plain_scan(spark):
+    import random
+
+    random.seed(8)
+    phrases = licenses.PHRASES | {"mit": "short", "cc by nc cc by nc": "twice", "a b a": "overlapping"}
+    parts = [*phrases, "under", "the mit", "MIT", "license", "cc", "by-nc", "a b", "é", "Éa", "nc cc", "a", ", ", "apache  license;version"]
+    rows = [(300 + i, random.choice([" ", "-", "\n"]).join(random.choices(parts, k=random.randint(0, 30)))) for i in range(200)] + texts()
+    got = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licenses.licenses(documents(spark, rows), phrases).collect()}
+    assert got == {i: _plain_licenses(t, phrases) for i, t in rows}
+    assert sum(g[1] > 2 for g in got.values()) > 50
+
+
 # --- language ---------------------------------------------------------------
 
 
@@ -186,6 +207,57 @@ def test_spaced_letters_beside_others(spark, hidden, plain):
     assert restorer.words("what, I (think) is 7 + x") >= {"what", "i", "think", "is"} and "imoron" not in restorer.words("I moron")
 
 
+def _all_readings(token, channel):
+    """(cost, text) of every way to read a token, the cheapest first."""
+    runs = [m[0] for m in re.finditer(r"(?s)(.)\1*", token)]
+    letterless = not any(map(str.isalpha, token))
+    options = [toxicity._options(r[0], len(r), 0 < i and i + 1 < len(runs), letterless) for i, r in enumerate(runs)]
+    found = []
+    for chosen in itertools.product(*options):
+        cost, before = 0.0, [0, 0]
+        for symbol in [toxicity._symbol(c) for option, _ in chosen for c in option]:
+            if symbol or before[-1]:
+                cost += channel.cost[before[-2], before[-1], symbol]
+                before.append(symbol)
+        if before[-1]:
+            cost += channel.cost[before[-2], before[-1], 0]
+        found.append((cost + sum(price for _, price in chosen), " ".join("".join(option for option, _ in chosen).split())))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("token", ["1d10t", "m0r0n", "s.c.u.m", "id1ooo7", "p@th3t1c", "aa55", "455", "i d i o t", "a  s s", "l0$3r!", "x-1/2", "ssttuu", "é1é"])
+def test_readings_are_the_cheapest_of_all(spark, token):
+    docs = spark.createDataFrame([(i, f"you are an idiot and a moron said the stupid loser number {i} for the pathetic scum, an ass") for i in range(20)], "doc_id int, text string")
+    channel = toxicity.train_channel(docs)
+    every = _all_readings(token, channel)
+    cost = {}
+    for price, reading in every:
+        cost.setdefault(reading, price)
+    for most, slack in ((1, 6.0), (16, 6.0), (4, 100.0)):
+        got = toxicity.readings(token, channel, most, slack)
+        best = [(price, reading) for price, reading in every[:most] if price <= every[0][0] + slack]
+        assert len(got) == len(best) and got[0] in {reading for price, reading in every if price < every[0][0] + 1e-9}
+        # One reading may be reached at several costs, and ties may stand in any order.
+        edge = best[-1][0] - 1e-9
+        assert sorted(r for r in got if cost[r] < edge) == sorted(r for _, r in best if cost[r] < edge)
+
+
+def test_scores_like_a_plain_sum():
+    model = toxicity.Model(None, {"idi": 0.7, "idiot$": 0.9, "scu": 0.8, "as$": 0.6, "x$": 0.99}, 0.1)
+    heads = {s.removesuffix("$")[:3] for s in model.signs}
+    for words in ([], ["idiot"], ["idiotic", "scum"], ["as", "ass", "asset"], ["x", "xx"], ["idiot", "idi", "scu", "as", "x", "plain"]):
+        clean = 0.9
+        for word in words:
+            ways = [v for s, v in model.signs.items() if (s[:-1] == word if s.endswith("$") else len(s) <= 8 and word.startswith(s))]
+            clean *= 1 - max(ways, default=0.0)
+        assert toxicity._score(set(words), model, heads)[0] == pytest.approx(1 - clean)
+
+
+def test_long_runs_of_letters_are_not_kept(spark):
+    restorer = toxicity.Restorer(toxicity.train_channel(documents(spark)))
+    assert "ab" * 300 in restorer.words("a b " * 300) and max(map(len, restorer.known), default=0) <= restorer.KEPT_CHARS
+
+
 def test_toxicity_edges(spark):
     rows = [(i, ("what an awful idiot " if i % 3 == 0 else "what a nice day ") + f"w{i}") for i in range(300)] + [(900, None), (901, ""), (902, "1d10t 1diot idi0t"), (903, LONG), (904, "...")]
     docs = documents(spark, rows)
