@@ -377,6 +377,22 @@ def test_slices_refuse_clocks_that_tick_one_component(spark):
     assert got == {0: "HAPPENS_BEFORE", 2: "HAPPENS_BEFORE", 3: "HAPPENS_AFTER"}
 
 
+def _joins(df):
+    """The lines of a plan that join."""
+    return [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if " Join " in x or x.startswith("Join ")]
+
+
+def test_slices_compare_numbers_only(spark):
+    """No pair takes a clock apart or compares names of relations."""
+    log = spark.createDataFrame([(0, "n0", 0, [1, 0], 1, 0), (1, "n0", 0, None, 2, 1), (2, "n1", 1, [3], 3, 0)], SCHEMA)
+    found = relation.causal_slice(log, log, 2, well_formed=False)
+    assert (joins := _joins(found)) and not any("vc#" in x or "HAPPENS" in x for x in joins)
+    assert sorted(tuple(r) for r in found.collect()) == [(0, 2, "HAPPENS_AFTER"), (2, 0, "HAPPENS_BEFORE")]
+    assert relation.causal_slice(log, log, 2, (), well_formed=False).count() == 0
+    alone = relation.causal_slice(log, log, 2, ("CONCURRENT",), well_formed=False).collect()
+    assert sorted(tuple(r) for r in alone) == [(0, 1, "CONCURRENT"), (1, 0, "CONCURRENT"), (1, 2, "CONCURRENT"), (2, 1, "CONCURRENT")]
+
+
 @pytest.mark.parametrize("entries", [20_000, 4, 1])
 def test_pairs_within(case, entries, monkeypatch):
     rows, log, n = case
