@@ -413,6 +413,18 @@ def test_pairs_within(case, entries, monkeypatch):
         monkeypatch.setattr(relation, "MAX_HOT_BUCKETS", 0)
 
 
+@pytest.mark.parametrize("entries", [20_000, 3])
+def test_pairs_within_read_their_log_once(case, entries):
+    """With a width too; the join deals out numbers, not clocks, and reads the entries from one stored table."""
+    rows, log, n = case
+    log = log.unionByName(log.sparkSession.createDataFrame([(900, "node-0", 0, None, 1_000_100, 0), (901, "node-1", 1, [1], 1_000_100, 0)], SCHEMA))
+    plain = relation.pairs_within(log, 150, entries=entries)
+    wide = relation.pairs_within(log, 150, width=n, entries=entries)
+    assert sorted(tuple(r) for r in wide.collect()) == sorted(tuple(r) for r in plain.collect())
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "vc#" not in plan and "LogicalRDD" not in plan and "LocalRelation" not in plan
+
+
 def test_first_in_causal_order(case):
     rows, log, n = case
     extra = [(800, "node-0", 0, None, 5, 90), (801, "node-1", None, None, None, 91), (802, "node-1", 1, None, 999_999_999, 92)]
