@@ -171,14 +171,20 @@ def lattice(vocabulary: Vocabulary, data: np.ndarray, starts: np.ndarray) -> Lat
         known[char[alone[begins[alone]]]] = True
     spelled = np.flatnonzero(~known[char]) if n else np.zeros(0, np.int64)
     edges.append((spelled, np.ones(len(spelled), np.int64), (vocabulary.first_byte + data[spelled]).astype(np.int32)))
-    start, length, ids = (np.concatenate(x) for x in zip(*edges, strict=True))
-    order = np.argsort(start, kind="stable")
-    start = start[order]
+    # By start, and by length where that is the same: no start is twice in one of the lists.
+    many = np.zeros(n, np.int64)
+    for at, _, _ in edges:
+        many[at] += 1
+    free, start = np.cumsum(many) - many, np.repeat(np.arange(n), many)
+    end, ids = np.empty(len(start), np.int64), np.empty(len(start), np.int32)
+    for at, length, piece in edges:
+        end[free[at]], ids[free[at]] = at + length, piece
+        free[at] += 1
     of = np.repeat(np.arange(len(size)), size)[start]
     nodes = size + 1
     first = np.concatenate([[0], np.cumsum(nodes)])
     place = np.arange(first[-1]) - np.repeat(first[:-1], nodes)
-    return Lattice(start + of, start + of + length[order], ids[order], place, first)
+    return Lattice(start + of, end + of, ids, place, first)
 
 
 def _sums(edges: Lattice, weight: np.ndarray, source: np.ndarray, target: np.ndarray, ends: np.ndarray, step: int, logs: bool = False) -> np.ndarray:

@@ -14,7 +14,11 @@ The walks of all texts of a batch go on side by side. Draws depend on the row's
 the sample, the part and the step only, so results do not depend on how rows are dealt out.
 """
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from functools import reduce
+from itertools import accumulate
+from operator import add as plus
 
 import numpy as np
 import pyarrow as pa
@@ -67,14 +71,17 @@ class Walks:
         self.share = pieces.shares(edges, probability[edges.id])
         self.log_share = np.log(self.share)
         nodes = int(edges.first[-1])
-        self.out = np.searchsorted(edges.start, np.arange(nodes + 1))
+        self.out = np.concatenate([[0], np.cumsum(np.bincount(edges.start, minlength=nodes))])
+        # By edge: its start has others too.
+        self.others = np.diff(self.out)[edges.start] > 1
         self.total = np.concatenate([[0.0], np.cumsum(self.share)])
         self.last = np.zeros(nodes + 1, bool)
         self.last[edges.first[1:] - 1] = True
 
     def walk(self, node: np.ndarray, seed: np.ndarray, part: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
         """Edges drawn from each start node to the end of its part, and which start each belongs to, in order."""
-        owner, step, taken, whose = np.arange(len(node)), 0, [], []
+        starts = len(node)
+        owner, step, taken, whose = np.arange(starts), 0, [], []
         state = _keyed(_WALK, seed, part, sample)
         while True:
             on = np.flatnonzero(~self.last[node])
@@ -100,9 +107,13 @@ class Walks:
             step += 1
         if not taken:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        edge, owner = np.concatenate(taken), np.concatenate(whose)
-        order = np.argsort(owner, kind="stable")
-        return edge[order], owner[order]
+        # A walk takes an edge at each step until it ends.
+        size = np.bincount(np.concatenate(whose), minlength=starts)
+        begin = np.cumsum(size) - size
+        edge = np.empty(int(size.sum()), np.int64)
+        for step, (own, owner) in enumerate(zip(taken, whose, strict=True)):
+            edge[begin[owner] + step] = own
+        return edge, np.repeat(np.arange(starts), size)
 
 
 def sampled(walks: Walks, seeds: np.ndarray, k: int):
@@ -137,15 +148,12 @@ def sampled(walks: Walks, seeds: np.ndarray, k: int):
         log = walks.log_share[edge]
         run = np.cumsum(log)
         before = run - log - np.repeat(run[begin[:-1]] - log[begin[:-1]], size)
-        share = walks.share[edge]
-        node = edges.start[edge]
-        others = walks.out[node + 1] - walks.out[node] > 1
         group = np.full(len(edge), -np.inf)
-        at = np.flatnonzero(fresh & others)
-        owner = np.repeat(np.arange(len(which)), size)
-        location = before[at] + np.log(np.maximum(1.0 - share[at], 1e-300))
-        u = _uniform(_keyed(_GROUP, seeds[which], number)[owner[at]], at - begin[owner[at]])
-        group[at] = _below(location, top[owner[at]], u)
+        at = np.flatnonzero(fresh & walks.others[edge])
+        owner = np.repeat(np.arange(len(which)), size)[at]
+        location = before[at] + np.log(np.maximum(1.0 - walks.share[edge[at]], 1e-300))
+        u = _uniform(_keyed(_GROUP, seeds[which], number)[owner], at - begin[owner])
+        group[at] = _below(location, top[owner], u)
         found.append({"texts": which, "edge": edge, "part": part, "begin": begin, "top": top, "before": before, "group": group, "log": run[begin[1:] - 1] - run[begin[:-1]] + log[begin[:-1]]})
         taken.append({})
         settle(number)
@@ -168,33 +176,40 @@ def sampled(walks: Walks, seeds: np.ndarray, k: int):
         which = np.flatnonzero(value > -np.inf)
         if not len(which):
             break
-        kept, nodes, node_part, choices = [], [], [], []
-        for t in which.tolist():
-            s, place = found[source[t]], int(best_place[source[t], t])
-            own = int(np.searchsorted(s["texts"], t))
-            edge = int(s["edge"][place])
-            node = int(edges.start[edge])
-            gone = taken[source[t]].setdefault(place, [edge])
-            options = [e for e in range(walks.out[node], walks.out[node + 1]) if e not in gone]
-            share = np.cumsum(walks.share[options])
-            u = float(_uniform(_keyed(_CHOICE, seeds[t : t + 1], number))[0])
-            pick = options[min(int(np.searchsorted(share, u * share[-1], "right")), len(options) - 1)]
-            gone.append(pick)
-            left = [walks.share[e] for e in options if e != pick]
-            group = -np.inf
-            if left:
-                location = s["before"][place] + np.log(max(sum(left), 1e-300))
-                again = _uniform(_keyed(_GROUP, seeds[t : t + 1], number), 1 << 40)
-                group = float(_below(np.array([location]), value[t : t + 1], again)[0])
-            s["group"][place] = group
-            kept.append((s, int(s["begin"][own]), place))
-            choices.append(pick)
-            nodes.append(int(edges.end[pick]))
-            node_part.append(int(s["part"][place]))
+        source_of, place_of = source[which], best_place[source[which], which]
+        edge_of, part_of, begin_of, before_of = (np.empty(len(which), kind) for kind in (np.int64, np.int64, np.int64, np.float64))
+        for number_ in np.unique(source_of).tolist():
+            s, at = found[number_], np.flatnonzero(source_of == number_)
+            place = place_of[at]
+            edge_of[at], part_of[at], before_of[at] = s["edge"][place], s["part"][place], s["before"][place]
+            begin_of[at] = s["begin"][np.searchsorted(s["texts"], which[at])]
+        low_of = walks.out[edges.start[edge_of]]
+        high_of = walks.out[edges.start[edge_of] + 1]
+        chance = _uniform(_keyed(_CHOICE, seeds[which], number))
+        choices, left = [], []
+        for source_, place, edge, low, high, u in zip(*(x.tolist() for x in (source_of, place_of, edge_of, low_of, high_of, chance)), strict=True):
+            gone = taken[source_].setdefault(place, [edge])
+            options = [e for e in range(low, high) if e not in gone]
+            every = walks.share[low:high].tolist()
+            share = [every[e - low] for e in options]
+            sums = list(accumulate(share))
+            pick = min(bisect_right(sums, u * sums[-1]), len(options) - 1)
+            gone.append(options[pick])
+            choices.append(options[pick])
+            # Added up in order, as the sums of the shares are.
+            left.append(reduce(plus, share[:pick] + share[pick + 1 :], 0.0) if len(share) > 1 else -1.0)
+        choices, left = np.array(choices), np.array(left)
+        location = before_of + np.log(np.maximum(left, 1e-300))
+        again = _uniform(_keyed(_GROUP, seeds[which], number), 1 << 40)
+        group = np.where(left < 0, -np.inf, _below(location, value[which], again))
+        for number_ in np.unique(source_of).tolist():
+            at = source_of == number_
+            found[number_]["group"][place_of[at]] = group[at]
+        nodes, node_part = edges.end[choices], part_of
+        kept = [(found[n], a, place) for n, a, place in zip(source_of.tolist(), begin_of.tolist(), place_of.tolist(), strict=True)]
         for number_ in set(source[which].tolist()):
             settle(number_)
         # Free walks: the rest of the part, then all later parts.
-        node_part = np.array(node_part)
         later = cut.first[which + 1] - node_part
         size = np.cumsum(later) - later
         part = np.repeat(node_part - size, later) + np.arange(int(later.sum()))

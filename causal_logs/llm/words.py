@@ -10,9 +10,13 @@ U64 = np.uint64
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values (the finalizer of SplitMix64)."""
     x = np.asarray(x, U64)
-    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
+    # A new array, and then in place.
+    x = x ^ (x >> U64(30))
+    x *= U64(0xBF58476D1CE4E5B9)
+    x ^= x >> U64(27)
+    x *= U64(0x94D049BB133111EB)
+    x ^= x >> U64(31)
+    return x
 
 
 def stream(seed: int, n: int) -> np.ndarray:

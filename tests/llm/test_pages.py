@@ -142,6 +142,28 @@ def test_sampling_without_replacement():
             assert abs(got - want) < 4 * math.sqrt(want * (1 - want) / n) + 1e-3
 
 
+def test_segmentations_of_many_texts_are_drawn_together(monkeypatch):
+    """The numbers drawn come in a few calls a batch, not in some for each text; each text's samples are those it has alone."""
+    vocabulary = pieces.load(queries.VOCABULARY)
+    probability = sampling.weights(vocabulary)
+    texts = [f"the {i} words of text {i * i}".encode() for i in range(200)]
+    seeds = mixed(np.arange(len(texts)))
+    calls = []
+    plain = sampling._uniform
+    monkeypatch.setattr(sampling, "_uniform", lambda *a: calls.append(1) or plain(*a))
+
+    def drawn(some, own):
+        starts = np.concatenate([[0], np.cumsum([len(t) for t in some])])
+        walks = sampling.Walks(pieces.parts(np.frombuffer(b"".join(some), np.uint8), starts), vocabulary, probability)
+        found, _ = sampling.sampled(walks, own, 3)
+        return [[walks.edges.id[s["edge"]][a:b].tolist() for a, b in zip(s["begin"][:-1], s["begin"][1:], strict=True)] for s in found]
+
+    together = drawn(texts, seeds)
+    assert len(calls) < 100
+    for t in (0, 7, 199):
+        assert [s[t] for s in together] == [s[0] for s in drawn(texts[t : t + 1], seeds[t : t + 1])]
+
+
 def test_segmentations(spark):
     vocabulary = pieces.load(queries.VOCABULARY)
     model = sentencepiece.SentencePieceProcessor(model_file=queries.VOCABULARY)
