@@ -11,11 +11,14 @@ length are whole; sums over those of more than ``PART`` bytes are kept as logari
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 
 from .words import hashed, stream
 
 PART = 48
 _EMPTY = -1
+# A byte that UTF-8 does not use.
+_APART = 0xFF
 
 
 class Vocabulary(NamedTuple):
@@ -135,7 +138,7 @@ class Lattice(NamedTuple):
     """Edges between nodes, in order of start; a part of n bytes has n + 1 nodes.
 
     ``place`` is each node's byte place in its part; ``first[i]`` and ``first[i + 1] - 1``
-    are the nodes at the ends of part i.
+    are the nodes at the ends of part i. ``many`` counts the edges of the whole lattice that start at each node.
     """
 
     start: np.ndarray
@@ -143,48 +146,57 @@ class Lattice(NamedTuple):
     id: np.ndarray
     place: np.ndarray
     first: np.ndarray
+    many: np.ndarray
 
 
 def lattice(vocabulary: Vocabulary, data: np.ndarray, starts: np.ndarray) -> Lattice:
-    n = len(data)
     size = np.diff(starts)
-    end_of = np.repeat(starts[1:], size)
-    at, node = np.arange(n), np.zeros(n, np.int64)
-    edges = []
+    nodes = size + 1
+    first = starts + np.arange(len(starts))
+    # Bytes by node: after each part comes one that is in no piece, so no piece goes on in the next part.
+    own = np.arange(len(data)) + np.repeat(np.arange(len(size)), size)
+    spread = np.full(first[-1], _APART, np.uint8)
+    spread[own] = data
+    begins = (data & 0xC0) != 0x80
+    begins[starts[:-1][size > 0]] = True
+    char = np.flatnonzero(begins)
+    width = np.diff(np.append(char, len(data)))
+    # By node, bytes of the character that begins there; longer ones are no UTF-8.
+    alone = np.zeros(len(spread), np.uint8)
+    alone[own[char]] = np.where(width <= 4, width, 0)
+    known = np.zeros(len(spread), bool)
+    root = _child(vocabulary, np.arange(256))
+    node = root[spread]
+    at = np.flatnonzero(node >= 0)
+    node, edges = node[at], []
+    many = np.zeros(len(spread), np.int64)
     for length in range(1, vocabulary.longest + 1):
-        inside = at + length <= end_of[at]
-        at, node = at[inside], node[inside]
-        node = _child(vocabulary, node * 256 + data[at + length - 1]).astype(np.int64)
-        at, node = at[node >= 0], node[node >= 0]
+        if length > 1:
+            node = _child(vocabulary, node.astype(np.int64) * 256 + spread[at + (length - 1)])
+            on = np.flatnonzero(node >= 0)
+            at, node = at[on], node[on]
         if not len(at):
             break
-        whole = np.flatnonzero(vocabulary.piece[node] >= 0)
-        edges.append((at[whole], np.full(len(whole), length), vocabulary.piece[node[whole]]))
-    begins = (data & 0xC0) != 0x80
-    if n:
-        begins[starts[:-1][size > 0]] = True
-    char = np.cumsum(begins) - 1
-    width = np.bincount(char, minlength=1)
-    known = np.zeros(len(width), bool)
-    for start, length, _ in edges:
-        alone = start[length == width[char[start]]]
-        known[char[alone[begins[alone]]]] = True
-    spelled = np.flatnonzero(~known[char]) if n else np.zeros(0, np.int64)
-    edges.append((spelled, np.ones(len(spelled), np.int64), (vocabulary.first_byte + data[spelled]).astype(np.int32)))
+        piece = vocabulary.piece[node]
+        whole = np.flatnonzero(piece >= 0)
+        begin = at[whole]
+        edges.append((begin, length, piece[whole]))
+        many[begin] += 1
+        if length <= 4:
+            known[begin[alone[begin] == length]] = True
+    spelled = np.flatnonzero(np.repeat(~known[own[char]], width))
+    edges.append((own[spelled], 1, (vocabulary.first_byte + data[spelled]).astype(np.int32)))
+    many[own[spelled]] += 1
     # By start, and by length where that is the same: no start is twice in one of the lists.
-    many = np.zeros(n, np.int64)
-    for at, _, _ in edges:
-        many[at] += 1
-    free, start = np.cumsum(many) - many, np.repeat(np.arange(n), many)
+    free = np.cumsum(many) - many
+    start = np.repeat(np.arange(len(spread)), many)
     end, ids = np.empty(len(start), np.int64), np.empty(len(start), np.int32)
     for at, length, piece in edges:
-        end[free[at]], ids[free[at]] = at + length, piece
-        free[at] += 1
-    of = np.repeat(np.arange(len(size)), size)[start]
-    nodes = size + 1
-    first = np.concatenate([[0], np.cumsum(nodes)])
+        slot = free[at]
+        end[slot], ids[slot] = at + length, piece
+        free[at] = slot + 1
     place = np.arange(first[-1]) - np.repeat(first[:-1], nodes)
-    return Lattice(start + of, end + of, ids, place, first)
+    return Lattice(start, end, ids, place, first, many)
 
 
 def _sums(edges: Lattice, weight: np.ndarray, source: np.ndarray, target: np.ndarray, ends: np.ndarray, step: int, logs: bool = False) -> np.ndarray:
@@ -192,19 +204,26 @@ def _sums(edges: Lattice, weight: np.ndarray, source: np.ndarray, target: np.nda
 
     With ``logs``, ``weight`` and the sums are logarithms.
     """
-    place = edges.place[target]
-    place = place.astype(np.int8) if place.max(initial=0) <= 127 else place
-    order = np.argsort(target, kind="stable") if step > 0 else np.arange(len(target))
-    order = order[np.argsort(place[order], kind="stable")]
+    place = (edges.place.astype(np.int8) if edges.place.max(initial=0) <= 127 else edges.place)[target]
+    if step > 0:
+        order = np.argsort(target, kind="stable")
+        order = order[np.argsort(place[order], kind="stable")]
+    else:
+        order = np.argsort(place, kind="stable")
     source, target, weight = source[order], target[order], weight[:, order]
-    cuts = np.searchsorted(place[order], np.arange(int(place.max(initial=-1)) + 2))
     sums = np.full((len(weight), len(edges.place)), -np.inf if logs else 0.0)
     sums[:, ends] = 0.0 if logs else 1.0
-    for a, b in list(zip(cuts[:-1], cuts[1:], strict=True))[::step]:
-        if a < b:
-            value = weight[:, a:b] + sums[:, source[a:b]] if logs else weight[:, a:b] * sums[:, source[a:b]]
-            group = np.flatnonzero(np.append(True, target[a + 1 : b] != target[a : b - 1]))
-            sums[:, target[a:b][group]] = (np.logaddexp if logs else np.add).reduceat(value, group, axis=1)
+    if not len(target):
+        return sums
+    group = np.flatnonzero(np.append(True, target[1:] != target[:-1]))
+    # Targets of one place follow each other.
+    target = target[group]
+    at = edges.place[target]
+    first = np.append(np.flatnonzero(np.append(True, at[1:] != at[:-1])), len(group))
+    cuts = np.append(group, len(source))[first]
+    for g, h, a, b in list(zip(first[:-1], first[1:], cuts[:-1], cuts[1:], strict=True))[::step]:
+        value = weight[:, a:b] + sums[:, source[a:b]] if logs else weight[:, a:b] * sums[:, source[a:b]]
+        sums[:, target[g:h]] = (np.logaddexp if logs else np.add).reduceat(value, group[g:h] - a, axis=1)
     return sums
 
 
@@ -275,9 +294,15 @@ def expected(edges: Lattice, weight: np.ndarray) -> np.ndarray:
     return share
 
 
+def spelled(vocabulary: Vocabulary, ids: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """The bytes of a sequence of pieces, and where in them each piece begins and the last one ends."""
+    kind = pa.large_binary()
+    known = pa.Array.from_buffers(kind, vocabulary.size, [None, pa.py_buffer(vocabulary.starts), pa.py_buffer(vocabulary.bytes)])
+    _, ends, data = known.take(pa.array(ids)).buffers()
+    return memoryview(data or b""), np.frombuffer(ends, np.int64)[: len(ids) + 1]
+
+
 def decoded(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
     """The text of a sequence of piece ids, without the space that encoding puts in front."""
-    size = np.diff(vocabulary.starts)[ids]
-    ends = np.cumsum(size)
-    at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(vocabulary.starts[ids] - ends + size, size)
-    return vocabulary.bytes[at].tobytes()[1:]
+    data, ends = spelled(vocabulary, ids)
+    return data[1 : ends[-1]].tobytes()

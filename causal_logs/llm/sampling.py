@@ -47,7 +47,11 @@ def _keyed(*keys) -> np.ndarray:
 def _uniform(state: np.ndarray, place=0) -> np.ndarray:
     """Numbers in (0, 1), for each state and place another one."""
     value = mixed(state + np.asarray(place).astype(_U) * _U(0x9E3779B97F4A7C15))
-    return ((value >> _U(11)).astype(np.float64) + 0.5) / (1 << 53)
+    value >>= _U(11)
+    out = value.astype(np.float64)
+    out += 0.5
+    out /= 1 << 53
+    return out
 
 
 def weights(vocabulary: pieces.Vocabulary, alpha: float = ALPHA) -> np.ndarray:
@@ -70,50 +74,49 @@ class Walks:
         self.edges = edges = pieces.lattice(vocabulary, cut.data, cut.starts)
         self.share = pieces.shares(edges, probability[edges.id])
         self.log_share = np.log(self.share)
-        nodes = int(edges.first[-1])
-        self.out = np.concatenate([[0], np.cumsum(np.bincount(edges.start, minlength=nodes))])
+        many = edges.many
+        self.out = np.concatenate([[0], np.cumsum(many)])
         # By edge: its start has others too.
-        self.others = np.diff(self.out)[edges.start] > 1
-        self.total = np.concatenate([[0.0], np.cumsum(self.share)])
-        self.last = np.zeros(nodes + 1, bool)
+        self.others = np.repeat(many > 1, many)
+        # By edge: the sum of the shares before it at its start.
+        self.below = np.zeros(len(self.share))
+        at, size = self.out[:-1], many
+        for rank in range(1, int(many.max(initial=0))):
+            more = np.flatnonzero(size > rank)
+            at, size = at[more], size[more]
+            self.below[at + rank] = self.below[at + (rank - 1)] + self.share[at + (rank - 1)]
+        self.last = np.zeros(len(many) + 1, bool)
         self.last[edges.first[1:] - 1] = True
+        # The last edge of each node, by node and by the edge that leads there; -1 at the end of a part.
+        self.final = np.where(self.last[:-1], -1, self.out[1:] - 1)
+        self.next = self.final[edges.end]
 
     def walk(self, node: np.ndarray, seed: np.ndarray, part: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
-        """Edges drawn from each start node to the end of its part, and which start each belongs to, in order."""
-        starts = len(node)
-        owner, step, taken, whose = np.arange(starts), 0, [], []
-        state = _keyed(_WALK, seed, part, sample)
-        while True:
-            on = np.flatnonzero(~self.last[node])
-            if not len(on):
-                break
-            node, owner, state = node[on], owner[on], state[on]
-            low, high = self.out[node], self.out[node + 1] - 1
-            edge = low.copy()
-            free = np.flatnonzero(low < high)
-            if len(free):
-                u = _uniform(state[free], step)
-                base = self.total[low[free]]
-                aim, at, least = base + u * (self.total[high[free] + 1] - base), high[free], low[free]
-                # Longer pieces are likelier: the last edge whose sum is not above the aim, from the last one on.
-                far = np.flatnonzero(self.total[at] > aim)
-                while len(far):
-                    at[far] -= 1
-                    far = far[(self.total[at[far]] > aim[far]) & (at[far] > least[far])]
-                edge[free] = at
-            taken.append(edge)
+        """Edges drawn from each start node to the end of its part, one walk after the other, and where each walk begins (and the last one ends)."""
+        at = self.final[node]
+        owner, step, taken, whose = np.flatnonzero(at >= 0), 0, [], []
+        at, state = at[owner], _keyed(_WALK, seed, part, sample)[owner]
+        while len(owner):
+            u = _uniform(state, step)
+            # Longer pieces are likelier: the last edge with no more than that before it, from the last one on.
+            far = np.flatnonzero(self.below[at] > u)
+            while len(far):
+                back = at[far] - 1
+                at[far] = back
+                far = far[self.below[back] > u[far]]
+            taken.append(at)
             whose.append(owner)
-            node = self.edges.end[edge]
             step += 1
-        if not taken:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            at = self.next[at]
+            on = np.flatnonzero(at >= 0)
+            at, owner, state = at[on], owner[on], state[on]
         # A walk takes an edge at each step until it ends.
-        size = np.bincount(np.concatenate(whose), minlength=starts)
-        begin = np.cumsum(size) - size
-        edge = np.empty(int(size.sum()), np.int64)
+        size = np.bincount(np.concatenate([*whose, np.zeros(0, np.int64)]), minlength=len(node))
+        begin = np.concatenate([[0], np.cumsum(size)])
+        edge = np.empty(int(begin[-1]), np.int64)
         for step, (own, owner) in enumerate(zip(taken, whose, strict=True)):
             edge[begin[owner] + step] = own
-        return edge, np.repeat(np.arange(starts), size)
+        return edge, begin
 
 
 def sampled(walks: Walks, seeds: np.ndarray, k: int):
@@ -150,10 +153,10 @@ def sampled(walks: Walks, seeds: np.ndarray, k: int):
         before = run - log - np.repeat(run[begin[:-1]] - log[begin[:-1]], size)
         group = np.full(len(edge), -np.inf)
         at = np.flatnonzero(fresh & walks.others[edge])
-        owner = np.repeat(np.arange(len(which)), size)[at]
+        own = np.diff(np.searchsorted(at, begin))
         location = before[at] + np.log(np.maximum(1.0 - walks.share[edge[at]], 1e-300))
-        u = _uniform(_keyed(_GROUP, seeds[which], number)[owner], at - begin[owner])
-        group[at] = _below(location, top[owner], u)
+        u = _uniform(np.repeat(_keyed(_GROUP, seeds[which], number), own), at - np.repeat(begin[:-1], own))
+        group[at] = _below(location, np.repeat(top, own), u)
         found.append({"texts": which, "edge": edge, "part": part, "begin": begin, "top": top, "before": before, "group": group, "log": run[begin[1:] - 1] - run[begin[:-1]] + log[begin[:-1]]})
         taken.append({})
         settle(number)
@@ -165,10 +168,10 @@ def sampled(walks: Walks, seeds: np.ndarray, k: int):
                 break
             part = np.arange(len(cut.which))
             text = np.repeat(np.arange(texts), np.diff(cut.first))
-            edge, owner = walks.walk(first_node, seeds[text], part - cut.first[text], 0)
-            begin = np.append(np.searchsorted(owner, cut.first[which]), len(owner))
+            edge, cuts = walks.walk(first_node, seeds[text], part - cut.first[text], 0)
+            begin = np.append(cuts[cut.first[which]], len(edge))
             top = -np.log(-np.log(_uniform(_keyed(_ROOT, seeds[which]))))
-            add(0, which, edge, owner, begin, top, np.ones(len(edge), bool))
+            add(0, which, edge, np.repeat(part, np.diff(cuts)), begin, top, np.ones(len(edge), bool))
             continue
         # The best group of each text; a new segmentation parts there.
         source = best_value[:number].argmax(axis=0)
@@ -216,15 +219,16 @@ def sampled(walks: Walks, seeds: np.ndarray, k: int):
         start = first_node[part]
         start[size] = nodes
         text = np.repeat(which, later)
-        edge, owner = walks.walk(start, seeds[text], part - cut.first[text], number)
-        cuts = np.append(np.searchsorted(owner, size), len(owner))
+        edge, begin = walks.walk(start, seeds[text], part - cut.first[text], number)
+        own_part = np.repeat(part, np.diff(begin))
+        cuts = np.append(begin[size], len(edge)).tolist()
         pieces_, parts_, fresh, sizes = [], [], [], []
         for j, (s, a, place) in enumerate(kept):
-            own, own_part = edge[cuts[j] : cuts[j + 1]], part[owner[cuts[j] : cuts[j + 1]]]
-            pieces_ += [s["edge"][a:place], choices[j : j + 1], own]
-            parts_ += [s["part"][a:place], node_part[j : j + 1], own_part]
-            fresh += [np.zeros(place - a + 1, bool), np.ones(len(own), bool)]
-            sizes.append(place - a + 1 + len(own))
+            p, q = cuts[j], cuts[j + 1]
+            pieces_ += [s["edge"][a:place], choices[j : j + 1], edge[p:q]]
+            parts_ += [s["part"][a:place], node_part[j : j + 1], own_part[p:q]]
+            fresh += [np.zeros(place - a + 1, bool), np.ones(q - p, bool)]
+            sizes.append(place - a + 1 + q - p)
         begin = np.concatenate([[0], np.cumsum(sizes)])
         add(number, which, np.concatenate(pieces_).astype(np.int64), np.concatenate(parts_).astype(np.int64), begin, value[which], np.concatenate(fresh))
     rest = best_value[: len(found)].max(axis=0) if found else np.full(texts, -np.inf)
@@ -269,13 +273,12 @@ def segmentations(docs: DataFrame, vocabulary_path: str, k: int = SAMPLES, alpha
                 which, begin = s["texts"], s["begin"]
                 all_ids = walks.edges.id[s["edge"]].astype("<i4")
                 same, digests = [], []
-                decoded = pieces.decoded(vocabulary, all_ids)
-                sizes = np.diff(vocabulary.starts)[all_ids]
-                ends = np.cumsum(sizes)[begin[1:] - 1]
-                # ``decoded`` lacks the first byte of the first text only: each text has a space in front.
-                for t, a, b, p, q in zip(which.tolist(), begin[:-1].tolist(), begin[1:].tolist(), [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                    same.append(decoded[p : q - 1] == part.text(t))
-                    digests.append(hashlib.sha256(all_ids[a:b].tobytes()).hexdigest())
+                spelled, ends = pieces.spelled(vocabulary, all_ids)
+                ends = ends[begin].tolist()
+                # Each text has a space in front.
+                for t, a, b, p, q in zip(which.tolist(), begin[:-1].tolist(), begin[1:].tolist(), ends[:-1], ends[1:], strict=True):
+                    same.append(spelled[p + 1 : q].tobytes() == part.text(t))
+                    digests.append(hashlib.sha256(all_ids[a:b]).hexdigest())
                 columns = [
                     pa.array(np.full(len(which), number + 1, np.int32)), pa.array(np.diff(begin)), pa.array(s["log"]), pa.array(s["top"]),
                     pa.array(_inclusion(s["log"], rest[which])), pa.array(same), pa.array(digests),

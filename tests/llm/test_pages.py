@@ -164,6 +164,56 @@ def test_segmentations_of_many_texts_are_drawn_together(monkeypatch):
         assert [s[t] for s in together] == [s[0] for s in drawn(texts[t : t + 1], seeds[t : t + 1])]
 
 
+def test_walks_take_shares_from_their_own_node(monkeypatch):
+    """The sum of the shares before an edge draws that edge and the next smaller number the one before it, wherever its part lies in the batch."""
+    vocabulary = pieces.load(queries.VOCABULARY)
+    probability = sampling.weights(vocabulary)
+    texts = [f"{i} segmentations {i * i}".encode() for i in range(300)]
+    starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    walks = sampling.Walks(pieces.parts(np.frombuffer(b"".join(texts), np.uint8), starts), vocabulary, probability)
+    many = 0
+    for part in range(len(walks.cut.starts) - 1):
+        node = int(walks.edges.first[part])
+        low, high = int(walks.out[node]), int(walks.out[node + 1])
+        before = 0.0
+        for edge in range(low, high):
+            for u, want in ((before, edge), (np.nextafter(before, 0), edge - 1))[: 1 + (edge > low)]:
+                monkeypatch.setattr(sampling, "_uniform", lambda state, place=0, u=u: np.full(len(state), u))
+                drawn, _ = walks.walk(np.array([node]), np.zeros(1, np.uint64), np.zeros(1, np.int64), 0)
+                assert drawn[0] == want
+            before += walks.share[edge]
+            many += 1
+    assert many > 100
+
+
+def test_lattices_look_up_beginnings_once(monkeypatch):
+    """A place's first byte costs no search of the vocabulary, and a longer run only one while it may go on; edges are as listed."""
+    vocabulary = pieces.load(queries.VOCABULARY)
+    spelled = [bytes(vocabulary.bytes[a:b]) for a, b in zip(vocabulary.starts[:-1], vocabulary.starts[1:], strict=True)]
+    known = {t: i for i, t in reversed([*enumerate(spelled)]) if t and not vocabulary.first_byte <= i < vocabulary.first_byte + 256}
+    begun = {t[:n] for t in known for n in range(1, len(t) + 1)}
+    text = "the words of a text, \U0001fae8 and   spaces   ".encode() + " ".join(f"word{i * i}" for i in range(200)).encode() + b"\xf0\x80 \xe4\xbd\xa0\x80  "
+    starts = np.array([0, 20, len(text) - 2, len(text)])
+    cut = pieces.parts(np.frombuffer(text, np.uint8), starts)
+    looked, plain = [], pieces._child
+    monkeypatch.setattr(pieces, "_child", lambda v, keys: looked.append(len(keys)) or plain(v, keys))
+    found = pieces.lattice(vocabulary, cut.data, cut.starts)
+    want, searches = [], 256
+    for part, first in enumerate(found.first[:-1].tolist()):
+        data = cut.data[cut.starts[part] : cut.starts[part + 1]].tobytes()
+        whole = [at for at in range(len(data)) if at == 0 or data[at] & 0xC0 != 0x80] + [len(data)]
+        alone = {at for a, b in zip(whole[:-1], whole[1:], strict=True) if data[a:b] not in known for at in range(a, b)}
+        for at in range(len(data)):
+            runs = [data[at:end] for end in range(at + 1, len(data) + 1)]
+            some = [run for run in runs if run in known]
+            want += [(first + at, first + at + 1, vocabulary.first_byte + data[at])] * (at in alone)
+            want += [(first + at, first + at + len(run), known[run]) for run in some]
+            # Each beginning of a piece is looked up with the byte behind it, at the end of a part with none.
+            searches += sum(run in begun for run in runs)
+    assert sorted(zip(found.start.tolist(), found.end.tolist(), found.id.tolist(), strict=True)) == sorted(want)
+    assert sum(looked) <= searches
+
+
 def test_segmentations(spark):
     vocabulary = pieces.load(queries.VOCABULARY)
     model = sentencepiece.SentencePieceProcessor(model_file=queries.VOCABULARY)
