@@ -425,6 +425,26 @@ def test_pairs_within_read_their_log_once(case, entries):
     assert "vc#" not in plan and "LogicalRDD" not in plan and "LocalRelation" not in plan
 
 
+@pytest.mark.parametrize("pairs", [1 << 26, 800])
+def test_pairs_within_follow_node_and_time(spark, pairs, monkeypatch):
+    """The pairs of a bucket come by entry, node and time, however the log lies: alike rows next to each other take little room on disk."""
+    monkeypatch.setattr(relation, "TASK_PAIRS", pairs)
+    rows = [(i, f"node-{i % 3}", i % 3, [i + 1] * 3, (i * 37) % 90, i) for i in range(40)]
+    at = {r[0]: (r[1], r[4], r[0]) for r in rows}
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        log = spark.createDataFrame([rows[(i * 23) % 40] for i in range(40)], SCHEMA).repartition(5)
+        found = relation.pairs_within(log, 100, width=3)
+        got = [(at[r.a_event_id], at[r.b_event_id]) for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert got == sorted((a, b) for a in at.values() for b in at.values() if a[1:] < b[1:])
+    # Of 1,600 pairs that meet, 800 a task.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert (", 2), REPARTITION_BY_NUM" in plan) == (pairs == 800)
+
+
 def test_first_in_causal_order(case):
     rows, log, n = case
     extra = [(800, "node-0", 0, None, 5, 90), (801, "node-1", None, None, None, 91), (802, "node-1", 1, None, 999_999_999, 92)]
